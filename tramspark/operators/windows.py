@@ -53,7 +53,9 @@ def ordered_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         return df.select("*", *[F.lag(src).over(w).alias(out) for out, src in values.items()])
 
     b = bucket if bucket is not None else day_bucket(order[0])
-    with_b = df.withColumn(_B, b)
+    # One explicit shuffle on (key, bucket); the window and the tail aggregate
+    # both read it, so the upstream plan runs once.
+    with_b = df.withColumn(_B, b).repartition(*keys, _B)
     w = Window.partitionBy(*keys, _B).orderBy(*order)
     inner = with_b.select(
         "*",

@@ -31,12 +31,35 @@ STOP_STEP_MIN = 10
 TS_TEXT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 
 
+# Declared schemas of the driver tables the adapters read (no footer inference).
+DRIVER_SCHEMAS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+}
+
+_READS: dict = {}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Driver table scan, built once per session and folder."""
+    key = (id(spark), sf_dir.rstrip("/"), name)
+    if key not in _READS:
+        reader = spark.read
+        if name in DRIVER_SCHEMAS:
+            reader = reader.schema(DRIVER_SCHEMAS[name])
+        _READS[key] = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return _READS[key]
 
 
 def pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One position per event: vehicle, line, brigade, type, lat/lon near a stop."""
+    key = (id(spark), sf_dir.rstrip("/"), "__pings")
+    if key not in _READS:
+        _READS[key] = _pings(spark, sf_dir)
+    return _READS[key]
+
+
+def _pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
     k = (F.col("event_id") * F.lit(7919)) % F.lit(101) % F.lit(6)
     lat_off = (F.col("event_id") * F.lit(13)) % F.lit(19) - F.lit(9)
