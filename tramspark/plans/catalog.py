@@ -64,3 +64,447 @@ MODEL_KEYS = {
 
 for _key, _model in MODEL_KEYS.items():
     REGISTRY[_key] = _model_query(_model)
+
+
+# ---------------------------------------------------------------------------
+# sources, filters, joins
+# ---------------------------------------------------------------------------
+
+import pyspark.sql.functions as F  # noqa: E402
+
+from tramspark.functions import scalar as S  # noqa: E402
+from tramspark.operators import history, incremental, matching, quality, reports, staging  # noqa: E402
+from tramspark.session import shared_dir  # noqa: E402
+from tramspark.sources import files  # noqa: E402
+from tramspark.sources.schemas import POSITION_COLUMNS  # noqa: E402
+
+REPORT_DAY = "2024-01-15"
+
+
+@register("scan_csv_positions")
+def scan_csv_positions(spark, sf_dir):
+    """Legacy text feed written as CSV parts (each part starts with a header
+    line), read back headerless with declared names; header lines dropped."""
+    path = shared_dir(spark, "positions-csv")
+    fixtures.raw_feed_text(spark, sf_dir).write.option("header", True).csv(path)
+    return files.drop_header_rows(files.read_positions_csv(spark, path))
+
+
+REGISTRY["filter_header_rows"] = scan_csv_positions
+
+
+@register("scan_parquet")
+def scan_parquet(spark, sf_dir):
+    """Typed batches written as zstd Parquet partitioned by date, read back."""
+    path = shared_dir(spark, "positions-parquet")
+    files.write_positions_batch(fixtures.raw_feed_typed(spark, sf_dir), path)
+    return files.read_positions_parquet(spark, path).select(*POSITION_COLUMNS)
+
+
+@register("scan_gtfs")
+def scan_gtfs(spark, sf_dir):
+    """stops.txt written with a header and read back as all-text columns by name."""
+    path = shared_dir(spark, "stops-txt")
+    fixtures.stops_text(spark, sf_dir).coalesce(1).write.option("header", True).csv(path)
+    return files.read_gtfs(spark, path, "stops")
+
+
+@register("coerce_types")
+def coerce_types(spark, sf_dir):
+    """Ingest coercion of the text feed: ids text, type tinyint, lat/lon double."""
+    return files.coerce_position_types(fixtures.raw_feed_text(spark, sf_dir))
+
+
+def _union(spark, sf_dir):
+    i = fixtures.transit_inputs(spark, sf_dir)
+    return staging.union_sources(i["positions_csv"], i["positions_parquet"])
+
+
+@register("union_sources")
+def union_sources(spark, sf_dir):
+    return _union(spark, sf_dir)
+
+
+@register("filter_not_null")
+def filter_not_null(spark, sf_dir):
+    return _union(spark, sf_dir).filter(F.col("lat").isNotNull() & F.col("lon").isNotNull()
+                                        & F.col("vehicle_time").isNotNull())
+
+
+@register("filter_bbox")
+def filter_bbox(spark, sf_dir):
+    b = staging.BBox()
+    return _union(spark, sf_dir).filter(F.col("lat").between(b.lat_min, b.lat_max)
+                                        & F.col("lon").between(b.lon_min, b.lon_max))
+
+
+@register("dedup_first")
+def dedup_first(spark, sf_dir):
+    return staging.dedup_first(_union(spark, sf_dir))
+
+
+@register("filter_recent")
+def filter_recent(spark, sf_dir):
+    return reports.recent(models(spark, sf_dir)["positions"], FIXTURE_PARAMS.as_of, 2)
+
+
+@register("project_rename")
+def project_rename(spark, sf_dir):
+    r = fixtures.routes_text(spark, sf_dir)
+    return r.select("route_id", F.col("route_short_name").alias("line"), "route_long_name")
+
+
+@register("join_trips_routes")
+def join_trips_routes(spark, sf_dir):
+    m = models(spark, sf_dir)
+    return matching.trips_with_line(m["trips"], m["routes"])
+
+
+@register("semi_join_dates")
+def semi_join_dates(spark, sf_dir):
+    m = models(spark, sf_dir)
+    return m["trips"].select("trip_id", "service_date").join(staging.collected_dates(m["positions"]),
+                                                              "service_date", "left_semi")
+
+
+@register("distinct_modes")
+def distinct_modes(spark, sf_dir):
+    return reports.distinct_modes(models(spark, sf_dir)["positions"])
+
+
+# ---------------------------------------------------------------------------
+# reports
+# ---------------------------------------------------------------------------
+
+@register("overview")
+def overview(spark, sf_dir):
+    m = models(spark, sf_dir)
+    return reports.overview(m["positions"], m["moves"], m["matches"])
+
+
+@register("speed_by_hour_rollup")
+def speed_by_hour_rollup(spark, sf_dir):
+    return reports.speed_by_hour_rollup(models(spark, sf_dir)["speed_by_hour"], 10, 0, 23)
+
+
+@register("least_punctual")
+def least_punctual(spark, sf_dir):
+    return reports.least_punctual(models(spark, sf_dir)["line_punctuality"], 10, 10)
+
+
+@register("most_bunched")
+def most_bunched(spark, sf_dir):
+    return reports.most_bunched(models(spark, sf_dir)["line_regularity"], 10, 15)
+
+
+@register("least_regular")
+def least_regular(spark, sf_dir):
+    return reports.least_regular(models(spark, sf_dir)["line_regularity"], 12)
+
+
+@register("most_regular")
+def most_regular(spark, sf_dir):
+    return reports.most_regular(models(spark, sf_dir)["line_regularity"], 5)
+
+
+@register("top_bottlenecks")
+def top_bottlenecks(spark, sf_dir):
+    return reports.top_bottlenecks(models(spark, sf_dir)["slowest_segments"], 10, 10)
+
+
+@register("segment_labels")
+def segment_labels(spark, sf_dir):
+    s = models(spark, sf_dir)["slowest_segments"].select("line", "from_stop", "to_stop", "avg_lost_min")
+    return reports.with_segment_labels(s)
+
+
+@register("fastest_segments")
+def fastest_segments(spark, sf_dir):
+    return reports.fastest_segments(models(spark, sf_dir)["slowest_segments"], 5)
+
+
+@register("slowest_segments_top")
+def slowest_segments_top(spark, sf_dir):
+    return reports.slowest_segments_top(models(spark, sf_dir)["slowest_segments"], 15)
+
+
+@register("segment_counts")
+def segment_counts(spark, sf_dir):
+    m = models(spark, sf_dir)
+    return reports.segment_counts(m["segments"], m["slowest_segments"])
+
+
+@register("grid_summary")
+def grid_summary(spark, sf_dir):
+    return reports.grid_summary(models(spark, sf_dir)["speed_grid"])
+
+
+@register("slowest_cells")
+def slowest_cells(spark, sf_dir):
+    return reports.slowest_cells(models(spark, sf_dir)["speed_grid"], 50, 8)
+
+
+@register("table_counts")
+def table_counts(spark, sf_dir):
+    m = models(spark, sf_dir)
+    return reports.table_counts(m["positions"], m["stops"], m["routes"], m["trips"], m["stop_times"])
+
+
+@register("match_rate")
+def match_rate(spark, sf_dir):
+    m = models(spark, sf_dir)
+    return reports.match_rate(m["positions"], matching.trips_with_line(m["trips"], m["routes"]), REPORT_DAY)
+
+
+@register("top_line_brigade")
+def top_line_brigade(spark, sf_dir):
+    return reports.top_line_brigade(models(spark, sf_dir)["positions"], REPORT_DAY, 5)
+
+
+@register("top_line_brigade_gtfs")
+def top_line_brigade_gtfs(spark, sf_dir):
+    m = models(spark, sf_dir)
+    return reports.top_line_brigade_gtfs(matching.trips_with_line(m["trips"], m["routes"]), REPORT_DAY, 5)
+
+
+@register("delay_summary")
+def delay_summary(spark, sf_dir):
+    return reports.delay_summary(models(spark, sf_dir)["matches"])
+
+
+@register("largest_delays")
+def largest_delays(spark, sf_dir):
+    return reports.largest_delays(models(spark, sf_dir)["matches"], 10)
+
+
+@register("delay_buckets")
+def delay_buckets(spark, sf_dir):
+    return reports.delay_buckets(models(spark, sf_dir)["matches"])
+
+
+@register("bunching_rate")
+def bunching_rate(spark, sf_dir):
+    return reports.bunching_rate(models(spark, sf_dir)["headway"])
+
+
+@register("animation_stats")
+def animation_stats(spark, sf_dir):
+    return reports.animation_stats(models(spark, sf_dir)["animation_frames"])
+
+
+@register("frame_histogram")
+def frame_histogram(spark, sf_dir):
+    return reports.frame_histogram(models(spark, sf_dir)["animation_frames"], 10)
+
+
+@register("coverage_by_hour")
+def coverage_by_hour(spark, sf_dir):
+    return reports.coverage_by_hour(models(spark, sf_dir)["positions"], FIXTURE_PARAMS.as_of, 2)
+
+
+@register("coverage_range")
+def coverage_range(spark, sf_dir):
+    return reports.coverage_range(models(spark, sf_dir)["positions"], FIXTURE_PARAMS.as_of, 7)
+
+
+@register("fetch_histogram")
+def fetch_histogram(spark, sf_dir):
+    return reports.fetch_histogram(fixtures.raw_feed_text(spark, sf_dir), 10)
+
+
+@register("load_watermark")
+def load_watermark(spark, sf_dir):
+    return reports.load_watermark(models(spark, sf_dir)["positions"])
+
+
+# ---------------------------------------------------------------------------
+# scalar functions over whole tables
+# ---------------------------------------------------------------------------
+
+@register("scalar_casts")
+def scalar_casts(spark, sf_dir):
+    """Lenient text parsing of every raw text row (H1, H2)."""
+    t = fixtures.raw_feed_text(spark, sf_dir)
+    return t.select(
+        S.try_timestamp("fetch_time").alias("fetch_ts"),
+        S.try_timestamp("vehicle_time").cast("date").alias("vehicle_date"),
+        S.try_int("vehicle_type").alias("vehicle_type"),
+        S.try_double("lat").alias("lat"),
+        S.try_int(F.concat(F.col("line"), F.lit(".5"))).alias("line_half_up"),
+        S.try_date("vehicle_number").alias("not_a_date"),
+        S.try_timestamp(F.substring("vehicle_time", 1, 7)).alias("month_only"),
+        S.try_date(F.substring("vehicle_time", 1, 10)).alias("date_text"))
+
+
+@register("scalar_text")
+def scalar_text(spark, sf_dir):
+    """split_part, substring and concatenation over trips."""
+    t = fixtures.trips_text(spark, sf_dir)
+    return t.select(
+        "trip_id",
+        F.split_part("trip_id", F.lit(":"), F.lit(1)).alias("date_part"),
+        F.split_part("trip_id", F.lit(":"), F.lit(2)).alias("run_part"),
+        F.split_part("trip_id", F.lit(":"), F.lit(3)).alias("missing_part"),
+        F.substring("trip_id", 1, 18).alias("prefix18"),
+        F.concat(F.col("route_id"), F.lit(":  "), F.col("block_short_name")).alias("label"))
+
+
+@register("scalar_time")
+def scalar_time(spark, sf_dir):
+    """Interval arithmetic past 24 h, extraction, formatting, buckets."""
+    m = models(spark, sf_dir)
+    st = m["stop_times"]
+    return st.select(
+        "trip_id", "stop_sequence", "scheduled_arrival",
+        S.seconds_between(F.col("service_date").cast("timestamp_ntz"), "scheduled_arrival").alias("secs_from_day"),
+        F.hour("scheduled_arrival").cast("bigint").alias("hour_of_day"),
+        S.day_of_week_sun0("scheduled_arrival").alias("dow"),
+        F.date_format("scheduled_arrival", "EEEE").alias("day_name"),
+        F.date_format("scheduled_arrival", "HH:mm").alias("hhmm"),
+        S.time_bucket("scheduled_arrival", 15).alias("bucket15"),
+        F.year("scheduled_arrival").cast("bigint").alias("year"),
+        F.month("scheduled_arrival").cast("bigint").alias("month"),
+        F.dayofmonth("scheduled_arrival").cast("bigint").alias("day"))
+
+
+@register("scalar_math")
+def scalar_math(spark, sf_dir):
+    """sqrt/pow/cos/radians/abs, rounding, coalesce/nullif, grid snap."""
+    p = models(spark, sf_dir)["positions"]
+    return p.select(
+        "vehicle_number", "vehicle_time",
+        F.sqrt(F.abs(F.col("lat") - F.lit(52.2))).alias("sqrt_dlat"),
+        F.pow(F.col("lon") - F.lit(21.0), F.lit(2.0)).alias("pow_dlon"),
+        F.cos(F.radians("lat")).alias("cos_lat"),
+        S.duck_round("lat", 3).alias("lat3"),
+        S.duck_round(F.col("lon") * F.lit(1000.0), 0).alias("lon_milli"),
+        F.coalesce(F.col("vehicle_type"), F.lit(-1)).alias("vt_or_minus1"),
+        F.when(F.col("vehicle_type") != F.lit(1), F.col("vehicle_type")).alias("vt_nullif_1"),
+        (S.duck_round(F.col("lat") / F.lit(0.0027), 0) * F.lit(0.0027)).alias("cell_lat"))
+
+
+# ---------------------------------------------------------------------------
+# data quality
+# ---------------------------------------------------------------------------
+
+CORE_MODELS = ["positions", "stops", "routes", "trips", "stop_times", "calendar", "moves", "matches",
+               "headway", "segments"]
+
+
+def extra_checks() -> list:
+    """Checks on the raw feed before cleaning (these do find failures)."""
+    C = quality.Check
+    return [
+        C("unique_combination", "raw_positions", ("vehicle_number", "vehicle_time")),
+        C("accepted_range", "raw_positions", ("lat",), min_value=51.9, max_value=52.5),
+        C("not_null", "raw_positions", ("fetch_time",)),
+    ]
+
+
+def _dq(spark, sf_dir, tests: set | None, core_only: bool):
+    m = models(spark, sf_dir)
+    numbered = [(i, c) for i, c in enumerate(quality.declared_checks() + extra_checks())
+                if (tests is None or c.test in tests)
+                and (not core_only or c.model in CORE_MODELS + ["raw_positions"])]
+    checks = [c for _, c in numbered]
+    names = {c.model for c in checks} | {c.to_model for c in checks if c.to_model}
+    frames = {n: (_union(spark, sf_dir) if n == "raw_positions" else m[n]) for n in names}
+    return quality.run_checks(frames, checks, [i for i, _ in numbered])
+
+
+@register("dq_not_null")
+def dq_not_null(spark, sf_dir):
+    return _dq(spark, sf_dir, {"not_null"}, True)
+
+
+@register("dq_unique")
+def dq_unique(spark, sf_dir):
+    return _dq(spark, sf_dir, {"unique"}, True)
+
+
+@register("dq_accepted_values")
+def dq_accepted_values(spark, sf_dir):
+    return _dq(spark, sf_dir, {"accepted_values"}, True)
+
+
+@register("dq_accepted_range")
+def dq_accepted_range(spark, sf_dir):
+    return _dq(spark, sf_dir, {"accepted_range"}, True)
+
+
+@register("dq_relationships")
+def dq_relationships(spark, sf_dir):
+    return _dq(spark, sf_dir, {"relationships"}, True)
+
+
+@register("dq_unique_combination")
+def dq_unique_combination(spark, sf_dir):
+    return _dq(spark, sf_dir, {"unique_combination"}, True)
+
+
+# ---------------------------------------------------------------------------
+# history and incremental loads
+# ---------------------------------------------------------------------------
+
+SNAP_T1 = "2024-01-01 00:00:00"
+SNAP_T2 = "2024-01-15 00:00:00"
+
+
+def _stops_history(spark, sf_dir):
+    v1, v2 = fixtures.stops_text_versions(spark, sf_dir)
+    cols = ["stop_name", "stop_lat", "stop_lon"]
+    h1 = history.snapshot(staging.gtfs_stops(v1), None, "stop_id", cols, SNAP_T1)
+    return history.snapshot(staging.gtfs_stops(v2), h1, "stop_id", cols, SNAP_T2)
+
+
+@register("scd2_stops")
+def scd2_stops(spark, sf_dir):
+    """Stops history after two published versions (check strategy)."""
+    return _stops_history(spark, sf_dir)
+
+
+@register("scd2_routes")
+def scd2_routes(spark, sf_dir):
+    """Routes history after two published versions (check strategy)."""
+    v1, v2 = fixtures.routes_text_versions(spark, sf_dir)
+    cols = ["line", "route_long_name", "route_type"]
+    h1 = history.snapshot(staging.gtfs_routes(v1), None, "route_id", cols, SNAP_T1)
+    return history.snapshot(staging.gtfs_routes(v2), h1, "route_id", cols, SNAP_T2)
+
+
+@register("scd2_asof_lookup")
+def scd2_asof_lookup(spark, sf_dir):
+    """Stop matches with the stop name and position valid at the arrival time."""
+    mt = models(spark, sf_dir)["matches"].select("vehicle_number", "actual_time", "stop_id")
+    return history.asof_lookup(mt, _stops_history(spark, sf_dir), "stop_id", "actual_time",
+                               ["stop_name", "stop_lat"], prefix="hist_")
+
+
+SLICE_AT = "2024-01-16 00:00:00"
+BATCH_FROM = "2024-01-15 00:00:00"
+
+
+@register("incremental_upsert")
+def incremental_upsert(spark, sf_dir):
+    """Load positions before 16 Jan, then upsert a batch cleaned from the raw
+    feed from 15 Jan on (overlapping day): equals the full load."""
+    m = models(spark, sf_dir)
+    cut = F.lit(SLICE_AT).cast("timestamp_ntz")
+    start = F.lit(BATCH_FROM).cast("timestamp_ntz")
+    target = m["positions"].filter(F.col("vehicle_time") < cut)
+    i = m.inputs
+    batch = staging.clean_positions(i["positions_csv"].filter(S.try_timestamp("vehicle_time") >= start),
+                                    i["positions_parquet"].filter(F.col("vehicle_time") >= start))
+    day = F.to_date("vehicle_time")
+    out = incremental.upsert(target.withColumn("vehicle_date", day), batch.withColumn("vehicle_date", day),
+                             ["vehicle_number", "vehicle_time"], ["fetch_time", "lat", "lon"],
+                             partition_col="vehicle_date")
+    return out.drop("vehicle_date")
+
+
+@register("high_water_mark")
+def high_water_mark(spark, sf_dir):
+    """Raw typed rows fetched after the newest fetch already loaded."""
+    m = models(spark, sf_dir)
+    loaded = m["positions"].filter(F.col("fetch_time") < F.lit(SLICE_AT).cast("timestamp_ntz"))
+    return incremental.newer_than_target(_union(spark, sf_dir), loaded, "fetch_time")

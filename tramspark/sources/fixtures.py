@@ -179,3 +179,46 @@ def transit_inputs(spark: SparkSession, sf_dir: str) -> dict:
         "trips": trips_text(spark, sf_dir),
         "stop_times": stop_times_text(spark, sf_dir),
     }
+
+
+def stops_text_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two published versions of stops.txt (for dimension history).
+
+    Version 1 lacks the name of every sixth stop.  Version 2 renames some
+    stops, moves others, drops some and adds new ones.
+    """
+    n = _table(spark, sf_dir, "nation")
+    key = F.col("n_nationkey")
+    lat = F.lit(52.20) + key * F.lit(0.002)
+    lon = F.lit(21.00) + key * F.lit(0.001)
+    town = F.concat(F.lit("Region "), F.col("n_regionkey").cast("string"))
+    v1 = n.select(key.cast("string").alias("stop_id"),
+                  F.when(key % 6 != 5, F.col("n_name")).alias("stop_name"),
+                  lat.cast("string").alias("stop_lat"), lon.cast("string").alias("stop_lon"),
+                  town.alias("town_name"))
+    kept = n.filter(key % 5 != 3)
+    v2_old = kept.select(
+        key.cast("string").alias("stop_id"),
+        F.when(key % 5 == 1, F.concat(F.col("n_name"), F.lit(" II"))).otherwise(F.col("n_name")).alias("stop_name"),
+        F.when(key % 5 == 2, lat + F.lit(0.0005)).otherwise(lat).cast("string").alias("stop_lat"),
+        lon.cast("string").alias("stop_lon"), town.alias("town_name"))
+    v2_new = n.filter(key % 5 == 4).select(
+        (key + F.lit(100)).cast("string").alias("stop_id"),
+        F.concat(F.col("n_name"), F.lit(" NEW")).alias("stop_name"),
+        (lat + F.lit(0.001)).cast("string").alias("stop_lat"), lon.cast("string").alias("stop_lon"),
+        town.alias("town_name"))
+    return v1, v2_old.unionByName(v2_new)
+
+
+def routes_text_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two published versions of routes.txt: line '1' renamed, a night route
+    added per line."""
+    v1 = routes_text(spark, sf_dir)
+    changed = v1.select("route_id", "route_short_name",
+                        F.when(F.col("route_short_name") == F.lit("1"), F.lit("Line 1 via Centre"))
+                        .otherwise(F.col("route_long_name")).alias("route_long_name"), "route_type")
+    night = v1.select(F.concat(F.lit("N"), F.col("route_short_name")).alias("route_id"),
+                      F.concat(F.lit("N"), F.col("route_short_name")).alias("route_short_name"),
+                      F.concat(F.lit("Night "), F.col("route_short_name")).alias("route_long_name"),
+                      "route_type")
+    return v1, changed.unionByName(night)
