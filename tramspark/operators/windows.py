@@ -6,13 +6,14 @@ rows, so the history of a key is cut into time buckets (one day by default):
 
 1. ``lag`` inside ``(key, bucket)`` - a shuffle on a key that is never hot
    beyond one bucket of one entity.
-2. The last row of every ``(key, bucket)`` - an aggregate over the same
-   partitioning (no extra shuffle of the big side), one row per bucket.
+2. The last row of every ``(key, bucket)`` - a partial (map-side) aggregate,
+   so only one row per key and bucket per task is shuffled.
 3. The previous non-empty bucket's last row per key - a window over that
    small table (rows = buckets, not pings).
 4. The first row of each bucket takes its predecessor from step 3 (a join on
-   ``(key, bucket)``; the big side is already partitioned on it and AQE
-   broadcasts the small side once it has measured it).
+   ``(key, bucket)``; the big side is already partitioned on it by the window
+   and the small side is broadcast only when its measured size is under the
+   broadcast threshold, otherwise it is shuffled to the same partitioning).
 
 The result equals the plain window whenever the ordering is total within a
 key; callers pass tie-break columns to make it so.  Partition keys must be
@@ -53,18 +54,26 @@ def ordered_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         return df.select("*", *[F.lag(src).over(w).alias(out) for out, src in values.items()])
 
     b = bucket if bucket is not None else day_bucket(order[0])
-    # One explicit shuffle on (key, bucket); the window and the tail aggregate
-    # both read it, so the upstream plan runs once.
-    with_b = df.withColumn(_B, b).repartition(*keys, _B)
+    with_b = df.withColumn(_B, b)
     w = Window.partitionBy(*keys, _B).orderBy(*order)
     inner = with_b.select(
         "*",
         F.lag(F.lit(1)).over(w).isNull().alias(_FIRST),
         *[F.lag(src).over(w).alias(out) for out, src in values.items()],
     )
-    # Last row per (key, bucket): max of the ordering struct carries the values.
-    tail_struct = F.struct(*[F.col(c) for c in order], *[F.col(src).alias(out) for out, src in values.items()])
-    tails = with_b.groupBy(*keys, _B).agg(F.max(tail_struct).alias(_TAIL))
+    # Last row per (key, bucket), pre-aggregated map-side (one row per key and
+    # bucket per task before the shuffle).  A single ordering column allows
+    # max_by per value (hash aggregation); otherwise the max of the ordering
+    # struct carries the values.
+    if len(order) == 1:
+        o = F.col(order[0])
+        tails = with_b.groupBy(*keys, _B).agg(F.struct(
+            F.max(o).alias(order[0]),
+            *[F.max_by(F.col(src), o).alias(out) for out, src in values.items()]).alias(_TAIL))
+    else:
+        tail_struct = F.struct(*[F.col(c) for c in order],
+                               *[F.col(src).alias(out) for out, src in values.items()])
+        tails = with_b.groupBy(*keys, _B).agg(F.max(tail_struct).alias(_TAIL))
     wk = Window.partitionBy(*keys).orderBy(_B)
     prev = tails.select(*keys, _B, F.lag(_TAIL).over(wk).alias(_PREV))
     joined = inner.join(prev, on=[*keys, _B], how="left")

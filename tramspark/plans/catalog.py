@@ -25,9 +25,15 @@ def register(name: str):
     return deco
 
 
-def models(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> Models:
-    """Lazy model graph over the adapter inputs of ``sf_dir``."""
-    return Models(fixtures.transit_inputs(spark, sf_dir), params)
+def models(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS,
+           materialize_shared: bool = False) -> Models:
+    """Model graph over the adapter inputs of ``sf_dir``.
+
+    Lazy by default; with ``materialize_shared`` the models read by several
+    others are written once to the shared checkpoint folder and read back, so
+    a query touching many models does not recompute the graph per branch.
+    """
+    return Models(fixtures.transit_inputs(spark, sf_dir), params, materialize_shared)
 
 
 def _model_query(name: str) -> QueryFn:
@@ -402,7 +408,7 @@ def extra_checks() -> list:
 
 
 def _dq(spark, sf_dir, tests: set | None, core_only: bool):
-    m = models(spark, sf_dir)
+    m = models(spark, sf_dir, materialize_shared=True)
     numbered = [(i, c) for i, c in enumerate(quality.declared_checks() + extra_checks())
                 if (tests is None or c.test in tests)
                 and (not core_only or c.model in CORE_MODELS + ["raw_positions"])]

@@ -65,14 +65,20 @@ FIXTURE_PARAMS = Params(as_of="2024-01-31", retention_days=31, regularity_max_av
 class Models:
     """Lazily built, memoised model DataFrames keyed by name."""
 
-    def __init__(self, inputs: dict, params: Params = FIXTURE_PARAMS):
+    def __init__(self, inputs: dict, params: Params = FIXTURE_PARAMS, materialize_shared: bool = False,
+                 out_dir: str | None = None):
         self.inputs = inputs
         self.p = params
+        self.materialize_shared = materialize_shared
+        self.out_dir = out_dir
         self._cache: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
-            self._cache[name] = getattr(self, f"_m_{name}")()
+            df = getattr(self, f"_m_{name}")()
+            if self.materialize_shared and name in SHARED_MODELS:
+                df = materialize(df, name, self.out_dir)
+            self._cache[name] = df
         return self._cache[name]
 
     def put(self, name: str, df: DataFrame) -> None:
@@ -176,12 +182,77 @@ def build_all(inputs: dict, params: Params = FIXTURE_PARAMS, out_dir: str | None
               materialize_shared: bool = True) -> dict[str, DataFrame]:
     """Run the whole graph once: shared models are written and reused, every
     model is returned (written ones as their Parquet reads)."""
+    m = Models(inputs, params, materialize_shared, out_dir)
+    return {name: m[name] for name in MODEL_ORDER}
+
+
+# Upstream models of each model (the graph's edges).
+DEPS = {
+    "positions": [], "stops": [], "routes": [], "trips": [],
+    "stop_times": ["trips", "positions"], "calendar": ["positions"],
+    "moves": ["positions"], "matches": ["positions", "stop_times", "trips", "routes", "stops"],
+    "visits": ["matches"], "headway": ["visits"], "segments": ["matches"],
+    "line_speed": ["moves"], "speed_by_hour": ["moves"], "speed_grid": ["moves"],
+    "line_punctuality": ["matches"], "punctuality_by_hour": ["matches"], "worst_stops": ["matches", "stops"],
+    "line_regularity": ["headway"], "slowest_segments": ["segments"], "animation_frames": ["positions"],
+}
+
+# Models kept as views (not written): cheap projections of a feed file, and
+# the visit step that lives inside the headway model.
+VIEWS = {"stops", "routes", "visits"}
+
+
+def build_graph(inputs: dict, params: Params = FIXTURE_PARAMS, out_dir: str | None = None,
+                threads: int = 4, names: list[str] | None = None) -> dict[str, DataFrame]:
+    """Write every table model once, ``threads`` models at a time.
+
+    A model starts when all its upstream models are written; each reads its
+    upstream tables (not their lineage).  Spark runs the concurrent jobs on
+    the same executors, so independent branches (speed marts, punctuality
+    marts, calendar, segments ...) overlap instead of queueing.
+    """
+    from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
+
+    spark = next(iter(inputs.values())).sparkSession
+    base = out_dir or shared_dir(spark, "models")
     m = Models(inputs, params)
-    result = {}
-    for name in MODEL_ORDER:
-        df = m[name]
-        if materialize_shared and name in SHARED_MODELS:
-            df = materialize(df, name, out_dir)
-            m.put(name, df)
-        result[name] = df
-    return result
+    todo = list(names or MODEL_ORDER)
+    need = set()
+
+    def add(n):
+        if n not in need:
+            need.add(n)
+            for d in DEPS[n]:
+                add(d)
+    for n in todo:
+        add(n)
+    done: set[str] = set()
+    tables: dict[str, DataFrame] = {}
+
+    def ready(n):
+        return all(d in done for d in DEPS[n])
+
+    def build(n):
+        df = m[n]
+        if n in VIEWS:
+            return n, df
+        path = f"{base.rstrip('/')}/{n}"
+        df.write.mode("overwrite").parquet(path)
+        return n, spark.read.parquet(path)
+
+    pending = {n for n in need}
+    running = {}
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        while pending or running:
+            for n in sorted(pending, key=lambda x: MODEL_ORDER.index(x)):
+                if ready(n) and len(running) < threads:
+                    pending.discard(n)
+                    running[pool.submit(build, n)] = n
+            fin, _ = wait(list(running), return_when=FIRST_COMPLETED)
+            for f in fin:
+                n, df = f.result()
+                running.pop(f)
+                m.put(n, df)
+                tables[n] = df
+                done.add(n)
+    return tables
