@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tramspark.operators.staging import dedup_first
-from tramspark.session import shared_dir
+from tramspark.session import path_exists, shared_dir
 
 EPOCH = "1970-01-01 00:00:00"
 
@@ -74,9 +74,7 @@ def write_upsert(spark, path: str, batch: DataFrame, keys: Sequence[str], order:
     Stages only the merged, touched partitions, then overwrites exactly those
     partitions of the target.  Returns the table as read after the write.
     """
-    import os
-    exists = os.path.exists(path) if "://" not in path else True
-    if not exists:
+    if not path_exists(spark, path):
         batch.write.mode("overwrite").partitionBy(partition_col).parquet(path)
         return spark.read.parquet(path)
     target = spark.read.parquet(path)

@@ -514,3 +514,86 @@ def high_water_mark(spark, sf_dir):
     m = models(spark, sf_dir)
     loaded = m["positions"].filter(F.col("fetch_time") < F.lit(SLICE_AT).cast("timestamp_ntz"))
     return incremental.newer_than_target(_union(spark, sf_dir), loaded, "fetch_time")
+
+
+# ---------------------------------------------------------------------------
+# streaming (each runs to completion, then returns its sink as a DataFrame)
+# ---------------------------------------------------------------------------
+
+from tramspark.streaming import positions as streams  # noqa: E402
+
+STREAM_FILES = 12
+STREAM_FILES_PER_TRIGGER = 3
+
+
+def _land_raw(spark, sf_dir) -> str:
+    """The raw feed as typed collector batches landing in time order."""
+    src = shared_dir(spark, "stream-raw")
+    raw = _union(spark, sf_dir).select(
+        "fetch_time", "vehicle_number", "line", "brigade",
+        F.col("vehicle_type").cast("tinyint").alias("vehicle_type"), "lat", "lon", "vehicle_time")
+    streams.land_in_order(raw, src, STREAM_FILES, "vehicle_time")
+    return src
+
+
+def _land(spark, df, name, order_col) -> str:
+    src = shared_dir(spark, name)
+    streams.land_in_order(df, src, STREAM_FILES, order_col)
+    return src
+
+
+def _drain(spark, df, name, mode="append"):
+    sink, ckpt = shared_dir(spark, f"{name}-sink"), shared_dir(spark, f"{name}-ckpt")
+    streams.run_to_completion(df, sink, ckpt, mode)
+    return spark.read.parquet(sink)
+
+
+@register("stream_dedup")
+def stream_dedup(spark, sf_dir):
+    """K1+K2: file-stream of raw batches, first fetch per (vehicle, time) by
+    event-time aggregation with a 10-minute watermark (keys the final
+    watermark has not passed stay in state)."""
+    s = streams.position_stream(spark, _land_raw(spark, sf_dir), STREAM_FILES_PER_TRIGGER)
+    return _drain(spark, streams.dedup_stream(s, "10 minutes"), "stream-dedup")
+
+
+@register("stream_frames")
+def stream_frames(spark, sf_dir):
+    """K4: 15-minute frames over the cleaned-position stream, all days."""
+    src = _land(spark, models(spark, sf_dir)["positions"], "stream-positions", "vehicle_time")
+    s = spark.readStream.schema(spark.read.parquet(src).schema) \
+        .option("maxFilesPerTrigger", STREAM_FILES_PER_TRIGGER).parquet(src)
+    return _drain(spark, streams.frames_stream(s, 15, "10 minutes"), "stream-frames")
+
+
+@register("stream_visits")
+def stream_visits(spark, sf_dir):
+    """K5: visits as 10-minute session windows over the matched-ping stream."""
+    mt = models(spark, sf_dir)["matches"].select("line", "stop_id", "stop_name", "vehicle_number", "actual_time")
+    src = _land(spark, mt, "stream-matches", "actual_time")
+    s = spark.readStream.schema(spark.read.parquet(src).schema) \
+        .option("maxFilesPerTrigger", STREAM_FILES_PER_TRIGGER).parquet(src)
+    return _drain(spark, streams.visits_stream(s, 600, "30 minutes"), "stream-visits")
+
+
+@register("stream_moves")
+def stream_moves(spark, sf_dir):
+    """K6: vehicle moves with the previous ping per vehicle kept in state."""
+    src = _land(spark, models(spark, sf_dir)["positions"], "stream-positions", "vehicle_time")
+    s = spark.readStream.schema(spark.read.parquet(src).schema) \
+        .option("maxFilesPerTrigger", STREAM_FILES_PER_TRIGGER).parquet(src)
+    return _drain(spark, streams.moves_stream(s), "stream-moves")
+
+
+@register("stream_upsert")
+def stream_upsert(spark, sf_dir):
+    """K1+K7: raw batches cleaned per micro-batch and merged into a
+    date-partitioned table by foreachBatch (first fetch wins)."""
+    s = streams.position_stream(spark, _land_raw(spark, sf_dir), STREAM_FILES_PER_TRIGGER)
+    target = shared_dir(spark, "stream-upsert-target")
+    ckpt = shared_dir(spark, "stream-upsert-ckpt")
+    q = (s.writeStream.foreachBatch(streams.upsert_sink(target)).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(target).select(*[c for c in ["fetch_time", "vehicle_time", "vehicle_number", "line",
+                                                            "brigade", "vehicle_type", "lat", "lon"]])

@@ -69,3 +69,10 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         sc.setCheckpointDir(base)
     base = base.rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, through the cluster's Hadoop file system."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
