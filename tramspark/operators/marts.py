@@ -1,6 +1,6 @@
 """Summary tables per line, hour, stop, segment and grid cell.
 
-All are single-pass hash aggregates: partial aggregation runs map-side, so a
+All are single-pass aggregates with a map-side partial step, so a
 hot line or stop is pre-reduced before the shuffle.  Averages and medians of
 rounded inputs use exact integer grids (see ``functions.scalar``).  Table
 materialisations do not sort (row order of a stored table is not a Spark

@@ -13,7 +13,7 @@ implies the buckets differ by at most one, so the schedule side is repeated
 into its bucket and both neighbours and the join becomes an equi-join on
 (line, brigade, date, bucket).  The exact filters still apply, so the result
 is identical; the candidate fan-out drops from a day of trips to about three
-buckets of trips.  The winner is a ``min(struct)`` hash aggregate per
+buckets of trips.  The winner is a ``min(struct)`` aggregate (sort-based) per
 (vehicle, time) with a map-side partial step instead of a ranking window.
 """
 
@@ -31,12 +31,24 @@ def trips_with_line(trips: DataFrame, routes: DataFrame) -> DataFrame:
     return trips.select("trip_id", "route_id", "service_date", "brigade").join(r, "route_id").drop("route_id")
 
 
-def retained_positions(positions: DataFrame, as_of: str, retention_days: int) -> DataFrame:
-    """Positions at or after ``as_of - retention_days`` with their service date."""
+def retained_positions(positions: DataFrame, as_of: str, retention_days: int,
+                       previous_service_day_until: int | None = None) -> DataFrame:
+    """Positions at or after ``as_of - retention_days`` with their service date.
+
+    With ``previous_service_day_until=h`` a ping before hour ``h`` is also
+    offered to the previous day's trips (whose arrivals run past 24:00); by
+    default a ping only meets trips of its own calendar date.
+    """
     cutoff = F.lit(as_of).cast("date").cast("timestamp_ntz") - F.make_dt_interval(F.lit(retention_days))
+    day = F.to_date("vehicle_time")
+    if previous_service_day_until is None:
+        service = day
+    else:
+        service = F.explode(F.when(F.hour("vehicle_time") < F.lit(previous_service_day_until),
+                                   F.array(day, F.date_sub(day, 1))).otherwise(F.array(day)))
     return (positions.filter(F.col("vehicle_time") >= cutoff)
             .select("vehicle_number", "line", "brigade", "vehicle_time", "lat", "lon",
-                    F.to_date("vehicle_time").alias("service_date")))
+                    service.alias("service_date")))
 
 
 def schedule_points(stop_times: DataFrame, trips: DataFrame, routes: DataFrame, stops: DataFrame) -> DataFrame:
@@ -86,14 +98,15 @@ def best_match(cand: DataFrame) -> DataFrame:
 
 def stop_matches(positions: DataFrame, stop_times: DataFrame, trips: DataFrame, routes: DataFrame,
                  stops: DataFrame, as_of: str, retention_days: int = 2, radius_m: float = 100.0,
-                 window_s: int = 900, bucketed: bool = True) -> DataFrame:
+                 window_s: int = 900, bucketed: bool = True,
+                 previous_service_day_until: int | None = None) -> DataFrame:
     """Matched stop arrivals with signed delay (late positive).
 
     Output: trip_id, vehicle_number, line, brigade, stop_id, stop_name,
     actual_time, scheduled_arrival, meters_to_stop (whole metres),
     delay_seconds, delay_minutes (0.1 min).
     """
-    pos = retained_positions(positions, as_of, retention_days)
+    pos = retained_positions(positions, as_of, retention_days, previous_service_day_until)
     sched = schedule_points(stop_times, trips, routes, stops)
     cand = stop_match_candidates(pos, sched, radius_m, window_s, bucketed)
     b = best_match(cand)

@@ -70,9 +70,10 @@ def dedup_first(df: DataFrame, keys=("vehicle_number", "vehicle_time"),
     """Keep the first observation per key: earliest ``fetch_time`` (NULLs last),
     then ``lat``, ``lon`` and the remaining columns as tie-breaks.
 
-    Expressed as ``min(struct)`` per key, a hash aggregate with a map-side
-    partial step: a key repeated by many polls shrinks before the shuffle and
-    never needs sorting, unlike a ``row_number`` window.
+    Expressed as ``min(struct)`` per key, an aggregate (sort-based, since the
+    struct carries strings) with a map-side partial step: a key repeated by
+    many polls shrinks to one row per task before the shuffle, whereas a
+    ``row_number`` window shuffles and sorts every copy.
     """
     keys, order = list(keys), list(order)
     rest = [c for c in df.columns if c not in keys and c not in order]

@@ -30,6 +30,9 @@ class Params:
     radius_m: float = 100.0
     window_s: int = 900
     bucketed_match: bool = True
+    # None: a ping meets only trips of its calendar date (reference
+    # behaviour); an hour h also offers pings before h to the previous day.
+    previous_service_day_until: int | None = None
     visit_gap_s: int = 600
     headway_min: float = 0.1
     headway_max: float = 120.0
@@ -114,7 +117,7 @@ class Models:
         p = self.p
         return matching.stop_matches(self["positions"], self["stop_times"], self["trips"], self["routes"],
                                      self["stops"], p.as_of, p.retention_days, p.radius_m, p.window_s,
-                                     p.bucketed_match)
+                                     p.bucketed_match, p.previous_service_day_until)
 
     def _m_visits(self):
         return hw.stop_visits(self["matches"], self.p.visit_gap_s)
@@ -170,6 +173,13 @@ MODEL_ORDER = [
 SHARED_MODELS = ["positions", "trips", "stop_times", "moves", "matches", "headway", "segments"]
 
 
+def register_views(models: "Models | dict", names: list[str] | None = None) -> None:
+    """Expose models as temporary views for ad-hoc, read-only SQL
+    (``spark.sql("select ... from line_speed")``)."""
+    for n in names or MODEL_ORDER:
+        models[n].createOrReplaceTempView(n)
+
+
 def materialize(df: DataFrame, name: str, base: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder, read it back."""
     spark = df.sparkSession
@@ -228,17 +238,24 @@ def build_graph(inputs: dict, params: Params = FIXTURE_PARAMS, out_dir: str | No
         add(n)
     done: set[str] = set()
     tables: dict[str, DataFrame] = {}
+    import time
+    start = time.time()
+    timings: dict[str, tuple] = {}
 
     def ready(n):
         return all(d in done for d in DEPS[n])
 
     def build(n):
+        import time
+        t0 = time.time()
         df = m[n]
         if n in VIEWS:
             return n, df
         path = f"{base.rstrip('/')}/{n}"
         df.write.mode("overwrite").parquet(path)
-        return n, spark.read.parquet(path)
+        out = spark.read.schema(df.schema).parquet(path)
+        timings[n] = (round(t0 - start, 2), round(time.time() - start, 2))
+        return n, out
 
     pending = {n for n in need}
     running = {}
@@ -255,4 +272,5 @@ def build_graph(inputs: dict, params: Params = FIXTURE_PARAMS, out_dir: str | No
                 m.put(n, df)
                 tables[n] = df
                 done.add(n)
+    build_graph.last_timings = timings
     return tables
