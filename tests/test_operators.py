@@ -142,3 +142,26 @@ def test_asof_lookup_picks_valid_version(spark):
     out = sorted((r["t"], r["h_stop_name"]) for r in history.asof_lookup(f, h, "stop_id", "t", ["stop_name"], "h_")
                  .collect())
     assert [n for _, n in out] == ["A", "A2"]
+
+
+def test_landing_gate(spark, tmp_path):
+    import pytest
+    from tramspark.sources import files
+    df = spark.createDataFrame([("2024-01-10T08:00:20", "a", "1", "1", "2", "52.2", "21.0", "2024-01-10T08:00:00"),
+                                ("bad", "b", "1", "1", "x", "52.2", "21.0", "2024-01-10T08:00:00")],
+                               ",".join(f"{c} string" for c in ["fetch_time", "vehicle_number", "line", "brigade",
+                                                                 "vehicle_type", "lat", "lon", "vehicle_time"]))
+    typed = files.coerce_position_types(df)
+    rows = {r["vehicle_number"]: r for r in typed.collect()}
+    assert rows["b"]["fetch_time"] is None and rows["b"]["vehicle_type"] is None
+    path = str(tmp_path / "landing")
+    files.write_positions_batch(df, path)
+    landed = spark.read.parquet(path)
+    stats = files.landing_stats(landed).first()
+    assert stats["rows"] == 2 and stats["files"] >= 1 and stats["total_bytes"] > 0
+    now = dt.datetime.now()
+    assert files.check_freshness(landed, now, min_bytes=1)["rows"] == 2
+    with pytest.raises(RuntimeError):
+        files.check_freshness(landed, now, min_bytes=10 ** 9)
+    with pytest.raises(RuntimeError):
+        files.check_freshness(landed, now + dt.timedelta(hours=2), min_bytes=1)

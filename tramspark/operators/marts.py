@@ -140,7 +140,15 @@ def slowest_segments(segments: DataFrame, min_n: int = 5, over_min: float = 1.0)
 
 
 def latest_day(positions: DataFrame) -> DataFrame:
-    """Positions of the most recent collected date (1-row aggregate, broadcast)."""
+    """Positions of the most recent collected date.
+
+    The date is a 1-row aggregate: a scalar subquery on a date-partitioned
+    table (partition pruning), otherwise a broadcast 1-row join."""
+    if "vehicle_date" in positions.columns:
+        # date-partitioned input: a scalar subquery on the partition column is
+        # evaluated first and prunes the scan to the latest partition
+        last = positions.agg(F.max("vehicle_date")).scalar()
+        return positions.filter(F.col("vehicle_date") == last)
     last = positions.agg(F.max(F.to_date("vehicle_time")).alias("__d"))
     return positions.join(F.broadcast(last), F.to_date(positions["vehicle_time"]) == F.col("__d")).drop("__d")
 

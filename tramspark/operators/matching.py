@@ -46,7 +46,12 @@ def retained_positions(positions: DataFrame, as_of: str, retention_days: int,
     else:
         service = F.explode(F.when(F.hour("vehicle_time") < F.lit(previous_service_day_until),
                                    F.array(day, F.date_sub(day, 1))).otherwise(F.array(day)))
-    return (positions.filter(F.col("vehicle_time") >= cutoff)
+    keep = F.col("vehicle_time") >= cutoff
+    if "vehicle_date" in positions.columns:
+        # the cut-off is a midnight, so this is the same condition on the
+        # date-partition column: only the retained partitions are read
+        keep = keep & (F.col("vehicle_date") >= F.date_sub(F.lit(as_of).cast("date"), retention_days))
+    return (positions.filter(keep)
             .select("vehicle_number", "line", "brigade", "vehicle_time", "lat", "lon",
                     service.alias("service_date")))
 

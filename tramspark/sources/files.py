@@ -47,16 +47,25 @@ def drop_header_rows(df: DataFrame, column: str = "fetch_time") -> DataFrame:
 
 
 def coerce_position_types(df: DataFrame) -> DataFrame:
-    """Ingest coercion: ids to text, type to integer or NULL, lat/lon to double."""
+    """Ingest coercion: ids to text, type to integer or NULL, lat/lon to double.
+
+    Text timestamps go through the lenient parser (a bad cell becomes NULL
+    instead of failing the job under ANSI casts)."""
+    from tramspark.functions.scalar import try_timestamp
+    types = dict(df.dtypes)
+
+    def ts(c):
+        return try_timestamp(c) if types.get(c) == "string" else F.col(c).cast("timestamp_ntz")
+
     return df.select(
-        F.col("fetch_time").cast("timestamp_ntz").alias("fetch_time"),
+        ts("fetch_time").alias("fetch_time"),
         F.col("vehicle_number").cast("string").alias("vehicle_number"),
         F.col("line").cast("string").alias("line"),
         F.col("brigade").cast("string").alias("brigade"),
         F.col("vehicle_type").try_cast("tinyint").alias("vehicle_type"),
         F.col("lat").try_cast("double").alias("lat"),
         F.col("lon").try_cast("double").alias("lon"),
-        F.col("vehicle_time").cast("timestamp_ntz").alias("vehicle_time"),
+        ts("vehicle_time").alias("vehicle_time"),
     )
 
 
@@ -67,7 +76,7 @@ def write_positions_batch(df: DataFrame, path: str, partition_by: str | None = "
     """
     out = coerce_position_types(df)
     if partition_by:
-        out = out.withColumn(partition_by, F.to_date("vehicle_time"))
+        out = out.withColumn(partition_by, F.to_date("vehicle_time")).hint("rebalance", partition_by)
         out.write.mode("append").option("compression", "zstd").partitionBy(partition_by).parquet(path)
     else:
         out.write.mode("append").option("compression", "zstd").parquet(path)
