@@ -165,3 +165,12 @@ def test_landing_gate(spark, tmp_path):
         files.check_freshness(landed, now, min_bytes=10 ** 9)
     with pytest.raises(RuntimeError):
         files.check_freshness(landed, now + dt.timedelta(hours=2), min_bytes=1)
+
+
+def test_visits_ignore_duplicate_pings(spark):
+    rows = [("1", "S1", "Alpha", "a", ts(0)), ("1", "S1", "Alpha", "a", ts(0)), ("1", "S1", "Alpha", "a", ts(300)),
+            ("1", "S1", "Alpha", "a", ts(2000)), ("1", "S1", "Alpha", "a", ts(2000))]
+    m = spark.createDataFrame(rows, "line string, stop_id string, stop_name string, vehicle_number string, "
+                                    "actual_time timestamp_ntz")
+    v = sorted(r["arrival_time"] for r in hw.stop_visits(m).collect())
+    assert v == [ts(0), ts(2000)]
