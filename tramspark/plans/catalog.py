@@ -627,3 +627,10 @@ def stop_matches_prev_day(spark, sf_dir):
     """Stop matching where pings before 04:00 may also match the previous
     service day's trips (arrivals past 24:00)."""
     return models(spark, sf_dir, FIXTURE_PARAMS.with_(previous_service_day_until=4))["matches"]
+
+
+@register("dq_suite")
+def dq_suite(spark, sf_dir):
+    """Every declared check over every model (staging, intermediate, marts)
+    plus the raw-feed checks; shared models are written once first."""
+    return _dq(spark, sf_dir, None, False)
