@@ -30,7 +30,10 @@ def newer_than_target(source: DataFrame, target: DataFrame | None, column: str,
                       target_column: str | None = None, full_refresh: bool = False) -> DataFrame:
     """Rows of ``source`` strictly above the target's high-water mark.
 
-    The mark is a 1-row aggregate used as a scalar subquery.
+    The mark is a 1-row aggregate used as a scalar subquery.  ``target`` can
+    be the table itself (one-column scan) or its load log (see
+    ``append_load_log``), which answers the same question from one row per
+    load instead of a scan of the whole table.
     """
     if full_refresh or target is None:
         return source
@@ -38,6 +41,16 @@ def newer_than_target(source: DataFrame, target: DataFrame | None, column: str,
     return source.filter(F.col(column) > hwm)
 
 
+def append_load_log(loaded: DataFrame, log_path: str, column: str, load_id: str) -> None:
+    """Record one row per load: its id, row count and max(``column``).
+
+    The max over the log equals the max over everything loaded, so the next
+    run's high-water mark reads a handful of rows.
+    """
+    (loaded.agg(F.lit(load_id).alias("load_id"), F.count(F.lit(1)).alias("rows"), F.max(column).alias(column))
+     .coalesce(1).write.mode("append").parquet(log_path))
+
+
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None,
            partition_col: str | None = None, strategy: str = "first_wins") -> DataFrame:
     """Merge ``batch`` into ``target`` on ``keys``.
@@ -71,15 +84,26 @@ def write_upsert(spark, path: str, batch: DataFrame, keys: Sequence[str], order:
                  partition_col: str, strategy: str = "first_wins") -> DataFrame:
     """Apply ``upsert`` to the Parquet table at ``path`` (created if missing).
 
-    Stages only the merged, touched partitions, then overwrites exactly those
-    partitions of the target.  Returns the table as read after the write.
+    Reads only the partitions the batch touches, stages the merged rows in
+    the shared checkpoint folder, then overwrites exactly those partitions of
+    the target.  Re-applying the same batch (a replay after a failure) gives
+    the same table.  Returns the table as read after the write.
     """
     if not path_exists(spark, path):
         batch.write.mode("overwrite").partitionBy(partition_col).parquet(path)
         return spark.read.parquet(path)
     target = spark.read.parquet(path)
-    touched = batch.select(partition_col).distinct()
-    t_in = target.join(touched, partition_col, "left_semi")
+    # The partitions a batch touches are the few days it spans: collect that
+    # small set and filter the partition column with it, so only those
+    # partitions are listed and read (a semi-join would scan the whole
+    # table).  A batch spanning more than ``max_listed`` days falls back to
+    # the semi-join.
+    max_listed = 10_000
+    days = [r[0] for r in batch.select(partition_col).distinct().limit(max_listed + 1).collect()]
+    if len(days) <= max_listed:
+        t_in = target.filter(F.col(partition_col).isin(days))
+    else:
+        t_in = target.join(batch.select(partition_col).distinct(), partition_col, "left_semi")
     merged = upsert(t_in, batch.select(*target.columns), keys, order, None, strategy)
     stage = shared_dir(spark, "upsert-stage")
     merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
