@@ -56,3 +56,40 @@ def test_exact_grid_mean_and_median(spark):
     df = spark.createDataFrame([(0.1,), (0.2,), (0.2,), (0.3,)], "x double")
     r = df.agg(S.avg_of_scaled("x", 1).alias("a"), S.median_of_scaled("x", 1).alias("m")).first()
     assert r["a"] == 0.2 and r["m"] == 0.2
+
+
+def test_round_matches_duckdb_on_random_doubles(spark):
+    import random
+
+    import duckdb
+    rnd = random.Random(11)
+    vals = [rnd.uniform(-200, 200) for _ in range(1500)] + [k / 1000 for k in range(-2000, 2000, 5)] + \
+           [x + 0.005 for x in range(-20, 20)] + [1.005, 0.285, 2.675, -0.05, -0.0]
+    df = spark.createDataFrame(list(enumerate(vals)), "i int, x double")
+    got = df.select("i", *[S.duck_round("x", n).alias(f"r{n}") for n in (0, 1, 2, 3)]).collect()
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (i INTEGER, x DOUBLE)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(vals)))
+    want = {r[0]: r[1:] for r in con.execute("SELECT i, round(x, 0), round(x, 1), round(x, 2), round(x, 3) FROM t")
+            .fetchall()}
+    for r in got:
+        w = want[r["i"]]
+        for n in range(4):
+            assert r[f"r{n}"] == w[n] and math.copysign(1, r[f"r{n}"]) == math.copysign(1, w[n]), (vals[r["i"]], n)
+
+
+def test_lenient_parsing_matches_duckdb(spark):
+    import duckdb
+    texts = ["1", " 2 ", "1.5", "2.5", "-1.5", "1e3", "abc", "", "3.", ".5", "0x10", "+7", "2147483647",
+             "2147483648", "-2147483648.4", "2147483647.5", "0X1f", "0b101", "-0x10", "0x", "1_000", "1__0", "_1", "1_",
+             "1_000.5", "1e-3", "1.5e1", "2026-07-22 ", " 2026-07-22", "2026-07-22 25:00:00", "2026-07-22 14",
+             "2026-07-22x", "2026-07-22 14:30:61", "20260722", "2026-07-22", "2026-7-2", "2026", "2026-07", "2026-07-22T14:30:12", "2026-07-22 14:30",
+             "2026-07-22 14:30:12.123456", "fetch_time", "M1-abc", "2026-13-01", "2026-02-30"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r["t"]: r for r in df.select("t", S.try_int("t").alias("i"), S.try_date("t").alias("d"),
+                                        S.try_timestamp("t").alias("ts")).collect()}
+    con = duckdb.connect()
+    for t in texts:
+        i, d, ts = con.execute("SELECT try_cast(? AS INTEGER), try_cast(? AS DATE), try_cast(? AS TIMESTAMP)",
+                               [t, t, t]).fetchone()
+        assert (got[t]["i"], got[t]["d"], got[t]["ts"]) == (i, d, ts), t

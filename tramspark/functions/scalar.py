@@ -16,8 +16,11 @@ from pyspark.sql import functions as F
 # Metres per degree of latitude in the equirectangular approximation.
 METERS_PER_DEGREE = 111320.0
 
+# Accepted date and timestamp text (ISO order, 4-digit year,
+# ' ' or 'T' before the time; a DATE cast also takes a timestamp's text).
 _DATE_TEXT = r"^\s*\d{4}-\d{1,2}-\d{1,2}\s*$"
-_TS_TEXT = r"^\s*\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?)?\s*$"
+_DATE_TIME_TEXT = r"^\s*\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*$"
+_TS_TEXT = r"^\s*\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?)?$"
 
 
 def _c(x) -> Column:
@@ -41,25 +44,44 @@ def duck_round(x, n: int = 0) -> Column:
     return F.when(r == F.lit(0.0), x * F.lit(0.0)).otherwise(r)
 
 
+# Number text accepted by the lenient casts.  Digits may be
+# grouped by single underscores ('1_000'); integers also accept 0x / 0b
+# prefixes ('0x1f', '0b101').
+_GROUPED_NUMBER = r"^\s*[+-]?[0-9]+(_[0-9]+)*(\.[0-9]*(_[0-9]+)*)?([eE][+-]?[0-9]+)?\s*$"
+_HEX_INT = r"^\s*0[xX][0-9a-fA-F]+\s*$"
+_BIN_INT = r"^\s*0[bB][01]+\s*$"
+
+
 def try_double(x) -> Column:
-    """Text to DOUBLE, NULL when unparsable."""
-    return _c(x).try_cast("double")
+    """Text to DOUBLE, NULL when unparsable ('1_000' -> 1000.0)."""
+    x = _c(x)
+    plain = F.when(x.rlike(_GROUPED_NUMBER), F.regexp_replace(x, "_", "")).otherwise(x)
+    return plain.try_cast("double")
 
 
 def try_int(x) -> Column:
-    """Text to INT the way a lenient SQL cast does it: '1.5' -> 2, '1e3' -> 1000."""
-    d = _c(x).try_cast("double")
-    return F.when(d.isNotNull() & (F.abs(d) < F.lit(2147483647.5)), F.round(d)).try_cast("int")
+    """Text to INT the way a lenient SQL cast does it: '1.5' -> 2, '1e3' -> 1000,
+    '0x10' -> 16, '0b101' -> 5; NULL when unparsable or out of range."""
+    x = _c(x)
+    t = F.trim(x)
+    d = (F.when(t.rlike(_HEX_INT), F.conv(F.substring(t, 3, 64), 16, 10).try_cast("double"))
+         .when(t.rlike(_BIN_INT), F.conv(F.substring(t, 3, 64), 2, 10).try_cast("double"))
+         .otherwise(try_double(x)))
+    r = F.round(d)
+    return F.when(r.between(-2147483648.0, 2147483647.0), r).try_cast("int")
 
 
 def try_date(x) -> Column:
-    """Text to DATE; only full ``YYYY-M-D`` text parses ('2026' is NULL)."""
+    """Text to DATE; needs a full ``YYYY-M-D`` ('2026' is NULL); a valid time
+    part may follow (an invalid one makes the value NULL)."""
     x = _c(x)
-    return F.when(x.rlike(_DATE_TEXT), F.trim(x).try_cast("date"))
+    return (F.when(x.rlike(_DATE_TEXT), F.trim(x).try_cast("date"))
+            .when(x.rlike(_DATE_TIME_TEXT), F.trim(x).try_cast("timestamp_ntz").cast("date")))
 
 
 def try_timestamp(x) -> Column:
-    """Text to TIMESTAMP_NTZ; requires a full date, optional time, ' ' or 'T'."""
+    """Text to TIMESTAMP_NTZ; requires a full date, optional time, ' ' or 'T'
+    (leading blanks allowed, trailing ones not)."""
     x = _c(x)
     return F.when(x.rlike(_TS_TEXT), F.trim(x).try_cast("timestamp_ntz"))
 
