@@ -104,3 +104,15 @@ def test_write_upsert_touches_only_batch_partitions(spark, tmp_path):
     out = incremental.write_upsert(spark, target, late, keys, order, "vehicle_date")
     cols = [c for c in pos.columns]
     assert sorted(map(tuple, out.select(*cols).collect())) == sorted(map(tuple, pos.select(*cols).collect()))
+
+
+def test_split_running_sum_equals_window(spark):
+    from tramspark.operators.windows import ordered_running_sum
+    rnd = random.Random(3)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("hot" if rnd.random() < 0.5 else f"k{rnd.randrange(10)}",
+             t0 + dt.timedelta(seconds=rnd.randrange(0, 6 * 86400)), rnd.randrange(0, 3)) for _ in range(2000)]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz, v int").dropDuplicates(["k", "t"])
+    split = ordered_running_sum(df, ["k"], ["t"], "v", "rs").collect()
+    plain = df.select("*", F.sum("v").over(Window.partitionBy("k").orderBy("t")).alias("rs")).collect()
+    assert sorted(map(tuple, split)) == sorted(map(tuple, plain))

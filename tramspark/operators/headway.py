@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tramspark.functions.scalar import duck_round, seconds_between
-from tramspark.operators.windows import ordered_lag
+from tramspark.operators.windows import ordered_lag, ordered_running_sum
 
 
 def stop_visits(matches: DataFrame, gap_s: int = 600) -> DataFrame:
@@ -29,6 +29,23 @@ def stop_visits(matches: DataFrame, gap_s: int = 600) -> DataFrame:
         "line", "stop_id", "stop_name", "vehicle_number", F.col("actual_time").alias("arrival_time"))
 
 
+def visit_numbers(matches: DataFrame, gap_s: int = 600) -> DataFrame:
+    """Every matched ping with its new-visit flag (first ping, or more than
+    ``gap_s`` seconds after the previous one at the same line and stop) and
+    its visit number: the running count of flags (the island id)."""
+    pings = matches.select("line", "stop_id", "stop_name", "vehicle_number", "actual_time").distinct()
+    lagged = ordered_lag(pings, keys=["line", "stop_id", "vehicle_number"], order=["actual_time"],
+                         values={"prev_ping": "actual_time"})
+    flagged = lagged.withColumn(
+        "is_new_visit",
+        F.when(F.col("prev_ping").isNull()
+               | (seconds_between("prev_ping", "actual_time") > F.lit(int(gap_s))), F.lit(1)).otherwise(F.lit(0)))
+    numbered = ordered_running_sum(flagged, ["line", "stop_id", "vehicle_number"], ["actual_time"],
+                                   "is_new_visit", "visit_id")
+    return numbered.select("line", "stop_id", "stop_name", "vehicle_number", "actual_time", "is_new_visit",
+                           F.col("visit_id").cast("bigint").alias("visit_id"))
+
+
 def headway_from_visits(visits: DataFrame, min_minutes: float = 0.1, max_minutes: float = 120.0,
                         bunched_below: float = 2.0) -> DataFrame:
     """Gap to the previous visit at the same (line, stop) by a different vehicle.

@@ -81,3 +81,27 @@ def ordered_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str],
              for out in values]
     keep = [c for c in df.columns if c not in values]
     return joined.select(*keep, *fixed)
+
+
+def ordered_running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
+                        bucket: Column | None = None) -> DataFrame:
+    """Running sum of ``value`` within ``keys`` in ``order`` (current row included).
+
+    Split like ``ordered_lag``: a running sum inside (key, bucket); per-bucket
+    totals pre-aggregated map-side; a prefix sum over the *earlier* buckets
+    of each key on that small table; the two added after a join on
+    (key, bucket).  ``order`` must be total within a key (so the default
+    RANGE frame and a ROWS frame agree).
+    """
+    keys, order = list(keys), list(order)
+    b = bucket if bucket is not None else day_bucket(order[0])
+    with_b = df.withColumn(_B, b)
+    w = (Window.partitionBy(*keys, _B).orderBy(*order)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    inner = with_b.withColumn("__inner_sum", F.sum(value).over(w))
+    totals = with_b.groupBy(*keys, _B).agg(F.sum(value).alias("__bucket_sum"))
+    wk = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(*keys, _B, F.coalesce(F.sum("__bucket_sum").over(wk), F.lit(0)).alias("__carry"))
+    joined = inner.join(carry, on=[*keys, _B], how="left")
+    res = (F.col("__inner_sum") + F.coalesce(F.col("__carry"), F.lit(0))).alias(out)
+    return joined.select(*[c for c in df.columns], res)

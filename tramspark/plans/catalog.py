@@ -634,3 +634,11 @@ def dq_suite(spark, sf_dir):
     """Every declared check over every model (staging, intermediate, marts)
     plus the raw-feed checks; shared models are written once first."""
     return _dq(spark, sf_dir, None, False)
+
+
+@register("visit_numbers")
+def visit_numbers(spark, sf_dir):
+    """E5 + E6: each matched ping flagged as a new visit or not, numbered by
+    the running count of flags per (line, stop, vehicle)."""
+    from tramspark.operators import headway as hw_ops
+    return hw_ops.visit_numbers(models(spark, sf_dir)["matches"], FIXTURE_PARAMS.visit_gap_s)
