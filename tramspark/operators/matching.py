@@ -79,6 +79,7 @@ def stop_match_candidates(positions: DataFrame, sched: DataFrame, radius_m: floa
         keys = keys + ["__tb"]
     j = p.join(s, on=keys, how="inner")
     cand = j.select(
+        *[k for k in keys if k not in ("line", "brigade")],
         "trip_id", "vehicle_number", "line", "brigade", "vehicle_time", "lat", "lon",
         "stop_id", "stop_name", "stop_lat", "stop_lon", "scheduled_arrival",
         planar_distance_m("lat", "lon", "stop_lat", "stop_lon").alias("meters_to_stop"),
@@ -87,11 +88,18 @@ def stop_match_candidates(positions: DataFrame, sched: DataFrame, radius_m: floa
                        & (F.col("abs_time_gap") <= F.lit(int(window_s))))
 
 
-def best_match(cand: DataFrame) -> DataFrame:
-    """One candidate per (vehicle_number, vehicle_time): min (gap, metres, trip, stop)."""
+def best_match(cand: DataFrame, within_join_keys: bool = False) -> DataFrame:
+    """One candidate per (vehicle_number, vehicle_time): min (gap, metres, trip, stop).
+
+    With ``within_join_keys`` the grouping also carries the join keys (line,
+    brigade, service date, time bucket).  A ping has one value of each, so
+    the groups are the same, but a sort-merge join's output is already
+    partitioned on those keys and the winner needs no second shuffle.
+    """
     best = F.min(F.struct("abs_time_gap", "meters_to_stop", "trip_id", "stop_id",
                           "line", "brigade", "stop_name", "scheduled_arrival")).alias("b")
-    g = cand.groupBy("vehicle_number", "vehicle_time").agg(best)
+    extra = [c for c in ("line", "brigade", "service_date", "__tb") if within_join_keys and c in cand.columns]
+    g = cand.groupBy(*extra, "vehicle_number", "vehicle_time").agg(best)
     return g.select(
         F.col("b.trip_id").alias("trip_id"), "vehicle_number",
         F.col("b.line").alias("line"), F.col("b.brigade").alias("brigade"),
@@ -114,7 +122,9 @@ def stop_matches(positions: DataFrame, stop_times: DataFrame, trips: DataFrame,
     pos = retained_positions(positions, as_of, retention_days, previous_service_day_until)
     sched = schedule_points(stop_times, trips, routes, stops)
     cand = stop_match_candidates(pos, sched, radius_m, window_s, bucketed)
-    b = best_match(cand)
+    # a ping belongs to one (line, brigade, date, bucket) unless it is also
+    # offered to the previous service day
+    b = best_match(cand, within_join_keys=previous_service_day_until is None)
     delay = seconds_between("scheduled_arrival", "actual_time")
     return b.select(
         "trip_id", "vehicle_number", "line", "brigade", "stop_id", "stop_name", "actual_time",
