@@ -25,3 +25,16 @@ def test_file_inputs_equal_memory_inputs(spark, tmp_path):
         cols = [c for c in b[n].columns if c != "vehicle_date"]
         assert sorted(map(tuple, a[n].select(*cols).collect())) == sorted(map(tuple, b[n].select(*cols).collect())), n
     assert a["matches"].count() > 0
+
+
+def test_full_refresh_cascade_rebuilds_only_downstream(spark, tmp_path):
+    from tramspark.plans.pipeline import downstream
+    assert downstream({"stops"}) == ["stops", "matches", "visits", "headway", "segments", "line_punctuality",
+                                     "punctuality_by_hour", "worst_stops", "line_regularity", "slowest_segments"]
+    inputs = fixtures.transit_inputs(spark, SF)
+    first = build_graph(inputs, FIXTURE_PARAMS, str(tmp_path / "v1"))
+    keep = {n: first[n] for n in ["positions", "trips", "stop_times", "routes"]}
+    again = build_graph(inputs, FIXTURE_PARAMS, str(tmp_path / "v2"), names=downstream({"stops"}), existing=keep)
+    assert set(again) >= set(downstream({"stops"}))
+    assert again["positions"] is keep["positions"]
+    assert sorted(map(tuple, again["worst_stops"].collect())) == sorted(map(tuple, first["worst_stops"].collect()))

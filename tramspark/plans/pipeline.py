@@ -231,12 +231,30 @@ DEPS = {
 VIEWS = {"stops", "routes", "visits"}
 
 
+def downstream(changed: set[str] | list[str]) -> list[str]:
+    """The changed models and every model that reads them, in graph order
+    (what a full refresh after a dimension change must rebuild)."""
+    out = set(changed)
+    grew = True
+    while grew:
+        grew = False
+        for n, deps in DEPS.items():
+            if n not in out and any(d in out for d in deps):
+                out.add(n)
+                grew = True
+    return [n for n in MODEL_ORDER if n in out]
+
+
 def build_graph(inputs: dict, params: Params = FIXTURE_PARAMS, out_dir: str | None = None,
-                threads: int = 4, names: list[str] | None = None) -> dict[str, DataFrame]:
+                threads: int = 4, names: list[str] | None = None,
+                existing: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """Write every table model once, ``threads`` models at a time.
 
     A model starts when all its upstream models are written; each reads its
-    upstream tables (not their lineage).  Spark runs the concurrent jobs on
+    upstream tables (not their lineage).  Models in ``existing`` (already
+    written tables) are used as they are and not rebuilt, so
+    ``build_graph(..., names=downstream({"stops"}), existing=tables)`` is the
+    full-refresh cascade after a timetable change.  Spark runs the concurrent jobs on
     the same executors, so independent branches (speed marts, punctuality
     marts, calendar, segments ...) overlap instead of queueing.
     """
@@ -245,18 +263,21 @@ def build_graph(inputs: dict, params: Params = FIXTURE_PARAMS, out_dir: str | No
     spark = next(iter(inputs.values())).sparkSession
     base = out_dir or shared_dir(spark, "models")
     m = Models(inputs, params)
+    existing = dict(existing or {})
+    for n, df in existing.items():
+        m.put(n, df)
     todo = list(names or MODEL_ORDER)
     need = set()
 
     def add(n):
-        if n not in need:
+        if n not in need and n not in existing:
             need.add(n)
             for d in DEPS[n]:
                 add(d)
     for n in todo:
         add(n)
-    done: set[str] = set()
-    tables: dict[str, DataFrame] = {}
+    done: set[str] = set(existing)
+    tables: dict[str, DataFrame] = dict(existing)
     import time
     start = time.time()
     timings: dict[str, tuple] = {}
