@@ -6,21 +6,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tramspark.functions.scalar import duck_round, planar_distance_m, seconds_between
-from tramspark.operators.windows import ordered_lag
+from tramspark.operators.windows import ordered_lag, time_bucket_of
 
 
 def vehicle_moves(positions: DataFrame, min_gap_s: int = 1, max_gap_s: int = 600,
-                  max_speed_kmh: float = 100.0) -> DataFrame:
+                  max_speed_kmh: float = 100.0, bucket_seconds: int = 3600) -> DataFrame:
     """Seconds, metres and km/h from each vehicle's previous position.
 
     Keeps gaps in ``[min_gap_s, max_gap_s]`` and speeds (rounded to 0.1 km/h
     before the test) up to ``max_speed_kmh``.  The previous position is found
-    with the hot-key-safe ``ordered_lag`` (vehicle history split by day).
+    with the hot-key-safe ``ordered_lag`` (vehicle history split into
+    ``bucket_seconds`` pieces, an hour by default).
     Input: cleaned positions, unique per (vehicle_number, vehicle_time).
     """
     p = positions.select("vehicle_number", "line", "brigade", "vehicle_type", "vehicle_time", "lat", "lon")
+    # A vehicle pings every few seconds and one id (say an empty one) can
+    # carry a large share of a day's rows, so histories are cut by hour.
     lagged = ordered_lag(p, keys=["vehicle_number"], order=["vehicle_time"],
-                         values={"prev_lat": "lat", "prev_lon": "lon", "prev_time": "vehicle_time"})
+                         values={"prev_lat": "lat", "prev_lon": "lon", "prev_time": "vehicle_time"},
+                         bucket=time_bucket_of("vehicle_time", bucket_seconds))
     moves = lagged.filter(F.col("prev_time").isNotNull()).select(
         "vehicle_number", "line", "brigade", "vehicle_type", "prev_time", "vehicle_time", "lat", "lon",
         seconds_between("prev_time", "vehicle_time").alias("seconds_diff"),

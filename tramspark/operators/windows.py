@@ -38,6 +38,11 @@ def day_bucket(ts: str) -> Column:
     return F.to_date(F.col(ts))
 
 
+def time_bucket_of(ts: str, seconds: int) -> Column:
+    """Bucket of ``seconds`` width (e.g. 3600 = hour) of the ordering timestamp."""
+    return F.floor(F.unix_timestamp(F.col(ts)) / F.lit(int(seconds)))
+
+
 def ordered_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 values: dict[str, str], bucket: Column | None = None,
                 split: bool = True) -> DataFrame:

@@ -20,9 +20,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # AQE turns a sort-merge join into a broadcast join only after it has
-    # measured the materialised side at runtime: that is the size check for
-    # every dimension join in this library.
+    # Size checks for every dimension join (no join is forced to broadcast
+    # except 1-row aggregates): the planner broadcasts a side whose
+    # estimated size (file and operator statistics) is under the static
+    # threshold; AQE converts a sort-merge join to a broadcast join once it
+    # has measured the shuffled side at runtime.  Larger sides are shuffled.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.parquet.compression.codec": "zstd",
