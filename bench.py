@@ -16,7 +16,8 @@ Prints ONE JSON line:
   the raw tables (end to end), for orientation.
 
 A warm-up pass on the smallest scale runs first (JVM and codegen warm-up is
-not part of any timing).
+not part of any timing).  The full rebuild runs twice; ``value`` is the
+faster run and both runs are listed under ``queries``.
 """
 
 from __future__ import annotations
@@ -67,9 +68,14 @@ def main() -> None:
     # warm-up (not timed)
     rebuild(WARMUP_DIR, f"{scratch}/warmup")
 
-    t0 = time.time()
-    t = rebuild(SF_DIR, f"{scratch}/full")
-    full = time.time() - t0
+    # two timed rebuilds into fresh folders; the reported value is the
+    # faster one (both are listed), to damp machine noise
+    runs = []
+    for i in range(2):
+        t0 = time.time()
+        t = rebuild(SF_DIR, f"{scratch}/full{i}")
+        runs.append(round(time.time() - t0, 3))
+    full = min(runs)
 
     steps = {
         "vehicle_moves": lambda: movement.vehicle_moves(t["positions"]),
@@ -90,7 +96,7 @@ def main() -> None:
         "slowest_segments": lambda: marts.slowest_segments(t["segments"]),
         "animation_frames": lambda: marts.animation_frames(t["positions"]),
     }
-    queries = {}
+    queries = {"full_rebuild_run1": runs[0], "full_rebuild_run2": runs[1]}
     for name in STEPS:
         s = time.time()
         steps[name]().write.mode("overwrite").parquet(f"{scratch}/step/{name}")
