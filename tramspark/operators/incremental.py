@@ -90,7 +90,7 @@ def write_upsert(spark, path: str, batch: DataFrame, keys: Sequence[str], order:
     the same table.  Returns the table as read after the write.
     """
     if not path_exists(spark, path):
-        batch.write.mode("overwrite").partitionBy(partition_col).parquet(path)
+        batch.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(path)
         return spark.read.parquet(path)
     target = spark.read.parquet(path)
     # The partitions a batch touches are the few days it spans: collect that
@@ -106,7 +106,7 @@ def write_upsert(spark, path: str, batch: DataFrame, keys: Sequence[str], order:
         t_in = target.join(batch.select(partition_col).distinct(), partition_col, "left_semi")
     merged = upsert(t_in, batch.select(*target.columns), keys, order, None, strategy)
     stage = shared_dir(spark, "upsert-stage")
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
+    merged.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(stage)
     (spark.read.parquet(stage).select(*target.columns).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
     return spark.read.parquet(path)
