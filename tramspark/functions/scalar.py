@@ -53,10 +53,18 @@ _BIN_INT = r"^\s*0[bB][01]+\s*$"
 
 
 def try_double(x) -> Column:
-    """Text to DOUBLE, NULL when unparsable ('1_000' -> 1000.0)."""
+    """Text to DOUBLE, NULL when unparsable ('1_000' -> 1000.0).
+
+    The plain cast runs first; forms only Java's parser takes ('1d', '2.5F',
+    hex floats) are rejected by cheap string tests, and the digit-group
+    rule (a regex) runs only for text containing '_'.
+    """
     x = _c(x)
-    plain = F.when(x.rlike(_GROUPED_NUMBER), F.regexp_replace(x, "_", "")).otherwise(x)
-    return plain.try_cast("double")
+    t = F.lower(F.trim(x))
+    java_only = t.endswith("d") | (t.endswith("f") & ~t.endswith("inf")) | t.contains("0x")
+    plain = F.when(~java_only, x.try_cast("double"))
+    grouped = F.when(x.contains("_") & x.rlike(_GROUPED_NUMBER), F.regexp_replace(x, "_", "").try_cast("double"))
+    return F.coalesce(plain, grouped)
 
 
 def try_int(x) -> Column:
@@ -64,8 +72,9 @@ def try_int(x) -> Column:
     '0x10' -> 16, '0b101' -> 5; NULL when unparsable or out of range."""
     x = _c(x)
     t = F.trim(x)
-    d = (F.when(t.rlike(_HEX_INT), F.conv(F.substring(t, 3, 64), 16, 10).try_cast("double"))
-         .when(t.rlike(_BIN_INT), F.conv(F.substring(t, 3, 64), 2, 10).try_cast("double"))
+    lt = F.lower(t)
+    d = (F.when(lt.startswith("0x") & t.rlike(_HEX_INT), F.conv(F.substring(t, 3, 64), 16, 10).try_cast("double"))
+         .when(lt.startswith("0b") & t.rlike(_BIN_INT), F.conv(F.substring(t, 3, 64), 2, 10).try_cast("double"))
          .otherwise(try_double(x)))
     r = F.round(d)
     return F.when(r.between(-2147483648.0, 2147483647.0), r).try_cast("int")
