@@ -16,8 +16,9 @@ rows, so the history of a key is cut into time buckets (one day by default):
    broadcast threshold, otherwise it is shuffled to the same partitioning).
 
 The result equals the plain window whenever the ordering is total within a
-key; callers pass tie-break columns to make it so.  Partition keys must be
-non-NULL (callers filter or derive them from non-NULL join keys).
+key; callers pass tie-break columns to make it so.  Partition keys and the
+first ordering column must be non-NULL (callers filter them or derive them
+from non-NULL join keys and times).
 """
 
 from __future__ import annotations
