@@ -117,7 +117,7 @@ def main() -> None:
         con = duckdb.connect()
         for tname in ["events", "nation"]:
             con.execute(f"CREATE VIEW {tname} AS SELECT * FROM read_parquet('{SF_DIR}/{tname}.parquet')")
-        # dbt-style rebuild: every CTE of the graph as a table, in order,
+        # table-by-table rebuild: every CTE of the graph as a table, in order,
         # each reading its upstream tables
         needed = oracles._needed(list(MODEL_ORDER))
         s = time.time()
