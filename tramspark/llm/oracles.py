@@ -46,4 +46,16 @@ SELECT doc_id, size, crc AS text_crc32, 'key' AS law, shard, grown_shard,
 FROM b
 """
 
-ORACLES: dict[str, str] = {"op2_sharding": OP2, "op9_exact_dedup": OP9}
+OP8 = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), g AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN top END AS refers_to
+FROM g
+"""
+
+ORACLES: dict[str, str] = {"op2_sharding": OP2, "op8_warc": OP8, "op9_exact_dedup": OP9}

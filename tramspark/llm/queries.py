@@ -2,23 +2,39 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramspark.llm import exact_dedup, sharding, simhash
+from tramspark.llm import exact_dedup, html_text, pieces, sharding, simhash, warc
+from tramspark.session import shared_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# The public vocabulary; its place is a parameter of the operator.
+PIECES = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every whole text, and whether decoding them gives the text back."""
+    return pieces.encode(_table(spark, sf_dir, "documents"), PIECES, check=True).withColumnRenamed("id", "doc_id")
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents over 40 equal shards by rendezvous hashing of doc_id; ``grown_shard`` is with 41 shards."""
     return sharding.shard_documents(_table(spark, sf_dir, "documents"), 40)
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page: parser events, smoothed text-to-tag ratios, clustering."""
+    return html_text.extract(_table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints of 3-word shingles, linked at 3 or fewer differing bits by the trie self-join."""
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
@@ -26,6 +42,13 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "component_id")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC archives (segmented, chunked, revisits from 1000 bytes) and read back."""
+    path = shared_dir(spark, "warc")
+    warc.write_archives(_table(spark, sf_dir, "pages"), path, min_revisit=1000)
+    return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of equal texts (A-Z lower-cased) by composable fingerprints and chunkwise comparison."""
     found = exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
@@ -34,5 +57,5 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_sharding, op6_simhash, op9_exact_dedup)
+    f.__name__: f for f in (op1_sentencepiece, op2_sharding, op3_html_text, op6_simhash, op8_warc, op9_exact_dedup)
 }
