@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramspark.llm import exact_dedup, html_text, pieces, sharding, simhash, warc
+from tramspark.llm import exact_dedup, html_text, language, pieces, sharding, simhash, warc
 from tramspark.session import shared_dir
 
 
@@ -35,6 +35,13 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text by the word-level conditional random field; a quarter of the ids is held out."""
+    docs = _table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.fit(docs))
+    return found.select(F.col("id").alias("doc_id"), language.held_out("id").alias("held_out"), "lang_pred", "score")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints of 3-word shingles, linked at 3 or fewer differing bits by the trie self-join."""
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
@@ -57,5 +64,5 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sentencepiece, op2_sharding, op3_html_text, op6_simhash, op8_warc, op9_exact_dedup)
+    f.__name__: f for f in (op1_sentencepiece, op2_sharding, op3_html_text, op4_language, op6_simhash, op8_warc, op9_exact_dedup)
 }
