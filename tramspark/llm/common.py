@@ -113,3 +113,16 @@ def _star(pairs: DataFrame, total: int) -> DataFrame:
     hot = hot_keys(least, ["u"], "n", total, "salts")
     facts = least.select("u", F.least("u", "lv").alias("m"))
     return attach(pairs, facts, ["u"], hot, F.col("v"))
+
+
+# Facts with at most this many rows are sent to every executor; more are joined by shuffle, hot keys salted.
+SMALL_FACTS = 20_000
+
+
+def with_facts(rows: DataFrame, facts: DataFrame, keys: Sequence[str], count: str, spread: Column) -> DataFrame:
+    """Inner join of ``facts`` (written table, one row per key, column ``count`` its rows) to ``rows``."""
+    keys = list(keys)
+    n = facts.agg(F.count("*").alias("k"), F.sum(count).alias("n")).first()
+    if n["k"] <= SMALL_FACTS:
+        return rows.join(F.broadcast(facts), keys)
+    return attach(rows, facts, keys, hot_keys(facts, keys, count, n["n"], "salts"), spread)

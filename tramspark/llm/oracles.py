@@ -46,6 +46,52 @@ SELECT doc_id, size, crc AS text_crc32, 'key' AS law, shard, grown_shard,
 FROM b
 """
 
+
+
+def _level(keys: list[str], depth: int) -> str:
+    """Shares of one level of the tree: children in the order of cap / weight are full up to a point."""
+    parent, key = keys[:-1], ", ".join(keys)
+    by = f"PARTITION BY {', '.join(parent)}" if parent else ""
+    up = f"JOIN l{depth - 1} USING ({', '.join(parent)})" if parent else "CROSS JOIN l0"
+    return f"""n{depth} AS (
+  SELECT {key}, sum(tokens) AS tokens, sum(cap) AS cap, sqrt(sum(tokens)) AS weight FROM leaves GROUP BY {key}
+), r{depth} AS (
+  SELECT n{depth}.*, b{depth - 1},
+         CASE WHEN weight > 0 THEN cap / weight ELSE 'inf'::DOUBLE END AS fill FROM n{depth} {up}
+), s{depth} AS (
+  SELECT *, (b{depth - 1} - coalesce(sum(cap) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
+            / nullif(sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0) AS level
+  FROM r{depth} WINDOW w AS ({by} ORDER BY fill, {keys[-1]})
+), l{depth} AS (
+  SELECT {key}, CASE WHEN coalesce(fill <= level, false) THEN cap
+         ELSE coalesce(greatest(max(level) FILTER (WHERE NOT coalesce(fill <= level, false)) OVER ({by}), 0.0) * weight, 0.0) END AS b{depth}
+  FROM s{depth}
+)"""
+
+
+OP5 = f"""
+WITH rows AS (
+  SELECT row_number() OVER () AS r, doc_id, 'domain' || ('0x' || substr(md5(coalesce(source, '')), 1, 1))::INT // 4 AS domain,
+         coalesce(lang, '(none)') AS lang, coalesce(source, '(none)') AS source,
+         len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS n_tokens
+  FROM documents
+), leaves AS (
+  SELECT domain, lang, source, sum(n_tokens)::DOUBLE AS tokens, sum(n_tokens)::DOUBLE * 4.0 AS cap FROM rows GROUP BY ALL
+), l0 AS (
+  SELECT least(floor(sum(tokens)), sum(cap)) AS b0 FROM leaves
+), {", ".join(_level(["domain", "lang", "source"][:d], d) for d in (1, 2, 3))}, plan AS (
+  SELECT *, floor(b3)::BIGINT AS budget, CASE WHEN tokens > 0 THEN floor(floor(b3) / tokens) ELSE 0 END::BIGINT AS times
+  FROM leaves JOIN l3 USING (domain, lang, source)
+), placed AS (
+  SELECT rows.*, budget, times, budget - times * tokens AS rest,
+         ('0x' || substr(md5('17|' || times || '|' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT AS place
+  FROM rows JOIN plan USING (domain, lang, source)
+)
+SELECT doc_id, domain, lang, source, n_tokens, budget,
+       (times + (sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY place) <= rest)::INT)::INT AS epochs
+FROM placed
+"""
+
 OP8 = """
 WITH p AS (
   SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
@@ -58,4 +104,4 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM g
 """
 
-ORACLES: dict[str, str] = {"op2_sharding": OP2, "op8_warc": OP8, "op9_exact_dedup": OP9}
+ORACLES: dict[str, str] = {"op2_sharding": OP2, "op5_mixing": OP5, "op8_warc": OP8, "op9_exact_dedup": OP9}

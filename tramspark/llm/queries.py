@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramspark.llm import exact_dedup, html_text, language, pieces, sharding, simhash, warc
+from tramspark.llm import exact_dedup, html_text, language, mixing, pieces, sharding, simhash, warc
 from tramspark.session import shared_dir
 
 
@@ -42,6 +42,13 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), language.held_out("id").alias("held_out"), "lang_pred", "score")
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's number of epochs under budgets over domain, language and source (all tokens, at most 4 epochs)."""
+    docs = _table(spark, sf_dir, "documents")
+    mixed = mixing.mix(docs, mixing.domain_of(F.col("source")), max_epochs=4)
+    return mixed.select(F.col("id").alias("doc_id"), "domain", "lang", "source", "n_tokens", "budget", "epochs")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints of 3-word shingles, linked at 3 or fewer differing bits by the trie self-join."""
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
@@ -64,5 +71,5 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sentencepiece, op2_sharding, op3_html_text, op4_language, op6_simhash, op8_warc, op9_exact_dedup)
+    f.__name__: f for f in (op1_sentencepiece, op2_sharding, op3_html_text, op4_language, op5_mixing, op6_simhash, op8_warc, op9_exact_dedup)
 }
