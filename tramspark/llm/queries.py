@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramspark.llm import exact_dedup, html_text, language, mixing, pieces, sharding, simhash, warc
+from tramspark.llm import exact_dedup, html_text, language, mixing, outliers, pieces, sharding, simhash, warc
 from tramspark.session import shared_dir
 
 
@@ -70,6 +70,11 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("uid") == F.col("keep_uid")).alias("kept"), F.col("sha").alias("text_sha256"))
 
 
+def op10_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the verdict of the minimum-covariance-determinant rule for every whole text (DataFrame operations only)."""
+    return outliers.judge(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sentencepiece, op2_sharding, op3_html_text, op4_language, op5_mixing, op6_simhash, op8_warc, op9_exact_dedup)
+    f.__name__: f for f in (op1_sentencepiece, op2_sharding, op3_html_text, op4_language, op5_mixing, op6_simhash, op8_warc, op9_exact_dedup, op10_outliers)
 }
