@@ -40,7 +40,7 @@ WEIGHT_QUANTILE = 0.975
 REJECT_QUANTILE = 1 - 1e-7
 MIN_ROWS = 50
 # Least standard deviations (thousandths): log words, log word length, log symbols, log repeated lines, log repeated words
-FLOORS = (300.0, 60.0, 300.0, 350.0, 400.0)
+FLOORS = (300.0, 60.0, 300.0, 400.0, 900.0)
 P = len(FLOORS)
 CLASSES = 20                        # classes of distance per unit of its logarithm
 
