@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramspark.llm import exact_dedup, html_text, language, mixing, outliers, pieces, sharding, simhash, warc
+from tramspark.llm import cotrain, exact_dedup, html_text, language, mixing, outliers, pieces, sharding, simhash, warc
 from tramspark.session import shared_dir
 
 
@@ -56,6 +56,12 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "component_id")
 
 
+def op7_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by co-training of a content and a metadata view on the given labels."""
+    found = cotrain.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return found.select(F.col("id").alias("doc_id"), "p_content", "p_meta", "score", (F.col("score") >= 0.5).alias("kept"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC archives (segmented, chunked, revisits from 1000 bytes) and read back."""
     path = shared_dir(spark, "warc")
@@ -76,5 +82,5 @@ def op10_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sentencepiece, op2_sharding, op3_html_text, op4_language, op5_mixing, op6_simhash, op8_warc, op9_exact_dedup, op10_outliers)
+    f.__name__: f for f in (op1_sentencepiece, op2_sharding, op3_html_text, op4_language, op5_mixing, op6_simhash, op7_cotraining, op8_warc, op9_exact_dedup, op10_outliers)
 }
