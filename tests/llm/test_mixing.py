@@ -67,9 +67,8 @@ def test_mix_takes_prefixes(spark, monkeypatch):
         mine = [r for r in got if (r["domain"], r["lang"], r["source"]) == leaf]
         budget = mine[0]["budget"]
         used = sum(r["epochs"] * r["n_tokens"] for r in mine)
-        assert used <= budget and {r["epochs"] for r in mine} <= {budget // tokens, budget // tokens + 1} if tokens else used == 0
-        if tokens:
-            assert used > budget - 20 or used == budget     # short by less than the next row (or its twins)
+        assert {r["epochs"] for r in mine} <= ({budget // tokens, budget // tokens + 1} if tokens else {0})
+        assert budget <= used < budget + 20     # over by less than the last row (or its twins)
     out = mixing.remix(docs, mixing.domain_of(F.col("source")), max_epochs=3)
     assert out.columns == docs.columns
     want = Counter()

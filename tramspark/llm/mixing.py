@@ -12,10 +12,10 @@ All of it is DataFrame work: windows over the (small) tree, and for the leaf's
 prefix sums over hash ranges first, so that only one range of each leaf is
 ordered row by row.
 
-Rules: null keys form a node ``(none)``; a null text has no tokens; rows with
-the same place in the order (one id) are taken or left together; the prefix
-never exceeds the budget; without tokens every row without tokens is kept once;
-an empty table gives an empty result.
+Rules: null keys form a node ``(none)``; a null text has no tokens; the prefix
+goes on until the budget is reached, so its last row may exceed it; rows with
+the same place in the order (one id) are taken or left together; a leaf
+without tokens or budget gives no rows; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -114,13 +114,13 @@ def mix(docs: DataFrame, domain: Column, id_col: str = "doc_id", text_col: str =
     sums = placed.groupBy(*leaf, "range").agg(F.sum("n_tokens").alias("t"), F.first("rest").alias("rest"))
     upto = Window.partitionBy(*leaf).orderBy("range")
     cut = (sums.withColumn("upto", F.sum("t").over(upto)).withColumn("before", F.col("upto") - F.col("t"))
-           .filter("upto > rest").groupBy(*leaf).agg(F.min(F.struct("range", "before")).alias("c"))
+           .filter("upto >= rest").groupBy(*leaf).agg(F.min(F.struct("range", "before")).alias("c"))
            .select(*leaf, F.col("c.range").alias("cut"), F.col("c.before").alias("before")))
     cut = common.stored(planned.select(*leaf, "docs").join(cut, leaf, "left").withColumn("cut", F.coalesce("cut", F.lit(ranges))), "mix-cuts")
     at = common.with_facts(placed, cut, leaf, "docs", F.col("uid"))
-    inside = Window.partitionBy(*leaf).orderBy("place")     # equal places are peers: the default frame takes them together
-    edge = (at.filter("range = cut").withColumn("upto", F.col("before") + F.sum("n_tokens").over(inside))
-            .filter("upto <= rest").groupBy(*leaf).agg(F.max("place").alias("edge")))
+    inside = Window.partitionBy(*leaf).orderBy("place").rangeBetween(Window.unboundedPreceding, -1)     # equal places are peers
+    edge = (at.filter("range = cut").withColumn("earlier", F.col("before") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
+            .filter("earlier < rest").groupBy(*leaf).agg(F.max("place").alias("edge")))
     limits = common.stored(cut.join(edge, leaf, "left").select(*leaf, "docs", "cut", "edge"), "mix-limits")
     done = common.with_facts(placed.drop("docs"), limits, leaf, "docs", F.col("uid"))
     taken = (F.col("range") < F.col("cut")) | ((F.col("range") == F.col("cut")) & (F.col("place") <= F.col("edge")))

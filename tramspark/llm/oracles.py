@@ -88,7 +88,8 @@ WITH rows AS (
   FROM rows JOIN plan USING (domain, lang, source)
 )
 SELECT doc_id, domain, lang, source, n_tokens, budget,
-       (times + (sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY place) <= rest)::INT)::INT AS epochs
+       (times + (sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY place)
+                 - sum(n_tokens) OVER (PARTITION BY domain, lang, source, place) < rest)::INT)::INT AS epochs
 FROM placed
 """
 
