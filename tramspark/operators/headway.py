@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ def stop_visits(matches: DataFrame, gap_s: int = 600) -> DataFrame:
     """
     pings = matches.select("line", "stop_id", "stop_name", "vehicle_number", "actual_time")
     lagged = ordered_lag(pings, keys=["line", "stop_id", "vehicle_number"], order=["actual_time"],
-                         values={"prev_ping": "actual_time"})
+                         values={"prev_ping": "actual_time"}, limit_seconds=gap_s)
     new_visit = F.col("prev_ping").isNull() | (seconds_between("prev_ping", "actual_time") > F.lit(int(gap_s)))
     # No DISTINCT (and its shuffle) is needed first: of two identical pings
     # only one can start a visit, the other sees a 0 s gap to its twin.
@@ -35,7 +37,7 @@ def visit_numbers(matches: DataFrame, gap_s: int = 600) -> DataFrame:
     its visit number: the running count of flags (the island id)."""
     pings = matches.select("line", "stop_id", "stop_name", "vehicle_number", "actual_time").distinct()
     lagged = ordered_lag(pings, keys=["line", "stop_id", "vehicle_number"], order=["actual_time"],
-                         values={"prev_ping": "actual_time"})
+                         values={"prev_ping": "actual_time"}, limit_seconds=gap_s)
     flagged = lagged.withColumn(
         "is_new_visit",
         F.when(F.col("prev_ping").isNull()
@@ -55,7 +57,8 @@ def headway_from_visits(visits: DataFrame, min_minutes: float = 0.1, max_minutes
     ``is_bunched`` uses the unrounded minutes.
     """
     lagged = ordered_lag(visits, keys=["line", "stop_id"], order=["arrival_time", "vehicle_number"],
-                         values={"prev_vehicle": "vehicle_number", "prev_arrival": "arrival_time"})
+                         values={"prev_vehicle": "vehicle_number", "prev_arrival": "arrival_time"},
+                         limit_seconds=math.ceil(max_minutes * 60))
     minutes = seconds_between("prev_arrival", "arrival_time").cast("double") / F.lit(60.0)
     g = lagged.select("line", "stop_id", "stop_name", "vehicle_number", "prev_vehicle", "prev_arrival",
                       "arrival_time", minutes.alias("_hm"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tramspark.functions.scalar import duck_round, planar_distance_m, seconds_between
-from tramspark.operators.windows import ordered_lag, time_bucket_of
+from tramspark.operators.windows import ordered_lag
 
 
 def vehicle_moves(positions: DataFrame, min_gap_s: int = 1, max_gap_s: int = 600,
@@ -15,8 +15,9 @@ def vehicle_moves(positions: DataFrame, min_gap_s: int = 1, max_gap_s: int = 600
 
     Keeps gaps in ``[min_gap_s, max_gap_s]`` and speeds (rounded to 0.1 km/h
     before the test) up to ``max_speed_kmh``.  The previous position is found
-    with the hot-key-safe ``ordered_lag`` (vehicle history split into
-    ``bucket_seconds`` pieces, an hour by default).
+    with the hot-key-safe ``ordered_lag`` (vehicle history cut into
+    ``bucket_seconds`` pieces, an hour by default; a predecessor beyond
+    ``max_gap_s`` gives no move, so the look-back ends there).
     Input: cleaned positions, unique per (vehicle_number, vehicle_time).
     """
     p = positions.select("vehicle_number", "line", "brigade", "vehicle_type", "vehicle_time", "lat", "lon")
@@ -24,7 +25,7 @@ def vehicle_moves(positions: DataFrame, min_gap_s: int = 1, max_gap_s: int = 600
     # carry a large share of a day's rows, so histories are cut by hour.
     lagged = ordered_lag(p, keys=["vehicle_number"], order=["vehicle_time"],
                          values={"prev_lat": "lat", "prev_lon": "lon", "prev_time": "vehicle_time"},
-                         bucket=time_bucket_of("vehicle_time", bucket_seconds))
+                         limit_seconds=max_gap_s, bucket_seconds=bucket_seconds)
     moves = lagged.filter(F.col("prev_time").isNotNull()).select(
         "vehicle_number", "line", "brigade", "vehicle_type", "prev_time", "vehicle_time", "lat", "lon",
         seconds_between("prev_time", "vehicle_time").alias("seconds_diff"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tramspark.functions.scalar import duck_round, seconds_between
-from tramspark.operators.windows import ordered_lag
+from tramspark.operators.windows import window_lag
 
 
 def route_segments(matches: DataFrame, min_minutes: float = 0.2, max_minutes: float = 30.0,
@@ -20,9 +20,10 @@ def route_segments(matches: DataFrame, min_minutes: float = 0.2, max_minutes: fl
     """
     m = matches.select("trip_id", "line", "brigade", "vehicle_number", "stop_id", "stop_name",
                        "actual_time", "scheduled_arrival")
-    lagged = ordered_lag(m, keys=["trip_id", "vehicle_number"], order=["actual_time"],
-                         values={"prev_stop_id": "stop_id", "prev_stop_name": "stop_name",
-                                 "prev_actual": "actual_time", "prev_scheduled": "scheduled_arrival"})
+    # one vehicle on one dated trip: bounded by the trip's stops and the matching window
+    lagged = window_lag(m, keys=["trip_id", "vehicle_number"], order=["actual_time"],
+                        values={"prev_stop_id": "stop_id", "prev_stop_name": "stop_name",
+                                "prev_actual": "actual_time", "prev_scheduled": "scheduled_arrival"})
     seg = lagged.filter(F.col("prev_stop_id").isNotNull()
                         & (F.col("prev_stop_id") != F.col("stop_id"))
                         & (F.col("prev_stop_name") != F.col("stop_name")))

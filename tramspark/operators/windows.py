@@ -2,21 +2,16 @@
 
 ``F.lag(c).over(Window.partitionBy(key).orderBy(t))`` sends every row of a
 key to one task.  One vehicle, stop or line can hold a large share of all
-rows, so the history of a key is cut into time buckets (one day by default):
-
-1. ``lag`` inside ``(key, bucket)`` - a shuffle on a key that is never hot
-   beyond one bucket of one entity.
-2. The last row of every ``(key, bucket)`` - a partial (map-side) aggregate,
-   so only one row per key and bucket per task is shuffled.
-3. The previous non-empty bucket's last row per key - a window over that
-   small table (rows = buckets, not pings).
-4. The first row of each bucket takes its predecessor from step 3 (a join on
-   ``(key, bucket)``; the big side is already partitioned on it by the window
-   and the small side is broadcast only when its measured size is under the
-   broadcast threshold, otherwise it is shuffled to the same partitioning).
-
-The result equals the plain window whenever the ordering is total within a
-key; callers pass tie-break columns to make it so.  Partition keys and the
+rows, so the history of a key is cut into time buckets.  Every model ignores
+a predecessor that lies further back than a known limit, so a row within the
+limit of its bucket's end is repeated into the buckets that the limit reaches;
+``lag`` then runs inside ``(key, bucket)`` and the repeated rows are dropped.
+That is one scan, one shuffle and no join.
+
+A predecessor further back than the limit may or may not be seen (it is if it
+lies in the same bucket); callers must treat both cases alike.  The result
+equals the plain window up to the limit whenever the ordering is total within
+a key; callers pass tie-break columns to make it so.  Partition keys and the
 first ordering column must be non-NULL (callers filter them or derive them
 from non-NULL join keys and times).
 """
@@ -25,87 +20,64 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_B = "__bucket"
-_FIRST = "__first_in_bucket"
-_TAIL = "__tail"
-_PREV = "__prev_tail"
-
+from tramspark.session import shared_dir
 
-def day_bucket(ts: str) -> Column:
-    """Default bucket: calendar day of the ordering timestamp."""
-    return F.to_date(F.col(ts))
+DAY = 86_400
+_B = "__bucket"
+_HALO = "__halo"
 
 
-def time_bucket_of(ts: str, seconds: int) -> Column:
-    """Bucket of ``seconds`` width (e.g. 3600 = hour) of the ordering timestamp."""
-    return F.floor(F.unix_timestamp(F.col(ts)) / F.lit(int(seconds)))
+def window_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, str]) -> DataFrame:
+    """The plain window, for keys whose size is bounded by construction (``values``: output name -> source column)."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.select("*", *[F.lag(src).over(w).alias(out) for out, src in values.items()])
 
 
-def ordered_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                values: dict[str, str], bucket: Column | None = None,
-                split: bool = True) -> DataFrame:
+def ordered_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, str],
+                limit_seconds: int, bucket_seconds: int = DAY) -> DataFrame:
     """Add ``values`` columns holding the previous row's values within ``keys``.
 
     ``values`` maps an output name to the source column.  ``order`` must be
-    ascending and total within a key; its first column drives ``bucket``
-    (which must not decrease along ``order``).  With ``split=False`` the plain
-    window is used (only for keys whose size is bounded by construction).
+    ascending and total within a key; its first column is the time that cuts
+    the buckets.  Predecessors up to ``limit_seconds`` back (inclusive) are
+    always found.
     """
-    keys, order = list(keys), list(order)
-    if not split:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.select("*", *[F.lag(src).over(w).alias(out) for out, src in values.items()])
-
-    b = bucket if bucket is not None else day_bucket(order[0])
-    with_b = df.withColumn(_B, b)
+    seconds = F.unix_timestamp(F.col(order[0]))
+    width = F.lit(int(bucket_seconds))
+    own = F.floor(seconds / width)
+    reach = F.floor((seconds + F.lit(int(limit_seconds))) / width)
+    dealt = (df.select("*", own.alias("__own"), F.explode(F.sequence(own, reach)).alias(_B))
+             .withColumn(_HALO, F.col(_B) > F.col("__own")).drop("__own"))
     w = Window.partitionBy(*keys, _B).orderBy(*order)
-    inner = with_b.select(
-        "*",
-        F.lag(F.lit(1)).over(w).isNull().alias(_FIRST),
-        *[F.lag(src).over(w).alias(out) for out, src in values.items()],
-    )
-    # Last row per (key, bucket), pre-aggregated map-side (one row per key and
-    # bucket per task before the shuffle).  A single ordering column allows
-    # max_by per value (hash aggregation); otherwise the max of the ordering
-    # struct carries the values.
-    if len(order) == 1:
-        o = F.col(order[0])
-        tails = with_b.groupBy(*keys, _B).agg(F.struct(
-            F.max(o).alias(order[0]),
-            *[F.max_by(F.col(src), o).alias(out) for out, src in values.items()]).alias(_TAIL))
-    else:
-        tail_struct = F.struct(*[F.col(c) for c in order],
-                               *[F.col(src).alias(out) for out, src in values.items()])
-        tails = with_b.groupBy(*keys, _B).agg(F.max(tail_struct).alias(_TAIL))
-    wk = Window.partitionBy(*keys).orderBy(_B)
-    prev = tails.select(*keys, _B, F.lag(_TAIL).over(wk).alias(_PREV))
-    joined = inner.join(prev, on=[*keys, _B], how="left")
-    fixed = [F.when(F.col(_FIRST), F.col(f"{_PREV}.{out}")).otherwise(F.col(out)).alias(out)
-             for out in values]
+    lagged = dealt.select("*", *[F.lag(src).over(w).alias(out) for out, src in values.items()])
     keep = [c for c in df.columns if c not in values]
-    return joined.select(*keep, *fixed)
+    return lagged.filter(~F.col(_HALO)).select(*keep, *values)
 
 
 def ordered_running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
-                        bucket: Column | None = None) -> DataFrame:
+                        bucket_seconds: int = DAY) -> DataFrame:
     """Running sum of ``value`` within ``keys`` in ``order`` (current row included).
 
-    Split like ``ordered_lag``: a running sum inside (key, bucket); per-bucket
-    totals pre-aggregated map-side; a prefix sum over the *earlier* buckets
-    of each key on that small table; the two added after a join on
-    (key, bucket).  ``order`` must be total within a key (so the default
-    RANGE frame and a ROWS frame agree).
+    A running sum inside (key, bucket); per-bucket totals pre-aggregated
+    map-side; a prefix sum over the *earlier* buckets of each key on that
+    small table; the two added after a join on (key, bucket).  Both branches
+    read one table written to the shared folder, so ``df`` is computed once.
+    ``order`` must be total within a key (so the default RANGE frame and a
+    ROWS frame agree).
     """
     keys, order = list(keys), list(order)
-    b = bucket if bucket is not None else day_bucket(order[0])
-    with_b = df.withColumn(_B, b)
+    spark = df.sparkSession
+    path = shared_dir(spark, "running-sum")
+    dealt = df.withColumn(_B, F.floor(F.unix_timestamp(F.col(order[0])) / F.lit(int(bucket_seconds))))
+    dealt.write.parquet(path)
+    dealt = spark.read.schema(dealt.schema).parquet(path)
     w = (Window.partitionBy(*keys, _B).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inner = with_b.withColumn("__inner_sum", F.sum(value).over(w))
-    totals = with_b.groupBy(*keys, _B).agg(F.sum(value).alias("__bucket_sum"))
+    inner = dealt.withColumn("__inner_sum", F.sum(value).over(w))
+    totals = dealt.groupBy(*keys, _B).agg(F.sum(value).alias("__bucket_sum"))
     wk = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(*keys, _B, F.coalesce(F.sum("__bucket_sum").over(wk), F.lit(0)).alias("__carry"))
     joined = inner.join(carry, on=[*keys, _B], how="left")
