@@ -53,8 +53,7 @@ def test_given_weights_win(spark):
     assert got == {"x": 600, "y": 300, "z": 300} or all(abs(got[k] - v) <= 1 for k, v in {"x": 600, "y": 300, "z": 300}.items())
 
 
-def test_mix_takes_prefixes(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "RANGE_ROWS", 20)
+def test_mix_takes_prefixes(spark):
     rows = [(i, "w " * (i % 9), "en", "big") for i in range(400)] + [(1000 + i, "w w w", "en", "tiny") for i in range(5)]
     rows += [(2000, None, None, None), (2000, "", None, None), (None, "a b", "de", "big"), (7, "w " * 7, "en", "big")]
     docs = documents(spark, rows)

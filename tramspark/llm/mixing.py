@@ -20,6 +20,7 @@ without tokens or budget gives no rows; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,7 +30,7 @@ from tramspark.llm import common
 
 WORDS = r"[^\x20\x09-\x0D]+"
 LEVELS = ("domain", "lang", "source")
-RANGE_ROWS = 2000       # rows of the whole table in one hash range
+MIN_RANGES = 8          # hash ranges of the order; as many as the square root of the rows, if that is more
 
 
 def place(seed: int, epoch: Column, key: Column) -> Column:
@@ -101,7 +102,8 @@ def mix(docs: DataFrame, domain: Column, id_col: str = "doc_id", text_col: str =
     leaves = common.stored(rows.groupBy(*leaf).agg(F.count("*").alias("docs"), F.sum("n_tokens").cast("double").alias("tokens")),
                            "mix-leaves")
     total = rows.count()
-    ranges = max(8, -(-total // RANGE_ROWS))
+    # a leaf's ranges are summed up in one task and one range's rows are ordered in one: neither outgrows the root
+    ranges = max(MIN_RANGES, math.isqrt(total))
     planned = budgets(leaves, max_epochs, budget_share, weights or {})
     full = F.when(F.col("tokens") > 0, F.floor(F.col("budget") / F.col("tokens"))).otherwise(0).cast("long")
     planned = common.stored(planned.withColumn("full", full).withColumn(
