@@ -85,6 +85,7 @@ for _key, _model in MODEL_KEYS.items():
 
 
 REPORT_DAY = "2024-01-15"
+HEADER_PARTS = 8        # files of the text feed, each with a header line
 
 
 @register("scan_csv_positions")
@@ -96,7 +97,16 @@ def scan_csv_positions(spark, sf_dir):
     return files.drop_header_rows(files.read_positions_csv(spark, path))
 
 
-REGISTRY["filter_header_rows"] = scan_csv_positions
+@register("filter_header_rows")
+def filter_header_rows(spark, sf_dir):
+    """The header lines alone that the headerless reader meets in the parts of the text feed: rows of the feed and
+    header rows are counted apart (A4)."""
+    path = shared_dir(spark, "positions-csv")
+    (fixtures.raw_feed_text(spark, sf_dir).repartition(HEADER_PARTS, "vehicle_number").write.option("header", True).csv(path))
+    raw = files.read_positions_csv(spark, path)
+    kept = files.drop_header_rows(raw)
+    return kept.groupBy("line").agg(F.count(F.lit(1)).alias("n"),
+                                    F.count(F.when(F.col("fetch_time") == "fetch_time", 1)).alias("header_rows"))
 
 
 @register("scan_parquet")
@@ -111,7 +121,7 @@ def scan_parquet(spark, sf_dir):
 def scan_gtfs(spark, sf_dir):
     """stops.txt written with a header and read back as all-text columns by name."""
     path = shared_dir(spark, "stops-txt")
-    fixtures.stops_text(spark, sf_dir).coalesce(1).write.option("header", True).csv(path)
+    fixtures.stops_text(spark, sf_dir).write.option("header", True).csv(path)
     return files.read_gtfs(spark, path, "stops")
 
 
@@ -393,10 +403,6 @@ def scalar_math(spark, sf_dir):
 # data quality
 # ---------------------------------------------------------------------------
 
-CORE_MODELS = ["positions", "stops", "routes", "trips", "stop_times", "calendar", "moves", "matches",
-               "headway", "segments"]
-
-
 def extra_checks() -> list:
     """Checks on the raw feed before cleaning (these do find failures)."""
     C = quality.Check
@@ -407,11 +413,11 @@ def extra_checks() -> list:
     ]
 
 
-def _dq(spark, sf_dir, tests: set | None, core_only: bool):
+def _dq(spark, sf_dir, tests: set | None):
+    """All declared checks of the given kinds, on models written once for the query."""
     m = models(spark, sf_dir, materialize_shared=True)
     numbered = [(i, c) for i, c in enumerate(quality.declared_checks() + extra_checks())
-                if (tests is None or c.test in tests)
-                and (not core_only or c.model in CORE_MODELS + ["raw_positions"])]
+                if tests is None or c.test in tests]
     checks = [c for _, c in numbered]
     names = {c.model for c in checks} | {c.to_model for c in checks if c.to_model}
     frames = {n: (_union(spark, sf_dir) if n == "raw_positions" else m[n]) for n in names}
@@ -420,32 +426,32 @@ def _dq(spark, sf_dir, tests: set | None, core_only: bool):
 
 @register("dq_not_null")
 def dq_not_null(spark, sf_dir):
-    return _dq(spark, sf_dir, {"not_null"}, True)
+    return _dq(spark, sf_dir, {"not_null"})
 
 
 @register("dq_unique")
 def dq_unique(spark, sf_dir):
-    return _dq(spark, sf_dir, {"unique"}, True)
+    return _dq(spark, sf_dir, {"unique"})
 
 
 @register("dq_accepted_values")
 def dq_accepted_values(spark, sf_dir):
-    return _dq(spark, sf_dir, {"accepted_values"}, True)
+    return _dq(spark, sf_dir, {"accepted_values"})
 
 
 @register("dq_accepted_range")
 def dq_accepted_range(spark, sf_dir):
-    return _dq(spark, sf_dir, {"accepted_range"}, True)
+    return _dq(spark, sf_dir, {"accepted_range"})
 
 
 @register("dq_relationships")
 def dq_relationships(spark, sf_dir):
-    return _dq(spark, sf_dir, {"relationships"}, True)
+    return _dq(spark, sf_dir, {"relationships"})
 
 
 @register("dq_unique_combination")
 def dq_unique_combination(spark, sf_dir):
-    return _dq(spark, sf_dir, {"unique_combination"}, True)
+    return _dq(spark, sf_dir, {"unique_combination"})
 
 
 # ---------------------------------------------------------------------------
@@ -604,21 +610,20 @@ def stream_upsert(spark, sf_dir):
 
 ADHOC_SQL = """
 SELECT hour_of_day,
-       sum(measurements) AS n,
-       round(sum(avg_speed_kmh * measurements) / sum(measurements), 1) AS avg_speed_approx,
-       count(*) AS line_rows
-FROM speed_by_hour
-WHERE measurements >= 10 AND hour_of_day BETWEEN 6 AND 22
+       count(*) AS line_rows,
+       sum(measurements) AS moves,
+       round(sum(CAST(round(avg_speed_kmh * 10) AS BIGINT) * measurements) / CAST(sum(measurements) AS DOUBLE) / 10D, 1)
+         AS mean_speed_kmh
+FROM {speeds}
+WHERE hour_of_day BETWEEN 6 AND 22 AND measurements >= 10
 GROUP BY hour_of_day
 """
 
 
 @register("adhoc_sql")
 def adhoc_sql(spark, sf_dir):
-    """Models registered as views, a dashboard-style SQL statement on top."""
-    from tramspark.plans.pipeline import register_views
-    register_views(models(spark, sf_dir), ["speed_by_hour"])
-    return spark.sql(ADHOC_SQL).select("hour_of_day", F.col("n").cast("bigint").alias("n"), "line_rows")
+    """A statement over a model, as a dashboard sends it (the model is a parameter, no view is left behind)."""
+    return spark.sql(ADHOC_SQL, speeds=models(spark, sf_dir)["speed_by_hour"])
 
 
 @register("stop_matches_prev_day")
@@ -632,7 +637,7 @@ def stop_matches_prev_day(spark, sf_dir):
 def dq_suite(spark, sf_dir):
     """Every declared check over every model (staging, intermediate, marts)
     plus the raw-feed checks; shared models are written once first."""
-    return _dq(spark, sf_dir, None, False)
+    return _dq(spark, sf_dir, None)
 
 
 @register("visit_numbers")

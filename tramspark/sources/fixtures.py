@@ -6,27 +6,33 @@ The jobs must be right on any data of these schemas and take nothing from how
 the rows are made.  Every adapter reads the given tables, so the work of the
 downstream jobs grows with them.
 
-* pings     <- events (one ping per event, second precision)
-* raw feed  <- pings + a later re-poll of every third ping + an out-of-area copy
+* pings     <- events (each event is a short run of one vehicle: PINGS pings,
+               PING_STEP_S apart, each at the next stop of the run)
+* raw feed  <- pings + a later re-poll of every third event + an out-of-area copy
 * stops     <- nation (one stop per nation key)
-* timetable <- every (date, line, brigade) seen in the pings, 96 trips of
-               6 stops, 15 minutes apart, arrival text past 24:00 for late trips
+* timetable <- one trip per (date, line, brigade, quarter of an hour) in which a
+               run starts, N_STOPS_PER_TRIP stops, arrival text past 24:00 late
+               at night
+
+Vehicles are the users, a line has USERS_PER_LINE of them, so vehicles, lines,
+brigades, trips and stop times all grow with the tables.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramspark.functions.scalar import to_second
 
 # Fixed values of the adapter layout (FIXTURES.md section 4).
-N_VEHICLES = 4          # vehicle_number = brigade = user_id % 4
-N_LINES = 2             # line = user_id % 2
-N_TRIPS = 96            # trips per (date, line, brigade)
-N_STOPS_PER_TRIP = 6
+PINGS = 3               # pings of a run
+PING_STEP_S = 360       # seconds between them
+USERS_PER_LINE = 10     # vehicle = user, line = user // 10, brigade = user % 10
+N_STOPS = 25            # keys of nation
+N_STOPS_PER_TRIP = 4
 TRIP_STEP_MIN = 15
-STOP_STEP_MIN = 10
+STOP_STEP_MIN = 6
 
 TS_TEXT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 
@@ -37,62 +43,65 @@ DRIVER_SCHEMAS = {
     "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
 }
 
-_READS: dict = {}
-
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Driver table scan, built once per session and folder."""
-    key = (id(spark), sf_dir.rstrip("/"), name)
-    if key not in _READS:
-        reader = spark.read
-        if name in DRIVER_SCHEMAS:
-            reader = reader.schema(DRIVER_SCHEMAS[name])
-        _READS[key] = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return _READS[key]
-
-
-def pings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One position per event: vehicle, line, brigade, type, lat/lon near a stop."""
-    key = (id(spark), sf_dir.rstrip("/"), "__pings")
-    if key not in _READS:
-        _READS[key] = _pings(spark, sf_dir)
-    return _READS[key]
-
-
-def _pings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = _table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
-    k = (F.col("event_id") * F.lit(7919)) % F.lit(101) % F.lit(6)
-    lat_off = (F.col("event_id") * F.lit(13)) % F.lit(19) - F.lit(9)
-    lon_off = (F.col("event_id") * F.lit(17)) % F.lit(19) - F.lit(9)
-    return ev.select(
-        "event_id",
-        to_second("ts").alias("vehicle_time"),
-        (F.col("user_id") % F.lit(N_VEHICLES)).cast("string").alias("vehicle_number"),
-        (F.col("user_id") % F.lit(N_LINES)).cast("string").alias("line"),
-        (F.col("user_id") % F.lit(N_VEHICLES)).cast("string").alias("brigade"),
-        (F.lit(1) + F.col("user_id") % F.lit(2)).cast("tinyint").alias("vehicle_type"),
-        (F.lit(52.20) + k * F.lit(0.002) + lat_off * F.lit(0.0001)).alias("lat"),
-        (F.lit(21.00) + k * F.lit(0.001) + lon_off * F.lit(0.0001)).alias("lon"),
-    )
-
-
-def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw polls: every ping fetched 20 s after its time, every third ping polled
-    again 80 s after, every fiftieth also seen 5 degrees north (out of area)."""
-    p = pings(spark, sf_dir)
-    base = p.withColumn("fetch_time", F.col("vehicle_time") + F.expr("INTERVAL 20 SECONDS"))
-    repoll = (p.filter(F.col("event_id") % F.lit(3) == F.lit(0))
-              .withColumn("fetch_time", F.col("vehicle_time") + F.expr("INTERVAL 80 SECONDS")))
-    outbox = (base.filter(F.col("event_id") % F.lit(50) == F.lit(0))
-              .withColumn("lat", F.col("lat") + F.lit(5.0)))
-    cols = ["event_id", "fetch_time", "vehicle_number", "line", "brigade",
-            "vehicle_type", "lat", "lon", "vehicle_time"]
-    return base.select(cols).unionByName(repoll.select(cols)).unionByName(outbox.select(cols))
+    """Driver table scan."""
+    reader = spark.read
+    if name in DRIVER_SCHEMAS:
+        reader = reader.schema(DRIVER_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One vehicle run per event: start time, vehicle, line, brigade, first stop and stops per step."""
+    user = F.col("user_id")
+    return _table(spark, sf_dir, "events").select(
+        "event_id", to_second("ts").alias("start"),
+        user.cast("string").alias("vehicle_number"),
+        F.floor(user / F.lit(USERS_PER_LINE)).cast("string").alias("line"),
+        (user % F.lit(USERS_PER_LINE)).cast("string").alias("brigade"),
+        (F.lit(1) + user % F.lit(2)).cast("tinyint").alias("vehicle_type"),
+        ((F.col("event_id") * F.lit(7919)) % F.lit(N_STOPS)).alias("stop0"),
+        (F.lit(1) + user % F.lit(5)).alias("hop"))
+
+
+def _stop_at(k: Column) -> Column:
+    """Stop key of step ``k`` of a run."""
+    return (F.col("stop0") + F.col("hop") * k) % F.lit(N_STOPS)
+
+
+def raw_feed(spark: SparkSession, sf_dir: str, parity: int | None = None) -> DataFrame:
+    """Raw polls, in one scan of events: every ping fetched 20 s after its time,
+    those of every third event polled again 80 s after, those of every fiftieth
+    also seen 5 degrees north (out of area).  ``parity`` keeps the events of one
+    collector (even or odd ids)."""
+    runs = _runs(spark, sf_dir)
+    if parity is not None:
+        runs = runs.filter(F.col("event_id") % F.lit(2) == F.lit(parity))
+    event = F.col("event_id")
+    poll = lambda late, north: F.struct(F.lit(late).alias("late"), F.lit(north).alias("north"))
+    polls = F.concat(F.array(poll(20, 0.0)),
+                     F.when(event % F.lit(3) == F.lit(0), F.array(poll(80, 0.0))).otherwise(F.array().cast("array<struct<late:int,north:double>>")),
+                     F.when(event % F.lit(50) == F.lit(0), F.array(poll(20, 5.0))).otherwise(F.array().cast("array<struct<late:int,north:double>>")))
+    steps = runs.select("*", F.explode(F.sequence(F.lit(0), F.lit(PINGS - 1))).alias("k"), polls.alias("polls"))
+    stop = _stop_at(F.col("k"))
+    lat_off = (event * F.lit(13)) % F.lit(19) - F.lit(9)
+    lon_off = (event * F.lit(17)) % F.lit(19) - F.lit(9)
+    seconds = lambda n: F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), n)
+    seen = steps.select(
+        "event_id", "vehicle_number", "line", "brigade", "vehicle_type",
+        (F.col("start") + seconds(F.col("k") * F.lit(PING_STEP_S))).alias("vehicle_time"),
+        (F.lit(52.20) + stop * F.lit(0.002) + lat_off * F.lit(0.00002)).alias("lat"),
+        (F.lit(21.00) + stop * F.lit(0.001) + lon_off * F.lit(0.00002)).alias("lon"),
+        F.explode("polls").alias("poll"))
+    return seen.select(
+        "event_id", (F.col("vehicle_time") + seconds(F.col("poll.late"))).alias("fetch_time"), "vehicle_number", "line",
+        "brigade", "vehicle_type", (F.col("lat") + F.col("poll.north")).alias("lat"), "lon", "vehicle_time")
 
 
 def raw_feed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Even events as legacy CSV text (every column a string, ISO 'T' times)."""
-    r = raw_feed(spark, sf_dir).filter(F.col("event_id") % F.lit(2) == F.lit(0))
+    r = raw_feed(spark, sf_dir, 0)
     return r.select(
         F.date_format("fetch_time", TS_TEXT_FORMAT).alias("fetch_time"),
         "vehicle_number", "line", "brigade",
@@ -105,9 +114,8 @@ def raw_feed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_feed_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Odd events as typed collector batches."""
-    r = raw_feed(spark, sf_dir).filter(F.col("event_id") % F.lit(2) == F.lit(1))
-    return r.select("fetch_time", "vehicle_number", "line", "brigade",
-                    "vehicle_type", "lat", "lon", "vehicle_time")
+    return raw_feed(spark, sf_dir, 1).select("fetch_time", "vehicle_number", "line", "brigade",
+                                             "vehicle_type", "lat", "lon", "vehicle_time")
 
 
 def stops_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,18 +132,19 @@ def stops_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = (pings(spark, sf_dir)
-            .select(F.to_date("vehicle_time").alias("d"), "line", "brigade")
-            .distinct())
-    return (days.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(N_TRIPS - 1))))
+    """Dated trips; of several runs that start in one quarter the lowest stop and hop give the trip's stops."""
+    quarter = F.floor((F.hour("start") * F.lit(60) + F.minute("start")) / F.lit(TRIP_STEP_MIN)).alias("j")
+    return (_runs(spark, sf_dir)
+            .groupBy(F.to_date("start").alias("d"), "line", "brigade", quarter)
+            .agg(F.min("stop0").alias("stop0"), F.min("hop").alias("hop"))
             .withColumn("trip_id", F.concat(F.date_format("d", "yyyy-MM-dd"), F.lit(":"), F.col("line"),
                                             F.lit("-"), F.col("brigade"), F.lit("-"),
                                             F.col("j").cast("string"))))
 
 
 def routes_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """routes.txt rows: one route per line seen in the pings."""
-    lines = pings(spark, sf_dir).select("line").distinct()
+    """routes.txt rows: one route per line seen in the runs."""
+    lines = _runs(spark, sf_dir).select("line").distinct()
     return lines.select(
         F.concat(F.lit("R"), F.col("line")).alias("route_id"),
         F.col("line").alias("route_short_name"),
@@ -163,7 +172,7 @@ def stop_times_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.select(
         "trip_id",
         F.col("k").cast("string").alias("stop_sequence"),
-        F.col("k").cast("string").alias("stop_id"),
+        _stop_at(F.col("k")).cast("string").alias("stop_id"),
         F.concat(F.lpad(F.floor(minutes / F.lit(60)).cast("string"), 2, "0"), F.lit(":"),
                  F.lpad((minutes % F.lit(60)).cast("string"), 2, "0"), F.lit(":00")).alias("arrival_time"),
     )
