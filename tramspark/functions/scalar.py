@@ -21,6 +21,11 @@ METERS_PER_DEGREE = 111320.0
 _DATE_TEXT = r"^\s*\d{4}-\d{1,2}-\d{1,2}\s*$"
 _DATE_TIME_TEXT = r"^\s*\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*$"
 _TS_TEXT = r"^\s*\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?)?$"
+# Wider forms: slashes between the date parts; after the time a zone (which the
+# cast to a zone-less timestamp ignores) and blanks.
+_TS_WIDE = (r"^\s*(\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2})"
+            r"([ T]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?)?"
+            r"(?:(?<=:\d{2}|\.\d{1,9})(?:Z| ?[+-]\d{2}(?::?\d{2})?| [A-Za-z][A-Za-z0-9_/+-]*)?\s*)?$")
 
 
 def _c(x) -> Column:
@@ -80,19 +85,31 @@ def try_int(x) -> Column:
     return F.when(r.between(-2147483648.0, 2147483647.0), r).try_cast("int")
 
 
+def _wide_timestamp(x: Column) -> Column:
+    """Date and time of the wider forms without zone and slashes, as TIMESTAMP_NTZ."""
+    day = F.regexp_replace(F.regexp_extract(x, _TS_WIDE, 1), "/", "-")
+    return F.concat(day, F.regexp_extract(x, _TS_WIDE, 2)).try_cast("timestamp_ntz")
+
+
 def try_date(x) -> Column:
-    """Text to DATE; needs a full ``YYYY-M-D`` ('2026' is NULL); a valid time
+    """Text to DATE; needs a full ``YYYY-M-D`` or ``YYYY/M/D`` ('2026' is NULL); a valid time
     part may follow (an invalid one makes the value NULL)."""
     x = _c(x)
     return (F.when(x.rlike(_DATE_TEXT), F.trim(x).try_cast("date"))
-            .when(x.rlike(_DATE_TIME_TEXT), F.trim(x).try_cast("timestamp_ntz").cast("date")))
+            .when(x.rlike(_DATE_TIME_TEXT), F.trim(x).try_cast("timestamp_ntz").cast("date"))
+            .when(x.rlike(_TS_WIDE), _wide_timestamp(x).cast("date")))
 
 
 def try_timestamp(x) -> Column:
-    """Text to TIMESTAMP_NTZ; requires a full date, optional time, ' ' or 'T'
-    (leading blanks allowed, trailing ones not)."""
+    """Text to TIMESTAMP_NTZ: a full date with '-' or '/', optionally a time after ' ' or 'T'.
+
+    Blanks may lead; after a time a zone ('Z', '+02', '+02:30', ' UTC') and
+    blanks may follow - the zone is not applied, as in the reference engine's
+    cast to a zone-less timestamp.  The usual form is tested first.
+    """
     x = _c(x)
-    return F.when(x.rlike(_TS_TEXT), F.trim(x).try_cast("timestamp_ntz"))
+    return (F.when(x.rlike(_TS_TEXT), F.trim(x).try_cast("timestamp_ntz"))
+            .when(x.rlike(_TS_WIDE), _wide_timestamp(x)))
 
 
 def to_second(ts) -> Column:

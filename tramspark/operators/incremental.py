@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tramspark.operators.staging import dedup_first
-from tramspark.session import path_exists, shared_dir
+from tramspark.session import path_exists, remove_path, shared_dir
 
 EPOCH = "1970-01-01 00:00:00"
 
@@ -84,29 +84,36 @@ def write_upsert(spark, path: str, batch: DataFrame, keys: Sequence[str], order:
                  partition_col: str, strategy: str = "first_wins") -> DataFrame:
     """Apply ``upsert`` to the Parquet table at ``path`` (created if missing).
 
-    Reads only the partitions the batch touches, stages the merged rows in
-    the shared checkpoint folder, then overwrites exactly those partitions of
-    the target.  Re-applying the same batch (a replay after a failure) gives
-    the same table.  Returns the table as read after the write.
+    The batch is computed once, into the shared checkpoint folder.  Its range
+    of partition values (a 1-row aggregate) prunes the target's folders, a
+    semi-join picks the touched ones among them; the merged rows are staged
+    and then overwrite exactly those partitions.  Re-applying the same batch
+    (a replay after a failure) gives the same table.  Staged files are removed
+    after success.  A NULL partition value is an error.  Returns the table as
+    read after the write.
     """
+    staged, merged_path = shared_dir(spark, "upsert-batch"), shared_dir(spark, "upsert-merged")
+    batch.write.parquet(staged)
+    batch = spark.read.schema(batch.schema).parquet(staged)
+    col = F.col(partition_col)
+    seen = batch.agg(F.min(col).alias("lo"), F.max(col).alias("hi"), F.count_if(col.isNull()).alias("nulls")).first()
+    if seen["nulls"]:
+        raise ValueError(f"{seen['nulls']} rows of the batch have no {partition_col}")
     if not path_exists(spark, path):
-        batch.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(path)
-        return spark.read.parquet(path)
-    target = spark.read.parquet(path)
-    # The partitions a batch touches are the few days it spans: collect that
-    # small set and filter the partition column with it, so only those
-    # partitions are listed and read (a semi-join would scan the whole
-    # table).  A batch spanning more than ``max_listed`` days falls back to
-    # the semi-join.
-    max_listed = 10_000
-    days = [r[0] for r in batch.select(partition_col).distinct().limit(max_listed + 1).collect()]
-    if len(days) <= max_listed:
-        t_in = target.filter(F.col(partition_col).isin(days))
-    else:
-        t_in = target.join(batch.select(partition_col).distinct(), partition_col, "left_semi")
-    merged = upsert(t_in, batch.select(*target.columns), keys, order, None, strategy)
-    stage = shared_dir(spark, "upsert-stage")
-    merged.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(stage)
-    (spark.read.parquet(stage).select(*target.columns).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
+        _write_partitions(batch, path, partition_col)
+    elif seen["lo"] is not None:
+        target = spark.read.parquet(path)
+        touched = batch.select(partition_col).distinct()
+        t_in = target.filter(col.between(seen["lo"], seen["hi"])).join(touched, partition_col, "left_semi")
+        merged = upsert(t_in, batch.select(*target.columns), keys, order, None, strategy)
+        _write_partitions(merged, merged_path, partition_col)
+        _write_partitions(spark.read.parquet(merged_path).select(*target.columns), path, partition_col)
+        remove_path(spark, merged_path)
+    remove_path(spark, staged)
     return spark.read.parquet(path)
+
+
+def _write_partitions(df: DataFrame, path: str, partition_col: str) -> None:
+    """Replace the partitions ``df`` holds (a date's rows land in few, sized files)."""
+    (df.hint("rebalance", partition_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_col).parquet(path))

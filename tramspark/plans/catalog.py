@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tramspark.functions import scalar as S
 from tramspark.operators import history, incremental, matching, quality, reports, staging
-from tramspark.plans.pipeline import FIXTURE_PARAMS, Models, Params
+from tramspark.plans.pipeline import FIXTURE_PARAMS, Models, Params, build_graph
 from tramspark.session import shared_dir
 from tramspark.sources import files, fixtures
 from tramspark.sources.schemas import POSITION_COLUMNS
@@ -349,7 +349,14 @@ def scalar_casts(spark, sf_dir):
         S.try_int(F.concat(F.col("line"), F.lit(".5"))).alias("line_half_up"),
         S.try_date("vehicle_number").alias("not_a_date"),
         S.try_timestamp(F.substring("vehicle_time", 1, 7)).alias("month_only"),
-        S.try_date(F.substring("vehicle_time", 1, 10)).alias("date_text"))
+        S.try_date(F.substring("vehicle_time", 1, 10)).alias("date_text"),
+        S.try_timestamp(F.concat("vehicle_time", F.lit("Z"))).alias("utc_mark"),
+        S.try_timestamp(F.concat("vehicle_time", F.lit("+02"))).alias("zone_hours"),
+        S.try_timestamp(F.concat("vehicle_time", F.lit(".25 -03:30 "))).alias("zone_minutes"),
+        S.try_timestamp(F.regexp_replace("vehicle_time", "-", "/")).alias("slashes"),
+        S.try_timestamp(F.concat("vehicle_time", F.lit("  "))).alias("trailing_blanks"),
+        S.try_timestamp(F.concat(F.substring("vehicle_time", 1, 10), F.lit("Z"))).alias("date_with_zone"),
+        S.try_date(F.concat(F.regexp_replace("vehicle_time", "-", "/"), F.lit(" UTC"))).alias("date_of_slashes"))
 
 
 @register("scalar_text")
@@ -514,6 +521,81 @@ def incremental_upsert(spark, sf_dir):
     return out.drop("vehicle_date")
 
 
+def _late_polls(i):
+    """Raw rows from the slice on that were polled again (fetched over a minute after their time)."""
+    start = F.lit(BATCH_FROM).cast("timestamp_ntz")
+
+    def late(seen, fetched):
+        return (seen >= start) & (S.seconds_between(seen, fetched) > F.lit(60))
+    text, typed = i["positions_csv"], i["positions_parquet"]
+    return staging.clean_positions(text.filter(late(S.try_timestamp("vehicle_time"), S.try_timestamp("fetch_time"))),
+                                   typed.filter(late(F.col("vehicle_time"), F.col("fetch_time"))))
+
+
+@register("incremental_delete_insert")
+def incremental_delete_insert(spark, sf_dir):
+    """The full load written by date, then the later polls from 15 Jan on merged by delete+insert: the batch wins."""
+    m = models(spark, sf_dir)
+    path, day = shared_dir(spark, "delete-insert"), F.to_date("vehicle_time")
+    keys, order = ["vehicle_number", "vehicle_time"], ["fetch_time", "lat", "lon"]
+    incremental.write_upsert(spark, path, m["positions"].withColumn("vehicle_date", day), keys, order, "vehicle_date")
+    out = incremental.write_upsert(spark, path, _late_polls(m.inputs).withColumn("vehicle_date", day), keys, order,
+                                   "vehicle_date", "delete_insert")
+    return out.select(*m["positions"].columns)
+
+
+@register("incremental_matches")
+def incremental_matches(spark, sf_dir):
+    """Matches up to 16 Jan written by date; then only positions newer than the newest matched ping are matched and
+    merged by (vehicle, time): equals the full model."""
+    m = models(spark, sf_dir)
+    path, day = shared_dir(spark, "matches-table"), F.to_date("actual_time")
+    keys = ["vehicle_number", "actual_time"]
+    early = m["matches"].filter(F.col("actual_time") < F.lit(SLICE_AT).cast("timestamp_ntz")).withColumn("match_date", day)
+    loaded = incremental.write_upsert(spark, path, early, keys, [], "match_date", "delete_insert")
+    fresh = models(spark, sf_dir)
+    fresh.put("positions", incremental.newer_than_target(m["positions"], loaded, "vehicle_time", "actual_time"))
+    fresh.put("stop_times", m["stop_times"])
+    out = incremental.write_upsert(spark, path, fresh["matches"].withColumn("match_date", day), keys, [], "match_date",
+                                   "delete_insert")
+    return out.select(*m["matches"].columns)
+
+
+@register("full_refresh_rebuild")
+def full_refresh_rebuild(spark, sf_dir):
+    """A10: the graph built into a folder, then built again into it from a feed without the days from 16 Jan on:
+    rows per table and day of the second build."""
+    out = shared_dir(spark, "rebuild")
+    i = fixtures.transit_inputs(spark, sf_dir)
+    cut = F.lit(SLICE_AT).cast("timestamp_ntz")
+    shrunk = {**i, "positions_csv": i["positions_csv"].filter(S.try_timestamp("vehicle_time") < cut),
+              "positions_parquet": i["positions_parquet"].filter(F.col("vehicle_time") < cut)}
+    names = ["positions", "matches"]
+    build_graph(i, FIXTURE_PARAMS, out, names=names)
+    tables = build_graph(shrunk, FIXTURE_PARAMS, out, names=names)
+    parts = [tables[n].groupBy(F.to_date(t).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+             .select(F.lit(n).alias("table_name"), "day", "n") for n, t in (("positions", "vehicle_time"), ("matches", "actual_time"))]
+    return parts[0].unionByName(parts[1])
+
+
+@register("incremental_run")
+def incremental_run(spark, sf_dir):
+    """Three incremental runs of the whole graph (feeds up to 10 Jan, up to 16 Jan, all): the last run's line
+    punctuality, equal to a full build."""
+    from tramspark.plans.pipeline import build_incremental
+    out = shared_dir(spark, "incremental-run")
+    i = fixtures.transit_inputs(spark, sf_dir)
+    tables = None
+    for k, until in enumerate(["2024-01-10 00:00:00", SLICE_AT, None]):
+        feed = dict(i)
+        if until:
+            cut = F.lit(until).cast("timestamp_ntz")
+            feed["positions_csv"] = i["positions_csv"].filter(S.try_timestamp("fetch_time") < cut)
+            feed["positions_parquet"] = i["positions_parquet"].filter(F.col("fetch_time") < cut)
+        tables = build_incremental(feed, FIXTURE_PARAMS, out, load_id=f"load-{k}")
+    return tables["line_punctuality"]
+
+
 @register("high_water_mark")
 def high_water_mark(spark, sf_dir):
     """Raw typed rows fetched after the newest fetch already loaded."""

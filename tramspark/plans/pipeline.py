@@ -12,6 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tramspark.operators import headway as hw
 from tramspark.operators import marts, matching, movement, segments, staging
@@ -180,9 +181,9 @@ def register_views(models: "Models | dict", names: list[str] | None = None) -> N
         models[n].createOrReplaceTempView(n)
 
 
-# Models written partitioned: positions by calendar date, so retention
-# windows, latest-day selections and upserts read only their partitions.
-PARTITION_COLUMNS = {"positions": ("vehicle_date", "vehicle_time")}
+# Models written partitioned by calendar date, so retention windows,
+# latest-day selections and upserts read only their partitions.
+PARTITION_COLUMNS = {"positions": ("vehicle_date", "vehicle_time"), "matches": ("match_date", "actual_time")}
 
 
 def materialize(df: DataFrame, name: str, base: str | None = None) -> DataFrame:
@@ -190,9 +191,9 @@ def materialize(df: DataFrame, name: str, base: str | None = None) -> DataFrame:
 
     Models listed in ``PARTITION_COLUMNS`` are written partitioned by the date
     of their time column; the partition column is kept on the read-back frame
-    so downstream date filters prune folders.
+    so downstream date filters prune folders.  A rebuild into the same folder
+    replaces the whole table, partitions that no longer occur included.
     """
-    from pyspark.sql import functions as F
     spark = df.sparkSession
     path = f"{base.rstrip('/')}/{name}" if base else shared_dir(spark, name)
     if name in PARTITION_COLUMNS:
@@ -201,20 +202,12 @@ def materialize(df: DataFrame, name: str, base: str | None = None) -> DataFrame:
         # (AQE splits a very large date and merges small ones), so files per
         # date stay few and sized, instead of one file per task per date
         (df.withColumn(pcol, F.to_date(tcol)).hint("rebalance", pcol)
-         .write.mode("overwrite").partitionBy(pcol).parquet(path))
+         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(pcol).parquet(path))
     else:
         df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
-def build_all(inputs: dict, params: Params = FIXTURE_PARAMS, out_dir: str | None = None,
-              materialize_shared: bool = True) -> dict[str, DataFrame]:
-    """Run the whole graph once: shared models are written and reused, every
-    model is returned (written ones as their Parquet reads)."""
-    m = Models(inputs, params, materialize_shared, out_dir)
-    return {name: m[name] for name in MODEL_ORDER}
-
-
 # Upstream models of each model (the graph's edges).
 DEPS = {
     "positions": [], "stops": [], "routes": [], "trips": [],
@@ -245,6 +238,11 @@ def downstream(changed: set[str] | list[str]) -> list[str]:
     return [n for n in MODEL_ORDER if n in out]
 
 
+def _session_of(inputs: dict):
+    """Session of the first input given (a feed may be left out)."""
+    return next(df for df in inputs.values() if df is not None).sparkSession
+
+
 def build_graph(inputs: dict, params: Params = FIXTURE_PARAMS, out_dir: str | None = None,
                 threads: int = 4, names: list[str] | None = None,
                 existing: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
@@ -260,7 +258,7 @@ def build_graph(inputs: dict, params: Params = FIXTURE_PARAMS, out_dir: str | No
     """
     from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 
-    spark = next(iter(inputs.values())).sparkSession
+    spark = _session_of(inputs)
     base = out_dir or shared_dir(spark, "models")
     m = Models(inputs, params)
     existing = dict(existing or {})
@@ -312,3 +310,50 @@ def build_graph(inputs: dict, params: Params = FIXTURE_PARAMS, out_dir: str | No
                 done.add(n)
     build_graph.last_timings = timings
     return tables
+
+
+LOAD_LOG = "_load_log"
+
+
+def build_incremental(inputs: dict, params: Params = FIXTURE_PARAMS, out_dir: str = "", threads: int = 4,
+                      load_id: str = "load", strategy: str = "first_wins") -> dict[str, DataFrame]:
+    """One incremental run into ``out_dir`` (a full build if there is none yet).
+
+    Positions: only raw rows fetched after the load log's high-water mark are
+    cleaned and merged by (vehicle, time).  Matches: only positions newer than
+    the newest matched ping are matched and replace rows of their (vehicle,
+    time).  Both rewrite the touched dates alone.  Models downstream of them
+    are rebuilt from the two tables.
+    """
+    from tramspark.functions.scalar import try_timestamp
+    from tramspark.operators import incremental
+    from tramspark.session import path_exists
+
+    spark, base = _session_of(inputs), out_dir.rstrip("/")
+    log, pos_path, match_path = f"{base}/{LOAD_LOG}", f"{base}/positions", f"{base}/matches"
+    if not path_exists(spark, log):
+        tables = build_graph(inputs, params, base, threads)
+        incremental.append_load_log(tables["positions"], log, "fetch_time", load_id)
+        return tables
+    mark = spark.read.parquet(log)
+    fresh = dict(inputs)
+    if inputs.get("positions_csv") is not None:
+        text = inputs["positions_csv"]
+        fresh["positions_csv"] = incremental.newer_than_target(
+            text.withColumn("__fetched", try_timestamp("fetch_time")), mark, "__fetched", "fetch_time").drop("__fetched")
+    if inputs.get("positions_parquet") is not None:
+        fresh["positions_parquet"] = incremental.newer_than_target(inputs["positions_parquet"], mark, "fetch_time")
+    batch = Models(fresh, params)["positions"].withColumn("vehicle_date", F.to_date("vehicle_time"))
+    positions = incremental.write_upsert(spark, pos_path, batch, ["vehicle_number", "vehicle_time"],
+                                         ["fetch_time", "lat", "lon"], "vehicle_date", strategy)
+    dims = build_graph(inputs, params, base, threads, ["stop_times", "trips", "routes", "stops"], {"positions": positions})
+    m = Models(inputs, params)
+    for n, df in dims.items():
+        m.put(n, df)
+    m.put("positions", incremental.newer_than_target(positions, spark.read.parquet(match_path), "vehicle_time", "actual_time"))
+    found = m["matches"].withColumn("match_date", F.to_date("actual_time"))
+    matches = incremental.write_upsert(spark, match_path, found, ["vehicle_number", "actual_time"], [], "match_date",
+                                       "delete_insert")
+    incremental.append_load_log(positions, log, "fetch_time", load_id)
+    rest = [n for n in MODEL_ORDER if n not in dims and n != "matches"]
+    return build_graph(inputs, params, base, threads, rest, {**dims, "matches": matches})

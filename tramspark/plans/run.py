@@ -6,7 +6,8 @@
 
 Reads the legacy CSV drops and the typed Parquet batches (either may be
 omitted), the four timetable text files from one folder, and writes every
-table model under ``--out`` (views stay views).
+table model under ``--out`` (views stay views).  With ``--incremental`` only
+what is newer than the last load is merged (the first such run builds all).
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tramspark.plans.pipeline import Params, build_graph
+from tramspark.plans.pipeline import Params, build_graph, build_incremental
 from tramspark.sources import files
 
 
@@ -42,12 +43,17 @@ def main(argv=None) -> None:
     ap.add_argument("--as-of", required=True, help="reference date for retention windows (YYYY-MM-DD)")
     ap.add_argument("--retention-days", type=int, default=2)
     ap.add_argument("--threads", type=int, default=4)
+    ap.add_argument("--incremental", action="store_true", help="merge what is newer than the last load into --out")
+    ap.add_argument("--load-id", default="load", help="name of this load in the load log")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("tramspark-run").getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     params = Params(as_of=a.as_of, retention_days=a.retention_days)
-    build_graph(inputs_from_files(spark, a.positions_csv, a.positions_parquet, a.gtfs), params, a.out,
-                threads=a.threads)
+    inputs = inputs_from_files(spark, a.positions_csv, a.positions_parquet, a.gtfs)
+    if a.incremental:
+        build_incremental(inputs, params, a.out, a.threads, a.load_id)
+    else:
+        build_graph(inputs, params, a.out, threads=a.threads)
 
 
 if __name__ == "__main__":

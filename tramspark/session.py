@@ -28,7 +28,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.parquet.compression.codec": "zstd",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -78,3 +77,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder the library itself has staged, through the Hadoop file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
