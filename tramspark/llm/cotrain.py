@@ -187,12 +187,16 @@ def _scored(views):
     return run
 
 
-def _labelled(rows: DataFrame, labels: DataFrame, id_col: str, label_col: str, max_rows: int, aside: bool) -> tuple | None:
+def _labels(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """(key, y): one row per labelled id."""
+    return (labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("string").alias("key"))
+            .agg(F.avg(label_col).alias("y")))
+
+
+def _labelled(rows: DataFrame, max_rows: int, aside: bool) -> tuple | None:
     """A bounded choice, by place, of labelled rows of each class: features and labels on the driver."""
     flag = F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(4)) == 3
-    usable = (labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id"))
-              .agg(F.avg(label_col).alias("y")).filter(flag if aside else ~flag))
-    known = rows.join(usable, "id").select("x", "y", "place")
+    known = rows.filter(F.col("y").isNotNull() & (flag if aside else ~flag)).select("x", "y", "place")
     xs, ys = [], []
     for good in (True, False):
         part = known.filter(F.col("y") >= 0.5 if good else F.col("y") < 0.5).orderBy("place", "x").limit(max_rows // 2).collect()
@@ -203,14 +207,14 @@ def _labelled(rows: DataFrame, labels: DataFrame, id_col: str, label_col: str, m
     return matrix(xs), np.array(ys)
 
 
-def train(rows: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", rounds: int = ROUNDS,
-          max_labelled: int = MAX_LABELLED, max_pseudo: int = MAX_PSEUDO, confident: float = CONFIDENT) -> tuple | None:
-    """Both calibrated views and the prior log odds, from ``rows`` (written table of :func:`featured` with ``place``)."""
-    seen, aside = (_labelled(rows, labels, id_col, label_col, max_labelled, a) for a in (False, True))
+def train(rows: DataFrame, rounds: int = ROUNDS, max_labelled: int = MAX_LABELLED, max_pseudo: int = MAX_PSEUDO,
+          confident: float = CONFIDENT) -> tuple | None:
+    """Both calibrated views and the prior log odds, from ``rows`` (written table: id, x, place, y or null)."""
+    seen, aside = (_labelled(rows, max_labelled, a) for a in (False, True))
     if seen is None or aside is None:
         return None
     (xs, y), (ax, ay) = seen, aside
-    unlabelled = rows.join(labels.filter(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id")).distinct(), "id", "left_anti")
+    unlabelled = rows.filter("y IS NULL")
     views = tuple(View().fit(x, y, np.ones(len(y))).calibrate(a, ay) for x, a in zip(xs, ax, strict=True))
     for _ in range(rounds):
         found = common.stored(unlabelled.select("x", "place").mapInArrow(
@@ -233,9 +237,12 @@ def train(rows: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
              source_col: str = "source", chars_col: str = "n_chars", label_col: str = "quality", **bounds) -> DataFrame:
     """(uid, id, p_content, p_meta, score) of every row; ``score`` is the probability of good quality."""
-    place = F.xxhash64("id").alias("place")
-    rows = common.stored(featured(docs, id_col, text_col, lang_col, source_col, chars_col).select("uid", "id", "x", place), "features")
-    views = train(rows, labels, id_col, label_col, **bounds)
+    # the one shuffle of the features brings the labels to them; rows without an id are keys of their own
+    rows = featured(docs, id_col, text_col, lang_col, source_col, chars_col).withColumn(
+        "key", F.coalesce(F.col("id").cast("string"), F.concat(F.lit("row "), F.col("uid").cast("string"))))
+    rows = common.stored(rows.join(_labels(labels, id_col, label_col), "key", "left")
+                         .select("uid", "id", "x", "y", F.xxhash64("id").alias("place")), "features")
+    views = train(rows, **bounds)
     if views is None:
         half = F.lit(0.5)
         return rows.select("uid", "id", half.alias("p_content"), half.alias("p_meta"), half.alias("score"))
