@@ -1,5 +1,5 @@
 """Streaming behaviour beyond the oracle sweep: late data is dropped and
-counted; the stateful previous-ping function drops stale pings."""
+counted; the stateful previous-ping function flags stale pings and expires."""
 
 import datetime as dt
 
@@ -39,12 +39,11 @@ def test_late_rows_are_dropped_and_counted(spark):
     assert totals["input_rows"] == 65
 
 
-def test_previous_ping_state_drops_stale():
+def test_previous_ping_state_flags_stale_rows_and_expires():
     import pandas as pd
 
     class State:
-        def __init__(self):
-            self.exists, self.value = False, None
+        exists, value, hasTimedOut, timeout = False, None, False, None
 
         @property
         def get(self):
@@ -53,16 +52,31 @@ def test_previous_ping_state_drops_stale():
         def update(self, v):
             self.exists, self.value = True, v
 
+        def remove(self):
+            self.exists, self.value = False, None
+
+        def setTimeoutTimestamp(self, ms):
+            self.timeout = ms
+
+        def getCurrentWatermarkMs(self):
+            return 0
+
     st = State()
     t = pd.Timestamp("2024-01-10 10:00:00")
+    key = ("a", int(t.timestamp()) // 3600)
+    previous = streams._previous_ping(3600)
 
-    def frame(secs):
+    def frame(secs, halo=()):
         return pd.DataFrame({"vehicle_number": "a", "line": "1", "brigade": "1", "vehicle_type": 2,
                              "vehicle_time": [t + pd.Timedelta(seconds=x) for x in secs],
-                             "lat": [52.2] * len(secs), "lon": [21.0] * len(secs)})
+                             "lat": [52.2] * len(secs), "lon": [21.0] * len(secs), "halo": [x in halo for x in secs]})
 
-    out1 = pd.concat(list(streams._previous_ping(("a",), iter([frame([60, 0])]), st)))
-    assert list(out1["prev_time"].isna()) == [True, False]
-    out2 = pd.concat(list(streams._previous_ping(("a",), iter([frame([30, 120])]), st)))
-    assert len(out2) == 1 and out2.iloc[0]["prev_time"] == t + pd.Timedelta(seconds=60)
-    assert st.get[3] == 1        # one stale ping dropped and counted
+    # a halo row is a predecessor and not emitted
+    out1 = pd.concat(list(previous(key, iter([frame([60, -30]), frame([0], halo=(0,))]), st)))
+    assert list(out1["vehicle_time"]) == [t - pd.Timedelta(seconds=30), t + pd.Timedelta(seconds=60)]
+    assert out1.iloc[1]["prev_time"] == t
+    out2 = pd.concat(list(previous(key, iter([frame([30, 120])]), st)))
+    assert list(out2["stale"]) == [False, True] and out2.iloc[0]["prev_time"] == t + pd.Timedelta(seconds=60)
+    assert st.timeout == (key[1] + 1) * 3600 * 1000
+    st.hasTimedOut = True
+    assert not list(previous(key, iter([]), st)) and not st.exists

@@ -609,47 +609,62 @@ def high_water_mark(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 
-STREAM_FILES = 12
 STREAM_FILES_PER_TRIGGER = 3
+IN_AREA = {"lat": 52.2, "lon": 21.0}    # the closing row must pass the cleaning rules
 
 
-def _land_raw(spark, sf_dir) -> str:
-    """The raw feed as typed collector batches landing in time order."""
+def _arrival(mixed: bool):
+    """Arrival order of raw rows: by time, or (``mixed``) out of order by up to five minutes within the watermark's delay."""
+    late = F.when(F.pmod(F.xxhash64("vehicle_number", "vehicle_time"), F.lit(3)) == 0, F.lit(300)).otherwise(F.lit(0))
+    return F.col("vehicle_time") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), late if mixed else F.lit(0))
+
+
+def _land_raw(spark, sf_dir, mixed: bool = False) -> str:
+    """The raw feed as typed collector batches landing in time order (or out of order), closed by a marker."""
     src = shared_dir(spark, "stream-raw")
     raw = _union(spark, sf_dir).select(
         "fetch_time", "vehicle_number", "line", "brigade",
         F.col("vehicle_type").cast("tinyint").alias("vehicle_type"), "lat", "lon", "vehicle_time")
-    streams.land_in_order(raw, src, STREAM_FILES, "vehicle_time")
+    if mixed:
+        raw = raw.withColumn("arrival", _arrival(True))
+    streams.land_in_order(raw, src, "arrival" if mixed else "vehicle_time",
+                          close={**IN_AREA, **({"vehicle_time": "2030-01-01 00:00:00"} if mixed else {})})
     return src
 
 
-def _land(spark, df, name, order_col) -> str:
+def _stream(spark, df, name, order_col):
+    """``df`` landed in time order with a closing marker, as a stream."""
     src = shared_dir(spark, name)
-    streams.land_in_order(df, src, STREAM_FILES, order_col)
-    return src
+    streams.land_in_order(df, src, order_col, close={})
+    return (spark.readStream.schema(df.schema).option("maxFilesPerTrigger", STREAM_FILES_PER_TRIGGER).parquet(src))
 
 
 def _drain(spark, df, name, mode="append"):
     sink, ckpt = shared_dir(spark, f"{name}-sink"), shared_dir(spark, f"{name}-ckpt")
     streams.run_to_completion(df, sink, ckpt, mode)
-    return spark.read.parquet(sink)
+    return spark.read.parquet(sink).filter(F.col("vehicle_number") != streams.CLOSING)
 
 
 @register("stream_dedup")
 def stream_dedup(spark, sf_dir):
     """K1+K2: file-stream of raw batches, first fetch per (vehicle, time) by
-    event-time aggregation with a 10-minute watermark (keys the final
-    watermark has not passed stay in state)."""
+    event-time aggregation with a 10-minute watermark: equals the batch model."""
     s = streams.position_stream(spark, _land_raw(spark, sf_dir), STREAM_FILES_PER_TRIGGER)
     return _drain(spark, streams.dedup_stream(s, "10 minutes"), "stream-dedup")
 
 
+@register("stream_dedup_mixed")
+def stream_dedup_mixed(spark, sf_dir):
+    """K2+K3: as ``stream_dedup`` with a third of the pings arriving five minutes late, within the watermark's delay
+    (a micro-batch spans days, so lateness beyond it is tested on hand-made batches)."""
+    s = streams.position_stream(spark, _land_raw(spark, sf_dir, True), STREAM_FILES_PER_TRIGGER)
+    return _drain(spark, streams.dedup_stream(s, "10 minutes"), "stream-dedup-mixed")
+
+
 @register("stream_frames")
 def stream_frames(spark, sf_dir):
     """K4: 15-minute frames over the cleaned-position stream, all days."""
-    src = _land(spark, models(spark, sf_dir)["positions"], "stream-positions", "vehicle_time")
-    s = spark.readStream.schema(spark.read.parquet(src).schema) \
-        .option("maxFilesPerTrigger", STREAM_FILES_PER_TRIGGER).parquet(src)
+    s = _stream(spark, models(spark, sf_dir)["positions"], "stream-positions", "vehicle_time")
     return _drain(spark, streams.frames_stream(s, 15, "10 minutes"), "stream-frames")
 
 
@@ -657,18 +672,14 @@ def stream_frames(spark, sf_dir):
 def stream_visits(spark, sf_dir):
     """K5: visits as 10-minute session windows over the matched-ping stream."""
     mt = models(spark, sf_dir)["matches"].select("line", "stop_id", "stop_name", "vehicle_number", "actual_time")
-    src = _land(spark, mt, "stream-matches", "actual_time")
-    s = spark.readStream.schema(spark.read.parquet(src).schema) \
-        .option("maxFilesPerTrigger", STREAM_FILES_PER_TRIGGER).parquet(src)
-    return _drain(spark, streams.visits_stream(s, 600, "30 minutes"), "stream-visits")
+    return _drain(spark, streams.visits_stream(_stream(spark, mt, "stream-matches", "actual_time"), 600, "30 minutes"),
+                  "stream-visits")
 
 
 @register("stream_moves")
 def stream_moves(spark, sf_dir):
-    """K6: vehicle moves with the previous ping per vehicle kept in state."""
-    src = _land(spark, models(spark, sf_dir)["positions"], "stream-positions", "vehicle_time")
-    s = spark.readStream.schema(spark.read.parquet(src).schema) \
-        .option("maxFilesPerTrigger", STREAM_FILES_PER_TRIGGER).parquet(src)
+    """K6: vehicle moves with the previous ping per vehicle and hour kept in expiring state."""
+    s = _stream(spark, models(spark, sf_dir)["positions"], "stream-positions", "vehicle_time")
     return _drain(spark, streams.moves_stream(s), "stream-moves")
 
 
@@ -682,7 +693,7 @@ def stream_upsert(spark, sf_dir):
     q = (s.writeStream.foreachBatch(streams.upsert_sink(target)).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(target).select(*[c for c in ["fetch_time", "vehicle_time", "vehicle_number", "line",
+    return spark.read.parquet(target).filter(F.col("vehicle_number") != streams.CLOSING).select(*[c for c in ["fetch_time", "vehicle_time", "vehicle_number", "line",
                                                             "brigade", "vehicle_type", "lat", "lon"]])
 
 

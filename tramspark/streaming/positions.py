@@ -11,10 +11,14 @@
 * K4 ``frames_stream``: tumbling frames, earliest ping per vehicle and frame.
 * K5 ``visits_stream``: visits as session windows over a stream of matched
   pings (a gap of exactly ``gap`` merges, like the batch rule's strict '>').
-* K6 ``moves_stream``: previous ping per vehicle kept in state
-  (``applyInPandasWithState``): rows are sorted inside the batch, rows not
-  newer than the stored ping are dropped.  Plain window functions are not
-  allowed on streams.
+* K6 ``moves_stream``: previous ping kept in state (``applyInPandasWithState``)
+  per vehicle and time bucket, with the batch look-back's halo: a ping within
+  the gap limit of its bucket's end is repeated into the next bucket, where it
+  only serves as predecessor.  A group's rows and state are bounded by one
+  bucket of one vehicle, and state expires when the watermark has passed the
+  bucket.  Rows not newer than the stored ping are flagged, and
+  ``run_to_completion`` reports watermark drops.  Plain window functions are
+  not allowed on streams.
 * K7 ``upsert_sink``: ``foreachBatch`` that cleans each micro-batch and merges
   it into a date-partitioned Parquet table (first fetch wins).
 
@@ -84,45 +88,52 @@ def visits_stream(matched: DataFrame, gap_s: int = 600, delay: str = "30 minutes
 
 
 _MOVE_OUT = ("vehicle_number string, line string, brigade string, vehicle_type int, prev_time timestamp_ntz, "
-             "vehicle_time timestamp_ntz, lat double, lon double, prev_lat double, prev_lon double")
-_MOVE_STATE = "last_time timestamp_ntz, last_lat double, last_lon double, dropped long"
-
-
-def _previous_ping(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Attach each ping's predecessor, carrying the vehicle's last ping in state."""
-    pdf = pd.concat(list(pdfs), ignore_index=True)
-    last_t, last_lat, last_lon, dropped = (None, None, None, 0)
-    if state.exists:
-        last_t, last_lat, last_lon, dropped = state.get
-    pdf = pdf.sort_values("vehicle_time", kind="stable").reset_index(drop=True)
-    if last_t is not None:
-        keep = pdf["vehicle_time"] > pd.Timestamp(last_t)
-        dropped += int((~keep).sum())
-        pdf = pdf[keep].reset_index(drop=True)
-    if pdf.empty:
-        if last_t is not None:
-            state.update((last_t, last_lat, last_lon, dropped))
-        return
-    out = pdf.copy()
-    out["prev_time"] = out["vehicle_time"].shift(1)
-    out["prev_lat"] = out["lat"].shift(1)
-    out["prev_lon"] = out["lon"].shift(1)
-    if last_t is not None:
-        out.loc[0, ["prev_time", "prev_lat", "prev_lon"]] = [pd.Timestamp(last_t), last_lat, last_lon]
-    tail = pdf.iloc[-1]
-    state.update((tail["vehicle_time"].to_pydatetime(), float(tail["lat"]), float(tail["lon"]), dropped))
-    yield out[["vehicle_number", "line", "brigade", "vehicle_type", "prev_time", "vehicle_time", "lat", "lon",
-               "prev_lat", "prev_lon"]]
-
-
-def moves_stream(positions: DataFrame, min_gap_s: int = 1, max_gap_s: int = 600,
-                 max_speed_kmh: float = 100.0) -> DataFrame:
+             "vehicle_time timestamp_ntz, lat double, lon double, prev_lat double, prev_lon double, stale boolean")
+_MOVE_STATE = "last_time timestamp_ntz, last_lat double, last_lon double"
+
+
+def _previous_ping(expires_after_s: int):
+    """Attach each ping's predecessor, carrying the bucket's last ping in state; ``stale`` marks rows that came too late."""
+    def run(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        last = state.get if state.exists else None
+        # the rows of one bucket of one vehicle in one micro-batch
+        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values("vehicle_time", kind="stable").reset_index(drop=True)
+        pdf["stale"] = (pdf["vehicle_time"] <= pd.Timestamp(last[0])) if last else False
+        late, pdf = pdf[pdf["stale"]].copy(), pdf[~pdf["stale"]].reset_index(drop=True)
+        for c, src in (("prev_time", "vehicle_time"), ("prev_lat", "lat"), ("prev_lon", "lon")):
+            pdf[c] = pdf[src].shift(1)
+            late[c] = pd.NaT if c == "prev_time" else None
+        if len(pdf):
+            if last:
+                pdf.loc[0, ["prev_time", "prev_lat", "prev_lon"]] = [pd.Timestamp(last[0]), last[1], last[2]]
+            tail = pdf.iloc[-1]
+            last = (tail["vehicle_time"].to_pydatetime(), float(tail["lat"]), float(tail["lon"]))
+        if last:
+            state.update(tuple(last))
+            state.setTimeoutTimestamp(max(int(key[1] + 1) * 1000 * expires_after_s, state.getCurrentWatermarkMs() + 1))
+        out = [x[~x["halo"]] for x in (pdf, late) if len(x)]
+        for x in out:
+            yield x[["vehicle_number", "line", "brigade", "vehicle_type", "prev_time", "vehicle_time", "lat", "lon",
+                     "prev_lat", "prev_lon", "stale"]]
+    return run
+
+
+def moves_stream(positions: DataFrame, min_gap_s: int = 1, max_gap_s: int = 600, max_speed_kmh: float = 100.0,
+                 bucket_s: int = 3600, delay: str = "30 minutes") -> DataFrame:
     """K6: vehicle moves on a stream (same filters and rounding as the batch)."""
     from tramspark.functions.scalar import duck_round, seconds_between
+    seconds = F.unix_timestamp("vehicle_time")
+    own = F.floor(seconds / F.lit(bucket_s))
     p = positions.select("vehicle_number", "line", "brigade", F.col("vehicle_type").cast("int").alias("vehicle_type"),
-                         "vehicle_time", "lat", "lon")
-    lagged = p.groupBy("vehicle_number").applyInPandasWithState(
-        _previous_ping, _MOVE_OUT, _MOVE_STATE, "append", GroupStateTimeout.NoTimeout)
+                         "vehicle_time", "lat", "lon", F.col("vehicle_time").cast(LTZ).alias("__t"))
+    p = (p.withWatermark("__t", delay).withColumn("own", own)
+         .withColumn("bucket", F.explode(F.sequence(own, F.floor((seconds + F.lit(max_gap_s)) / F.lit(bucket_s)))))
+         .withColumn("halo", F.col("bucket") > F.col("own")).drop("own"))
+    lagged = p.groupBy("vehicle_number", "bucket").applyInPandasWithState(
+        _previous_ping(bucket_s), _MOVE_OUT, _MOVE_STATE, "append", GroupStateTimeout.EventTimeTimeout)
     m = lagged.filter(F.col("prev_time").isNotNull()).select(
         "vehicle_number", "line", "brigade", "vehicle_type", "prev_time", "vehicle_time", "lat", "lon",
         seconds_between("prev_time", "vehicle_time").alias("seconds_diff"),
@@ -167,17 +178,37 @@ def progress_totals(q) -> dict:
     return {"batches": batches, "input_rows": rows, "dropped_late_rows": dropped}
 
 
-def land_in_order(df: DataFrame, path: str, files: int, order_col: str) -> None:
-    """Write ``df`` as ``files`` Parquet files covering consecutive ranges of
-    ``order_col`` and stamp their modification times in that order, so a
-    file-stream source reads them in arrival order (fixture helper)."""
-    df.repartitionByRange(files, order_col).sortWithinPartitions(order_col).write.parquet(path)
+CLOSING = "(closing)"
+
+
+def land_in_order(df: DataFrame, path: str, order_col: str, rows_per_file: int = 50_000, min_files: int = 12,
+                  close: dict | None = None) -> None:
+    """Write ``df`` as Parquet files covering consecutive ranges of ``order_col`` and stamp their modification times
+    in that order, so a file-stream source reads them in arrival order (fixture helper).
+
+    The number of files follows the rows.  ``close`` adds a last file with one
+    row: these values, the name ``CLOSING`` as vehicle and a time a day after
+    the last row; it moves the watermark past everything else, so that no
+    earlier row stays open, and is itself never emitted.
+    """
     spark = df.sparkSession
+    total = df.agg(F.count(F.lit(1)).alias("n"), F.max(order_col).alias("last")).first()
+    files = max(min_files, -(-total["n"] // rows_per_file))
+    df.repartitionByRange(files, order_col).sortWithinPartitions(order_col).write.parquet(path)
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    statuses = [s for s in fs.listStatus(p) if s.getPath().getName().endswith(".parquet")]
-    statuses.sort(key=lambda s: s.getPath().getName())
+
+    def landed() -> list[str]:
+        return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.getPath().getName().endswith(".parquet"))
+
+    order = landed()
+    if close is not None and total["last"] is not None:
+        last = F.lit(total["last"]).cast(NTZ) + F.make_dt_interval(F.lit(1))
+        values = {"vehicle_number": F.lit(CLOSING), order_col: last, **{k: F.lit(v) for k, v in close.items()}}
+        row = spark.range(1).select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in df.schema.fields])
+        row.write.mode("append").parquet(path)
+        order += [n for n in landed() if n not in set(order)]
     base = 1_000_000_000_000
-    for i, s in enumerate(statuses):
-        fs.setTimes(s.getPath(), base + i * 1000, -1)
+    for i, name in enumerate(order):
+        fs.setTimes(jvm.org.apache.hadoop.fs.Path(p, name), base + i * 1000, -1)
