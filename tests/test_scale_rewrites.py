@@ -64,6 +64,39 @@ def test_bucketed_match_equals_naive(spark):
     assert a == b and len(a) > 0
 
 
+def test_band_join_splits_a_hot_key(spark):
+    """Nine tenths of all pings on one (line, brigade, date, bucket): the join's skewed partition is split, same rows."""
+    from tramspark.operators import matching
+    t0 = dt.datetime(2024, 1, 10, 10)
+    n = 40_000
+    pings = spark.range(n).select(
+        F.concat(F.lit("v"), F.col("id")).alias("vehicle_number"), F.when(F.col("id") % 10 == 0, "2").otherwise("1").alias("line"),
+        F.when(F.col("id") % 10 == 0, (F.col("id") % 97).cast("string")).otherwise("1").alias("brigade"),
+        F.lit(t0).cast("timestamp_ntz").alias("vehicle_time"), F.lit(52.2).alias("lat"), F.lit(21.0).alias("lon"),
+        F.lit(t0.date()).alias("service_date"), F.sha2(F.col("id").cast("string"), 512).alias("pad"))
+    sched = spark.range(98).select(
+        F.concat(F.lit("t"), F.col("id")).alias("trip_id"), F.when(F.col("id") == 0, "1").otherwise("2").alias("line"),
+        F.when(F.col("id") == 0, "1").otherwise((F.col("id") - 1).cast("string")).alias("brigade"), F.lit(t0.date()).alias("service_date"),
+        F.lit("s").alias("stop_id"), F.lit("Stop").alias("stop_name"), F.lit(52.2).alias("stop_lat"), F.lit(21.0).alias("stop_lon"),
+        F.lit(t0).cast("timestamp_ntz").alias("scheduled_arrival"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        # several map tasks write the hot partition, so that it can be split
+        best = matching.best_match(matching.stop_match_candidates(pings.repartition(16), sched))
+        rows = best.collect()
+        plan = best._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "skew=true" in plan
+    assert len(rows) == n and {r["trip_id"] for r in rows if r["line"] == "1"} == {"t0"}
+
+
 def test_incremental_slices_equal_full(spark):
     m = models(spark, SF)
     full = m["positions"]

@@ -13,7 +13,8 @@ implies the buckets differ by at most one, so the schedule side is repeated
 into its bucket and both neighbours and the join becomes an equi-join on
 (line, brigade, date, bucket).  The exact filters still apply, so the result
 is identical; the candidate fan-out drops from a day of trips to about three
-buckets of trips.  The winner is a ``min(struct)`` aggregate (sort-based) per
+buckets of trips.  A hot (line, brigade, date, bucket) is split by the adaptive
+skew join.  The winner is a ``min(struct)`` aggregate (sort-based) per
 (vehicle, time) with a map-side partial step instead of a ranking window.
 """
 
@@ -88,18 +89,17 @@ def stop_match_candidates(positions: DataFrame, sched: DataFrame, radius_m: floa
                        & (F.col("abs_time_gap") <= F.lit(int(window_s))))
 
 
-def best_match(cand: DataFrame, within_join_keys: bool = False) -> DataFrame:
+def best_match(cand: DataFrame) -> DataFrame:
     """One candidate per (vehicle_number, vehicle_time): min (gap, metres, trip, stop).
 
-    With ``within_join_keys`` the grouping also carries the join keys (line,
-    brigade, service date, time bucket).  A ping has one value of each, so
-    the groups are the same, but a sort-merge join's output is already
-    partitioned on those keys and the winner needs no second shuffle.
+    The winner is grouped apart from the join keys on purpose: an aggregate
+    that relied on the join's partitioning would forbid the adaptive split of
+    a skewed join partition.  Only candidates that passed both gates are
+    shuffled, one per ping and task after the partial aggregate.
     """
     best = F.min(F.struct("abs_time_gap", "meters_to_stop", "trip_id", "stop_id",
                           "line", "brigade", "stop_name", "scheduled_arrival")).alias("b")
-    extra = [c for c in ("line", "brigade", "service_date", "__tb") if within_join_keys and c in cand.columns]
-    g = cand.groupBy(*extra, "vehicle_number", "vehicle_time").agg(best)
+    g = cand.groupBy("vehicle_number", "vehicle_time").agg(best)
     return g.select(
         F.col("b.trip_id").alias("trip_id"), "vehicle_number",
         F.col("b.line").alias("line"), F.col("b.brigade").alias("brigade"),
@@ -122,9 +122,7 @@ def stop_matches(positions: DataFrame, stop_times: DataFrame, trips: DataFrame,
     pos = retained_positions(positions, as_of, retention_days, previous_service_day_until)
     sched = schedule_points(stop_times, trips, routes, stops)
     cand = stop_match_candidates(pos, sched, radius_m, window_s, bucketed)
-    # a ping belongs to one (line, brigade, date, bucket) unless it is also
-    # offered to the previous service day
-    b = best_match(cand, within_join_keys=previous_service_day_until is None)
+    b = best_match(cand)
     delay = seconds_between("scheduled_arrival", "actual_time")
     return b.select(
         "trip_id", "vehicle_number", "line", "brigade", "stop_id", "stop_name", "actual_time",

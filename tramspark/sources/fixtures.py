@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tramspark.functions.scalar import to_second
 
-# Fixed values of the adapter layout (FIXTURES.md section 4).
+# The adapter layout.
 PINGS = 3               # pings of a run
 PING_STEP_S = 360       # seconds between them
 USERS_PER_LINE = 10     # vehicle = user, line = user // 10, brigade = user % 10
