@@ -39,15 +39,14 @@ def snapshot(current: DataFrame, previous: DataFrame | None, key: str, check_col
     has_old = F.col(key).isNotNull()
     has_new = F.col(f"__n_{key}").isNotNull()
     changed = has_old & has_new & ~same
-    # old versions: close the changed ones, keep the rest (incl. vanished keys)
-    old = j.filter(has_old).select(
-        *cols, F.col(VALID_FROM),
-        F.when(changed, _ts(ts)).otherwise(F.col(VALID_TO)).alias(VALID_TO))
-    # new versions: new keys and changed keys
-    new = j.filter(has_new & (~has_old | changed)).select(
-        *[F.col(f"__n_{c}").alias(c) for c in cols],
-        _ts(ts).alias(VALID_FROM), F.lit(None).cast("timestamp_ntz").alias(VALID_TO))
-    return closed.unionByName(old).unionByName(new)
+    # one pass over the join: each row gives its old version (closed if it
+    # changed; vanished keys stay) and, if new or changed, its new version
+    old = F.struct(*[F.col(c).alias(c) for c in cols], F.col(VALID_FROM).alias(VALID_FROM),
+                   F.when(changed, _ts(ts)).otherwise(F.col(VALID_TO)).alias(VALID_TO))
+    new = F.struct(*[F.col(f"__n_{c}").alias(c) for c in cols], _ts(ts).alias(VALID_FROM),
+                   F.lit(None).cast("timestamp_ntz").alias(VALID_TO))
+    versions = F.array_compact(F.array(F.when(has_old, old), F.when(has_new & (~has_old | changed), new)))
+    return closed.unionByName(j.select(F.explode(versions).alias("v")).select("v.*"))
 
 
 def asof_lookup(facts: DataFrame, history: DataFrame, key: str, fact_ts: str,

@@ -117,6 +117,26 @@ def scan_parquet(spark, sf_dir):
     return files.read_positions_parquet(spark, path).select(*POSITION_COLUMNS)
 
 
+@register("scan_two_feeds")
+def scan_two_feeds(spark, sf_dir):
+    """Two collectors' batches in folders of their own, read by one glob."""
+    path, feed = shared_dir(spark, "feeds"), fixtures.raw_feed_typed(spark, sf_dir)
+    early = F.hour("fetch_time") < 12
+    files.write_positions_batch(feed.filter(early), f"{path}/collector_a", None)
+    files.write_positions_batch(feed.filter(~early), f"{path}/collector_b", None)
+    return files.read_positions_parquet(spark, f"{path}/collector_*").select(*POSITION_COLUMNS)
+
+
+@register("landing_gate")
+def landing_gate(spark, sf_dir):
+    """Landing statistics of a written drop: its rows, and whether files and bytes arrived."""
+    path = shared_dir(spark, "landing")
+    files.write_positions_batch(fixtures.raw_feed_typed(spark, sf_dir), path, None)
+    return files.landing_stats(files.read_positions_parquet(spark, path)).select(
+        "rows", (F.col("files") > 0).alias("has_files"), (F.col("total_bytes") >= 1000).alias("has_bytes"),
+        F.col("newest_modified").isNotNull().alias("has_time"))
+
+
 @register("scan_gtfs")
 def scan_gtfs(spark, sf_dir):
     """stops.txt written with a header and read back as all-text columns by name."""
@@ -323,9 +343,22 @@ def coverage_range(spark, sf_dir):
     return reports.coverage_range(models(spark, sf_dir)["positions"], FIXTURE_PARAMS.as_of, 7)
 
 
+@register("punctuality_window")
+def punctuality_window(spark, sf_dir):
+    return reports.punctuality_window(models(spark, sf_dir)["punctuality_by_hour"], 50, 6, 22)
+
+
+@register("segment_details")
+def segment_details(spark, sf_dir):
+    return reports.segment_details(models(spark, sf_dir)["slowest_segments"], 10, 20)
+
+
 @register("fetch_histogram")
 def fetch_histogram(spark, sf_dir):
-    return reports.fetch_histogram(fixtures.raw_feed_text(spark, sf_dir), 10)
+    """Polls per fetch time from the raw CSV file itself, the ten newest."""
+    path = shared_dir(spark, "positions-csv")
+    fixtures.raw_feed_text(spark, sf_dir).write.option("header", True).csv(path)
+    return reports.fetch_histogram(files.read_positions_csv(spark, path), 10)
 
 
 @register("load_watermark")
