@@ -78,10 +78,9 @@ def budgets(leaves: DataFrame, max_epochs: int, budget_share: float, weights: Ma
         keys = list(LEVELS[:depth])
         level = nodes.groupBy(*keys).agg(F.sum("tokens").alias("tokens"), F.sum("cap").alias("cap"))
         level = _weighted(level, keys, weights)
-        # the root's one-row budget joins every node of the first level
         parent = keys[:-1]
-        level = level.withColumn("__one", F.lit(1)).join(F.broadcast(top.withColumn("__one", F.lit(1))), "__one").drop("__one") \
-            if got is None else level.join(got, parent)
+        # the root's budget is one number
+        level = level.withColumn("b0", top.scalar()) if got is None else level.join(got, parent)
         got = share_out(level, parent, f"b{depth - 1}", [keys[-1]], f"b{depth}").select(*keys, f"b{depth}")
     return (leaves.join(got, list(LEVELS)).withColumn("budget", F.floor(f"b{len(LEVELS)}").cast("long")).drop(f"b{len(LEVELS)}"))
 
