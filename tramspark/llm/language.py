@@ -53,7 +53,7 @@ def _spread(h: np.ndarray, kind: int) -> np.ndarray:
     """Row of the weights for a feature hash of a kind."""
     x = (h + np.uint64(kind)) * MIX
     x ^= x >> np.uint64(31)
-    return ((x * MULT) >> np.uint64(64 - BITS)).astype(np.int64)
+    return ((x * MULT) >> np.uint64(64 - BITS)).astype(np.int32)
 
 
 def _fold(chars: np.ndarray) -> np.ndarray:
@@ -157,8 +157,8 @@ def train(texts: list[str], langs: list[str], seed: int = 7, steps: int = STEPS)
             at += k
     # spans of different texts follow one another; a third stay next to their own text's next one
     order = np.argsort(np.arange(len(spans)) + (rng.random(len(spans)) < 2 / 3) * rng.integers(0, max(1, len(spans)), len(spans)))
-    tokens = np.array([w for i in order for w in spans[i][1]], np.int64)
-    gold = np.array([spans[i][0] for i in order for _ in spans[i][1]], np.int64)
+    tokens = np.concatenate([np.array(spans[i][1], np.int32) for i in order] or [np.zeros(0, np.int32)])
+    gold = np.repeat(np.array([spans[i][0] for i in order], np.int32), [len(spans[i][1]) for i in order])
     n_seq = max(1, len(tokens) // LENGTH)
     lens = np.full(n_seq, LENGTH) if len(tokens) >= LENGTH else np.array([len(tokens)])
     tokens, gold = tokens[:lens.sum()], gold[:lens.sum()]
@@ -168,31 +168,36 @@ def train(texts: list[str], langs: list[str], seed: int = 7, steps: int = STEPS)
     for part, rows, whole in features(words):
         with np.errstate(over="ignore"):
             rows = np.concatenate([rows, _spread(whole, 30)[:, None]], axis=1)
-        word_of.append(np.repeat(part, rows.shape[1]))
+        word_of.append(np.repeat(part.astype(np.int32), rows.shape[1]))
         rows_of.append(rows.ravel())
         lexicon.append(whole)
     word_of, rows_of = np.concatenate(word_of), np.concatenate(rows_of)
-    used, slot = np.unique(rows_of, return_inverse=True)
+    # plain lookup instead of a sort: the rows are few
+    used = np.flatnonzero(np.bincount(rows_of, minlength=1 << BITS))
+    slot_of = np.zeros(1 << BITS, np.int32)
+    slot_of[used] = np.arange(len(used))
+    slot = slot_of[rows_of]
+    del rows_of
     w, start, moves = np.zeros((len(used), n_labels)), np.zeros(n_labels), np.zeros((n_labels, n_labels))
     params = [w, start, moves]
     mean, square = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     inner = np.ones(len(tokens), bool)
     inner[first] = False
     before = np.flatnonzero(inner) - 1
-    truth = np.zeros((len(tokens), n_labels))
-    truth[np.arange(len(tokens)), gold] = 1
+    every = np.arange(len(tokens))
     seen_moves = np.zeros((n_labels, n_labels))
     np.add.at(seen_moves, (gold[before], gold[before + 1]), 1)
     for step in range(1, steps + 1):
         score = np.stack([np.bincount(word_of, w[slot, k], len(words)) for k in range(n_labels)], axis=1)
-        local = np.exp(score - score.max(axis=1, keepdims=True))[tokens]
-        s, m = np.exp(start - start.max()), np.exp(moves - moves.max())
+        local = np.exp(score - score.max(axis=1, keepdims=True)).astype(np.float32)[tokens]
+        s, m = (np.exp(x - x.max()).astype(np.float32) for x in (start, moves))
         _, (p, alpha, after) = forward_backward(s, m, local, first, lens, True)
-        miss = p - truth
+        miss = p.copy()
+        miss[every, gold] -= 1
         by_word = np.stack([np.bincount(tokens, miss[:, k], len(words)) for k in range(n_labels)], axis=1)
         # expected moves: forward value x move x what follows, normalised over each pair of neighbours
         a, b = alpha[before], after[before + 1]
-        moved = (a / np.einsum("ni,ij,nj->n", a, m, b, optimize=True)[:, None]).T @ b * m
+        moved = (a / ((a @ m) * b).sum(axis=1, keepdims=True)).T.astype(np.float64) @ b * m
         grads = [np.stack([np.bincount(slot, by_word[word_of, k], len(used)) for k in range(n_labels)], axis=1) / n_seq + 1e-4 * w,
                  miss[first].sum(axis=0) / n_seq + 1e-4 * start,
                  (moved - seen_moves) / n_seq + 1e-4 * moves]
