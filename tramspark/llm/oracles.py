@@ -24,7 +24,7 @@ WITH steps AS (
   SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS body FROM documents
 ), c AS (
   SELECT r, xor(4294967295, list_reduce(
-           list_transform(range(1, strlen(body) + 1), lambda i: ('0x' || substr(hex(encode(body)), 2 * i - 1, 2))::BIGINT),
+           list_transform(regexp_extract_all(hex(encode(body)), '..'), lambda x: ('0x' || x)::BIGINT),
            lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]), 4294967295::BIGINT)) AS crc
   FROM d, steps
 ), s AS (
