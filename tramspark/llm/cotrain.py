@@ -156,6 +156,7 @@ def _confident(views: tuple[View, View], max_pseudo: int, confident: float):
     """A task's confident rows of either view: the first by place of each view and class, for the other view to learn."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[tuple[int, int], list] = {(v, c): [] for v in (0, 1) for c in (0, 1)}
+        seen = dict.fromkeys(best, 0)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -165,13 +166,15 @@ def _confident(views: tuple[View, View], max_pseudo: int, confident: float):
                 p = 1 / (1 + np.exp(-view.odds(x)))
                 for c, sure in ((1, p >= confident), (0, p <= 1 - confident)):
                     at = np.flatnonzero(sure)
+                    seen[v, c] += len(at)
                     held = best[v, c] + [(int(place[i]), raw[i]) for i in at]
                     best[v, c] = sorted(held)[:max_pseudo]
-        rows = [(v, c, place, x) for (v, c), held in best.items() for place, x in held]
-        if rows:
-            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
-                                             names=["view", "label", "place", "x"])
+        # a row without features says how many confident rows the task has seen
+        rows = [(v, c, place, x, 0) for (v, c), held in best.items() for place, x in held]
+        rows += [(v, c, None, None, n) for (v, c), n in seen.items()]
+        kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
+                                         names=["view", "label", "place", "x", "n"])
     return run
 
 
@@ -193,17 +196,31 @@ def _labels(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
             .agg(F.avg(label_col).alias("y")))
 
 
+def _first(rows: DataFrame, n: int, k: int) -> list:
+    """About the first ``k`` of ``n`` rows by place.
+
+    Places are uniform hashes, so a limit on the place lets little more than
+    ``k`` rows through and the tasks send no more than these to the driver.
+    """
+    share = (1.5 * k + 100) / max(n, 1)
+    if share < 1:
+        rows = rows.filter(F.col("place") <= int(-2 ** 63 + 2 ** 64 * share))
+    return rows.orderBy("place", "x").limit(k).collect()
+
+
 def _labelled(rows: DataFrame, max_rows: int, aside: bool) -> tuple | None:
     """A bounded choice, by place, of labelled rows of each class: features and labels on the driver."""
     flag = F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(4)) == 3
-    known = rows.filter(F.col("y").isNotNull() & (flag if aside else ~flag)).select("x", "y", "place")
+    good = (F.col("y") >= 0.5).alias("good")
+    known = rows.filter(F.col("y").isNotNull() & (flag if aside else ~flag)).select("x", "place", good)
+    counts = {r["good"]: r["n"] for r in known.groupBy("good").agg(F.count("*").alias("n")).collect()}
+    if len(counts) < 2:
+        return None
     xs, ys = [], []
-    for good in (True, False):
-        part = known.filter(F.col("y") >= 0.5 if good else F.col("y") < 0.5).orderBy("place", "x").limit(max_rows // 2).collect()
-        if not part:
-            return None
+    for c in (True, False):
+        part = _first(known.filter(F.col("good") == c), counts[c], max_rows // 2)
         xs += [r["x"] for r in part]
-        ys += [float(good)] * len(part)
+        ys += [float(c)] * len(part)
     return matrix(xs), np.array(ys)
 
 
@@ -218,11 +235,13 @@ def train(rows: DataFrame, rounds: int = ROUNDS, max_labelled: int = MAX_LABELLE
     views = tuple(View().fit(x, y, np.ones(len(y))).calibrate(a, ay) for x, a in zip(xs, ax, strict=True))
     for _ in range(rounds):
         found = common.stored(unlabelled.select("x", "place").mapInArrow(
-            _confident(views, max_pseudo, confident), "view int, label int, place long, x binary"), "pseudo-labels")
+            _confident(views, max_pseudo, confident), "view int, label int, place long, x binary, n long"), "pseudo-labels")
+        told = {(r["view"], r["label"]): r["n"] for r in found.groupBy("view", "label").agg(F.sum("n").alias("n")).collect()}
         taught = []
         for v in (0, 1):
-            extra = [(r["x"], float(c)) for c in (0, 1) for r in found.filter((F.col("view") == 1 - v) & (F.col("label") == c))
-                     .orderBy("place", "x").limit(max_pseudo).select("x").collect()]
+            extra = [(r["x"], float(c)) for c in (0, 1) for r in _first(
+                found.filter((F.col("view") == 1 - v) & (F.col("label") == c) & F.col("x").isNotNull()).select("x", "place"),
+                told.get((1 - v, c), 0), max_pseudo)]
             if not extra:
                 taught.append(views[v])
                 continue
