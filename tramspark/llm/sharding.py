@@ -30,12 +30,6 @@ def score(key: Column, shard: int, weight: float) -> Column:
     return F.lit(-float(weight)) / F.log((bits + 0.5) / F.lit(float(2 ** 52)))
 
 
-def _winner(scores: Sequence[Column]) -> Column:
-    best = F.greatest(*scores) if len(scores) > 1 else scores[0]
-    # the lowest shard wins a tie
-    return F.coalesce(*[F.when(s == best, F.lit(i)) for i, s in enumerate(scores)])
-
-
 def assign(df: DataFrame, key: str, weights: Sequence[float], out: str = "shard", grown: str | None = None,
            grown_weight: float = 1.0) -> DataFrame:
     """``df`` with its shard (0-based) and, if ``grown`` names a column, the shard with one more shard."""
