@@ -112,6 +112,33 @@ def test_judge_equals_brute_force(spark):
     assert sum(not r["kept"] and not r["base_failed"] for r in got if r["id"] < 240 and r["id"] % 10) == 0
 
 
+def test_each_statistic_alone_can_reject(spark):
+    rng = np.random.default_rng(11)
+    vocabulary = ["".join(chr(97 + k) for k in rng.integers(0, 26, int(rng.integers(2, 9)))) for _ in range(3000)]
+
+    def words(n):
+        return [vocabulary[k] for k in rng.integers(0, 3000, n)]
+
+    rows = [(i, " ".join(words(int(rng.integers(100, 300)))), "en", "a") for i in range(150)]
+    twice, lines = words(45), []
+    for _ in range(9):      # one line of one word nine times, so that no window of three words comes twice
+        lines += ["alone", " ".join(words(20))]
+    planted = {
+        "words": " ".join(words(20_000)),
+        "word length": " ".join(a + b + c for a, b, c in zip(words(200), words(200), words(200), strict=True)),
+        "symbols": " ".join("$" + w[1:] if k % 5 == 0 else w for k, w in enumerate(words(200))),
+        "lines": "\n".join(lines),
+        "repeated words": " ".join(words(50) + twice + words(60) + twice)}
+    line = " ".join(words(12))
+    rows += [(1000 + k, t, "en", "a") for k, t in enumerate(planted.values())]
+    rows += [(2000, "\n".join([" ".join(words(150)), line, " ".join(words(150)), line]), "en", "a")]
+    assert base(planted["repeated words"])[4:] == (90, False) and base(planted["lines"])[3:] == (8, 0, False)
+    got = {r["id"]: r for r in outliers.judge(documents(spark, rows)).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert {k: got[1000 + i]["kept"] for i, k in enumerate(planted)} == dict.fromkeys(planted, False)
+    assert got[2000]["kept"] and all(got[i]["kept"] for i in range(150))
+
+
 def test_empty_and_repeated(spark):
     assert outliers.judge(documents(spark, [])).count() == 0
     rows = [(1, TEXTS[-1], "en", "a")] * 3 + [(None, TEXTS[-1], "en", "a")]

@@ -39,8 +39,10 @@ STEPS = 5                           # concentration steps
 WEIGHT_QUANTILE = 0.975
 REJECT_QUANTILE = 1 - 1e-7
 MIN_ROWS = 50
-# Least standard deviations (thousandths): log words, log word length, log symbols, log repeated lines, log repeated words
-FLOORS = (300.0, 60.0, 300.0, 400.0, 900.0)
+# Least standard deviations (thousandths): log words, log word length, log symbols, log repeated lines, log repeated words.
+# Each is below what its statistic can deviate by over the root of the rejection limit (6.4), so each alone can reject: log
+# repeated words of a row that passes the base rules is at most log 51, 3930 thousandths.
+FLOORS = (200.0, 40.0, 200.0, 300.0, 450.0)
 P = len(FLOORS)
 CLASSES = 20                        # classes of distance per unit of its logarithm
 
