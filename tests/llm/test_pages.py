@@ -44,6 +44,31 @@ def test_page_without_article_markup():
     assert got == "\n".join(["Head", *[(PARA * k).strip() for k in (1, 2, 1, 3)]])
 
 
+MENU = "<div><ul>" + "".join(f'<li><a href="/{i}">Item {i}</a></li>' for i in range(12)) + "</ul></div>"
+
+
+@pytest.mark.parametrize("tag", ["blockquote", "section", "pre", "div"])
+def test_text_around_a_long_block_stays(tag):
+    got = html_text.main_text(f"<body>{MENU}<div><h1>Title</h1><p>{'a b c ' * 50}</p><{tag}>{'d e f ' * 233}</{tag}>"
+                              f"<p>{'g h i ' * 50}</p></div>{MENU}</body>")
+    assert got == "\n".join(["Title", ("a b c " * 50).strip(), ("d e f " * 233).strip(), ("g h i " * 50).strip()])
+
+
+@pytest.mark.parametrize("sizes", [(500, 480, 510, 490, 505, 25), (25, 500, 480, 510, 490, 505)])
+@pytest.mark.parametrize("page", ["<body>{}</body>", "<body>" + MENU + "<div>{}</div>" + MENU + "</body>"])
+def test_short_first_and_last_paragraphs_stay(sizes, page):
+    paragraphs = [("word " * n)[:n].strip() for n in sizes]
+    assert html_text.main_text(page.format("".join(f"<p>{p}</p>" for p in paragraphs))) == "\n".join(paragraphs)
+
+
+@pytest.mark.parametrize("page", ["<main>{}{}</main>", "<div>{}{}</div>"])
+def test_two_articles(page):
+    a, b = [PARA.strip()] * 13, [PARA.strip()] * 7
+    got = html_text.main_text("<body>" + MENU + page.format(
+        *["<article>" + "".join(f"<p>{p}</p>" for p in x) + "</article>" for x in (a, b)]) + MENU + "</body>")
+    assert got == "\n".join(a + b)
+
+
 @pytest.mark.parametrize("html,want", [
     (None, ""), ("", ""), ("plain words only", "plain words only"), ("<p>a<p>b", "a\nb"), ("<article><p>x &am", "x &am"),
     ("<script>x</script>", ""), ("<article><p><b>one<br>two<p>three", "one two\nthree"), ("<<<>>>", "<<<>>>"),

@@ -7,9 +7,12 @@ lines are smoothed by a Gaussian over neighbouring lines, and two-means
 clustering of the smoothed values gives the threshold of content.  Lines of
 elements that hold no article by their markup (menus, page headers, footers,
 sidebars, notices, adverts, forms, comments, scripts) count as ratio 0 and are
-never content.  The content lines choose the element that holds them, the
-innermost ``article`` or ``main`` if there is one; its lines are the text, so a
-short paragraph between long ones stays.
+never content.  If ``article`` and ``main`` elements hold most of the content
+lines, all lines shown in those that hold any are the text, so a short
+paragraph between long ones stays.  Else the text lies in the innermost
+container that holds all content lines: everything from the first to the last
+of them, and the lines beside them in the containers that hold them, so short
+first and last paragraphs stay too.
 
 Rules: null html is an empty page; a page without content gives the empty
 text; broken or cut markup is read as far as it goes; references are decoded;
@@ -30,7 +33,7 @@ from pyspark.sql import functions as F
 FEED = 1 << 16          # characters given to the parser at once
 SIGMA = 1.0             # of the Gaussian, in lines
 LINK_SHARE = 0.75       # a list line with at least this share of link text is a menu line
-HOLDS = 0.6             # share of the content that the chosen element must hold
+HOLDS = 0.6             # share of the content that article and main elements must hold to decide
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption
@@ -49,6 +52,8 @@ CHROME = re.compile(r"""(?:^|[\s_-])(?:ads?|advert\w*|advertisement|sponsor\w*|p
                     re.X | re.I)
 HEADER = re.compile(r"(?:^|[\s_-])header(?:$|[\s_-])", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar status".split())
+# elements that divide a page; others (quotations, lists, sections) are parts of a text
+CONTAINER = frozenset("article main body div td".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 SKIPPED, CHROMY, SHOWN = 2, 1, 0
 
@@ -186,17 +191,31 @@ def main_text(html: str | None) -> str:
     smoothed = smooth(np.log1p(ratio))
     cut = threshold(smoothed)
     content = [i for i in shown if smoothed[i] >= cut and ratio[i] > 0] or shown
-    holder = _holder(page, [(lines[i][3], len(lines[i][0])) for i in content])
-    inside = np.zeros(len(page.tags), bool)
-    inside[holder] = True
-    for e in range(holder + 1, len(page.tags)):     # a child comes after its parent
-        inside[e] = inside[page.parents[e]]
-    if page.tags[holder] in ("article", "main"):
-        out = [i for i in shown if inside[lines[i][3]]]
-    else:               # no markup tells where the article ends: from the first to the last content line
-        out = [i for i in shown if inside[lines[i][3]] and content[0] <= i <= content[-1]]
+    marked = _marked(page)
+    held = [i for i in content if marked[lines[i][3]]]
+    if sum(len(lines[i][0]) for i in held) >= HOLDS * sum(len(lines[i][0]) for i in content):
+        # article or main: all that is shown in those below the element that holds their content
+        tops = {marked[lines[i][3]] for i in held}
+        holder = _common(page, [lines[i][3] for i in held])
+        inner = holder
+        while inner and page.tags[inner] not in ("article", "main"):
+            inner = page.parents[inner]
+        inside = _below(page, inner or holder)
+        out = [i for i in shown if inside[lines[i][3]] and marked[lines[i][3]] in tops]
+    else:               # no markup tells where the article ends
+        container = _containers(page)
+        holder = container[_common(page, [lines[i][3] for i in content])]
+        inside, on_path = _below(page, holder), {holder}
+        for i in content:
+            e = lines[i][3]
+            while e not in on_path:
+                on_path.add(e)
+                e = page.parents[e]
+        # besides the lines from the first to the last content line, those of the containers that hold them
+        out = [i for i in shown if inside[lines[i][3]]
+               and (content[0] <= i <= content[-1] or container[lines[i][3]] in on_path)]
         lead = [i for i in shown if i < content[0] and inside[lines[i][3]] and page.tags[lines[i][3]] in HEADINGS]
-        out = lead[-1:] + out
+        out = sorted({*lead[-1:], *out})
     return "\n".join(lines[i][0] for i in out if not _menu(page, lines[i]))
 
 
@@ -221,20 +240,37 @@ def _menu(page: Lines, line: tuple[str, int, int, int]) -> bool:
     return False
 
 
-def _holder(page: Lines, content: list[tuple[int, int]]) -> int:
-    """The innermost article or main, else the innermost element, with most of the content."""
-    held = [0] * len(page.tags)
-    for e, n in content:
-        held[e] += n
+def _marked(page: Lines) -> list[int]:
+    """The outermost article or main around each element, 0 if there is none."""
+    out = [0] * len(page.tags)
+    for e in range(1, len(page.tags)):      # a child comes after its parent
+        out[e] = out[page.parents[e]] or (e if page.tags[e] in ("article", "main") else 0)
+    return out
+
+
+def _below(page: Lines, top: int) -> np.ndarray:
+    """Whether each element is ``top`` or inside it."""
+    inside = np.zeros(len(page.tags), bool)
+    inside[top] = True
+    for e in range(top + 1, len(page.tags)):
+        inside[e] = inside[page.parents[e]]
+    return inside
+
+
+def _common(page: Lines, elements: list[int]) -> int:
+    """The innermost element that holds all of ``elements``."""
+    held = np.bincount(elements, minlength=len(page.tags)).tolist()
     for e in range(len(held) - 1, 0, -1):
         held[page.parents[e]] += held[e]
-    full = [e for e in range(len(held)) if held[e] >= HOLDS * held[0]]
-    marked = [e for e in full if page.tags[e] in ("article", "main")]
-    if marked:
-        return marked[-1]
-    # not inside a single block: the element must have more than one line of the content, unless there is one only
-    all_of = [e for e in full if page.tags[e] in BLOCK and page.tags[e] not in SAME and page.tags[e] not in HEADINGS]
-    return all_of[-1] if all_of else 0
+    return max(e for e, n in enumerate(held) if n == len(elements))
+
+
+def _containers(page: Lines) -> list[int]:
+    """The innermost container around each element, or itself."""
+    out = [0] * len(page.tags)
+    for e in range(1, len(page.tags)):
+        out[e] = e if page.tags[e] in CONTAINER else out[page.parents[e]]
+    return out
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
