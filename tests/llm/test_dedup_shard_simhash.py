@@ -39,6 +39,32 @@ def check_exact(rows, found):
     assert sum(r["uid"] == r["keep_uid"] for r in found) == len(groups)
 
 
+SPLITS = ("spark.sql.files.minPartitionNum", "spark.sql.files.openCostInBytes")
+
+
+def test_row_ids_do_not_depend_on_the_splits(spark, tmp_path):
+    """Executors that come or go between two scans change the splits."""
+    texts = [f"text {i % 40}" for i in range(120)]
+    path = str(tmp_path / "dö cs%20+")
+    documents(spark, list(enumerate(texts))).repartition(6, "doc_id").write.parquet(path)
+    before = {k: spark.conf.get(k, None) for k in SPLITS}
+    try:
+        got = []
+        for n in (1, 12):
+            for k, v in zip(SPLITS, (str(n), "1"), strict=True):
+                spark.conf.set(k, v)
+            rows = common.numbered(spark.read.parquet(path), "row")
+            got.append({r["doc_id"]: r["row"] for r in rows.collect()})
+            if n == 1:
+                kept = exact_dedup.keep_one(spark.read.parquet(path))   # the last scan is with the other splits
+        kept = sorted((r["doc_id"], r["text"]) for r in kept.collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got[0] == got[1] and len(set(got[0].values())) == 120
+    assert kept == [(i, texts[i]) for i in range(80, 120)]
+
+
 def test_exact_duplicates_edges(spark):
     check_exact(ROWS, exact_dedup.exact_duplicates(documents(spark, ROWS)).collect())
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ from tramspark.session import shared_dir
 # A key that holds more than this share of all rows is split into salts; so
 # there are never more than 1 / HOT_SHARE such keys, whatever the data.
 HOT_SHARE = 1 / 1000
+EMPTY_AUTHORITY = r"^([A-Za-z0-9+.-]+):///"
+FILE_BITS = 40          # of a row id, for the place in a file
 
 
 def session_of(df: DataFrame) -> SparkSession:
@@ -34,14 +38,37 @@ def fresh(name: str, taken: Sequence[str]) -> str:
     return name
 
 
+def scanned(df: DataFrame, name: str = "rows") -> DataFrame:
+    """``df`` if its rows have a place in a Parquet file, else written once (then they have)."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias", "View"):
+        node = node.children().head()
+    if node.nodeName() == "LogicalRelation":
+        try:
+            df.select(df.metadataColumn("_metadata")["row_index"])
+            return df
+        except AnalysisException:       # not a Parquet table
+            pass
+    return stored(df, name)
+
+
 def numbered(df: DataFrame, name: str) -> DataFrame:
-    """``df`` with a row id.
+    """``df`` with a row id: number of the row's file (by sorted paths) and place in it.
 
-    The id depends on the input partition and position only, so two scans of
-    one written table give a row the same id.  ``df`` must therefore be a
-    table scan (as the stages' contract has it), not a shuffled result.
+    Two scans of one table give a row the same id however the files are split.
+    Who numbers a frame twice passes it through :func:`scanned` first, so that
+    both read the same files.
     """
-    return df.withColumn(name, F.monotonically_increasing_id())
+    df = scanned(df)
+    path, file, place = (fresh(c, [*df.columns, name]) for c in ("__path", "__file", "__place"))
+    # of a local path, Spark's two lists write the empty authority differently
+    paths = sorted(re.sub(EMPTY_AUTHORITY, r"\1:/", x) for x in df.inputFiles())
+    files = session_of(df).createDataFrame(list(enumerate(paths)), f"{file} long, {path} string")
+    meta = df.metadataColumn("_metadata")
+    rows = df.select("*", F.regexp_replace(meta["file_path"], EMPTY_AUTHORITY, "$1:/").alias(path),
+                     meta["row_index"].alias(place)).join(F.broadcast(files), path, "left")
+    at = F.coalesce(F.col(file), F.raise_error(F.concat(F.lit("no number for the file "), F.col(path))).cast("long"))
+    return rows.select(*[F.col(f"`{c}`") for c in df.columns], (F.shiftleft(at, FILE_BITS) + F.col(place)).alias(name))
 
 
 def hot_keys(counts: DataFrame, keys: Sequence[str], count: str, total: int, salts: str) -> DataFrame:

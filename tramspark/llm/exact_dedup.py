@@ -156,6 +156,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each class of equal texts, all columns kept."""
+    docs = common.scanned(docs)
     uid = common.fresh("__uid", docs.columns)
     dropped = exact_duplicates(docs, id_col, text_col).filter("uid <> keep_uid").select(F.col("uid").alias(uid))
     return common.without(common.numbered(docs, uid), dropped, uid)

@@ -137,6 +137,7 @@ def domain_of(source: Column) -> Column:
 
 def remix(docs: DataFrame, domain: Column, max_epochs: int = 2, **options) -> DataFrame:
     """``docs`` with each row as often as the mix takes it, all columns kept."""
+    docs = common.scanned(docs)
     uid, times = common.fresh("__uid", docs.columns), common.fresh("__epochs", docs.columns)
     taken = mix(docs, domain, max_epochs=max_epochs, **options).filter("epochs > 0").select(
         F.col("uid").alias(uid), F.col("epochs").alias(times))

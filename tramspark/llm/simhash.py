@@ -262,6 +262,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                max_bits: int = 3) -> DataFrame:
     """``docs`` with one row of each near-duplicate component, all columns kept."""
+    docs = common.scanned(docs)
     uid = common.fresh("__uid", docs.columns)
     dropped = near_duplicates(docs, id_col, text_col, shingle, max_bits).filter("not first").select(F.col("uid").alias(uid))
     return common.without(common.numbered(docs, uid), dropped, uid)
