@@ -74,3 +74,16 @@ def test_op4_held_out_accuracy(spark):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in got)
     held = [r for r in got if r["held_out"]]
     assert np.mean([r["lang_pred"] == truth[r["doc_id"]] for r in held]) > 0.97
+
+
+def test_every_label_is_sampled(spark, monkeypatch):
+    monkeypatch.setattr(language, "train", lambda texts, langs: list(zip(texts, langs, strict=True)))
+    rows = [(None, f"aa {i}", "aa") for i in range(200)]                        # no ids, first in text order
+    rows += [(i, f"bb {i} " + "b" * 90, "bb") for i in range(40)]               # all longer than the limit
+    rows += [(None, "same text", "cc")] * 50 + [(i, f"dd {i}", f"l{i:03}") for i in range(1000, 1400)]
+    got = language.fit(documents(spark, rows), per_label=5, max_chars=60)
+    sampled = {}
+    for text, lang in got:
+        sampled.setdefault(lang, []).append(text)
+    assert set(sampled) == {"aa", "bb", "cc"} | {r[2] for r in rows[290:] if zlib.crc32(str(r[0]).encode()) % 4 != 2}
+    assert all(1 <= len(x) <= 10 for x in sampled.values()) and {len(t) for t in sampled["bb"]} == {60}

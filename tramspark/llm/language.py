@@ -7,8 +7,9 @@ learned with the feature weights, so a text may switch languages; forward-
 backward gives every word its label probabilities, and a text's label is the
 one with the most expected words.
 
-Training is on a bounded sample: about ``per_label`` texts a label of at most
-``max_chars`` characters, chosen by a hash of their id.  Their words are spliced
+Training is on a bounded sample of every label: about ``per_label`` texts each,
+chosen by a hash of id and text, of longer texts a window of ``max_chars``
+characters.  Their words are spliced
 into sequences that switch between texts, so that switches are learned too.
 
 Rules: a text that is null or has no letter is ``und`` with score 0; without
@@ -24,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -32,8 +33,7 @@ BITS = 17                   # feature weights: 2**BITS rows
 MULT = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xC2B2AE3D27D4EB4F)
 PER_LABEL = 300             # training texts a label
-MAX_CHARS = 8000            # longest training text
-MAX_LABELS = 256
+MAX_CHARS = 8000            # longest training text; of a longer one a window
 PIECE_CHARS = 4 << 20       # text labelled in one pass
 SPAN = (8, 40)              # words of a spliced span
 LENGTH = 64                 # words of a training sequence
@@ -258,20 +258,24 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         per_label: int = PER_LABEL, max_chars: int = MAX_CHARS) -> Model:
     """A model from a bounded sample of the labelled rows that are not held out.
 
-    At most about ``per_label`` texts of at most ``max_chars`` characters a label,
-    and at most ``MAX_LABELS`` labels, reach the driver.
+    About ``per_label`` texts of each label, twice as many at most, reach the
+    driver; of a text longer than ``max_chars`` a window, placed by a hash.
     """
-    usable = docs.filter(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"),
-        F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30)).alias("place")).filter(F.length("text") <= max_chars)
-    counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(MAX_LABELS).collect()}
+    text, spare = F.col(text_col), F.greatest(F.length(text_col) - max_chars, F.lit(0))
+    place = F.xxhash64(F.col(id_col), text)         # of the text too: ids may be missing
+    usable = docs.filter(~held_out(id_col) & F.col(lang_col).isNotNull() & text.isNotNull()).select(
+        F.col(id_col).alias("id"), F.substring(text, F.pmod(F.shiftrightunsigned(place, 32), spare + 1).cast("int") + 1,
+                                               F.lit(max_chars)).alias("text"),
+        F.col(lang_col).alias("lang"), F.pmod(place, F.lit(1 << 30)).alias("place"))
+    counts = usable.groupBy("lang").agg(F.count("*").alias("n"), F.min("place").alias("least")).collect()
     if not counts:
         return Model([], np.zeros((1, 0), np.float32), np.zeros(0), np.zeros((0, 0)), np.zeros(0, np.uint64))
-    below = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1 << 30, (per_label << 30) // n + 1))])
-    # rows of one id share a place: the limit bounds what repeated rows can add
-    rows = (usable.filter(F.col("place") < below[F.col("lang")]).orderBy("place", "id", "text").limit(2 * per_label * len(counts))
-            .collect())
+    # the least place always counts: equal rows share theirs
+    below = F.create_map(*[F.lit(x) for r in counts for x in (
+        r["lang"], max(r["least"] + 1, min(1 << 30, (per_label << 30) // r["n"] + 1)))])
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("place", "id", "text"))
+    rows = (usable.filter(F.col("place") < below[F.col("lang")]).withColumn("nth", first).filter(F.col("nth") <= 2 * per_label)
+            .orderBy("place", "id", "text").collect())
     return train([r["text"] for r in rows], [r["lang"] for r in rows])
 
 
