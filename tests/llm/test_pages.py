@@ -69,6 +69,19 @@ def test_two_articles(page):
     assert got == "\n".join(a + b)
 
 
+@pytest.mark.parametrize("body", ["<h1>Title</h1><p>{0}</p><p>{0}</p>", "<article><h1>Title</h1><p>{0}</p><p>{0}</p></article>"])
+def test_page_in_one_form(body):
+    search = "<form><label>Search this site</label><input><button>Go</button></form>"
+    got = html_text.main_text(f"<body>{search}<form runat=server><input>{MENU}<div>{body.format(PARA)}</div><button>Send</button></form></body>")
+    assert got == "\n".join(["Title", PARA.strip(), PARA.strip()])
+
+
+def test_header_of_an_article_in_deep_markup():
+    deep = "<div>" * 60
+    got = html_text.main_text(f"<body><header>Site</header><article>{deep}<header><h1>Title</h1></header><p>{PARA}</p></article></body>")
+    assert got == "Title\n" + PARA.strip()
+
+
 @pytest.mark.parametrize("html,want", [
     (None, ""), ("", ""), ("plain words only", "plain words only"), ("<p>a<p>b", "a\nb"), ("<article><p>x &am", "x &am"),
     ("<script>x</script>", ""), ("<article><p><b>one<br>two<p>three", "one two\nthree"), ("<<<>>>", "<<<>>>"),

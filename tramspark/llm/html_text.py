@@ -6,7 +6,7 @@ tags inside and how much of it is link text.  The text-to-tag ratios of the
 lines are smoothed by a Gaussian over neighbouring lines, and two-means
 clustering of the smoothed values gives the threshold of content.  Lines of
 elements that hold no article by their markup (menus, page headers, footers,
-sidebars, notices, adverts, forms, comments, scripts) count as ratio 0 and are
+sidebars, notices, adverts, forms without long text, comments, scripts) count as ratio 0 and are
 never content.  If ``article`` and ``main`` elements hold most of the content
 lines, all lines shown in those that hold any are the text, so a short
 paragraph between long ones stays.  Else the text lies in the innermost
@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 FEED = 1 << 16          # characters given to the parser at once
 SIGMA = 1.0             # of the Gaussian, in lines
 LINK_SHARE = 0.75       # a list line with at least this share of link text is a menu line
+FORM_TEXT = 80          # a form with a line of so many characters outside links is part of the page's text
 HOLDS = 0.6             # share of the content that article and main elements must hold to decide
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -40,7 +41,7 @@ BLOCK = frozenset("""address article aside blockquote body center dd details dia
     figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre section summary
     table tbody td tfoot th thead tr ul caption""".split())
 # elements whose text is never an article's
-HIDDEN = frozenset("""head title script style noscript template nav footer aside form button select textarea input iframe
+HIDDEN = frozenset("""head title script style noscript template nav footer aside button select textarea input iframe
     object svg canvas menu dialog datalist audio video""".split())
 # start of one of these ends an open paragraph
 SCOPE = frozenset("article aside body div footer form header html li main nav section table td th ul ol blockquote".split())
@@ -65,7 +66,7 @@ class Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.tags, self.parents, self.state = ["#root"], [0], [SHOWN]
         self.open = [0]
-        self.links = 0
+        self.links = self.articles = 0      # open elements
         self.lines: list[tuple[str, int, int, int]] = []     # text, tags, link characters, element
         self.text, self.n_tags, self.link_chars, self.at = [], 0, 0, 0
 
@@ -79,6 +80,7 @@ class Lines(HTMLParser):
     def _close(self, at: int) -> None:
         for e in self.open[at:]:
             self.links -= self.tags[e] == "a"
+            self.articles -= self.tags[e] in ("article", "main")
         del self.open[at:]
 
     def handle_starttag(self, tag, attrs):
@@ -103,11 +105,12 @@ class Lines(HTMLParser):
         self.state.append(state)
         self.open.append(len(self.tags) - 1)
         self.links += tag == "a"
+        self.articles += tag in ("article", "main")
 
     def _kind(self, tag, attrs) -> int:
         if tag in HIDDEN:
             return SKIPPED
-        inside = any(self.tags[e] in ("article", "main") for e in self.open[-40:])
+        inside = self.articles > 0
         if tag == "header" and not inside:
             return SKIPPED
         for key, value in attrs:
@@ -179,6 +182,7 @@ def main_text(html: str | None) -> str:
         page.feed(html[s:s + FEED])
     page.finish()
     lines = page.lines
+    _hide_forms(page)
     shown = [i for i, x in enumerate(lines) if page.state[x[3]] == SHOWN]
     if not shown:       # a page that is chrome by its class names alone: its text is all there is
         shown = [i for i, x in enumerate(lines) if page.state[x[3]] == CHROMY and _semantic(page, x[3])]
@@ -219,6 +223,26 @@ def main_text(html: str | None) -> str:
     return "\n".join(lines[i][0] for i in out if not _menu(page, lines[i]))
 
 
+def _hide_forms(page: Lines) -> None:
+    """Hides forms that hold no article, title or long text of no links; one around a whole page is shown."""
+    if "form" not in page.tags:
+        return
+    form, kept = [0] * len(page.tags), set()
+    for e in range(1, len(page.tags)):
+        form[e] = e if page.tags[e] == "form" else form[page.parents[e]]
+        if page.tags[e] in ("article", "main", "h1"):
+            kept.add(form[e])
+    for text, _, links, e in page.lines:
+        if page.state[e] == SHOWN and len(text) - links >= FORM_TEXT:
+            kept.add(form[e])
+    for e in range(len(form) - 1, 0, -1):       # and the forms around them
+        if page.tags[e] == "form" and e in kept:
+            kept.add(form[page.parents[e]])
+    for e in range(1, len(page.tags)):
+        if (page.tags[e] == "form" and e not in kept) or page.state[page.parents[e]] == SKIPPED:
+            page.state[e] = SKIPPED
+
+
 def _semantic(page: Lines, e: int) -> bool:
     while e:
         if page.tags[e] in ("article", "main"):
