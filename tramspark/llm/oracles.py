@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from tramspark.llm import url_templates
+from tramspark.llm.queries import URL_RULES
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 OP9 = f"""
@@ -105,4 +108,75 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM g
 """
 
-ORACLES: dict[str, str] = {"op2_sharding": OP2, "op5_mixing": OP5, "op8_warc": OP8, "op9_exact_dedup": OP9}
+
+def _url_level(k: int) -> str:
+    """The tree's level k: segments to branches, similar branches to one node."""
+    return f"""a{k} AS (SELECT * FROM t{k} WHERE len(segs) > {k}),
+k{k} AS (
+  SELECT host, node, segs[{k + 1}] AS seg, sum(n) AS n, sum(good) AS good, sum(bad) AS bad, sum(n * (len(segs) - {k + 1})) AS deeper
+  FROM a{k} GROUP BY ALL
+), m{k} AS (
+  SELECT *, CASE WHEN n >= 8 AND n * 100 >= sum(n) OVER (PARTITION BY host, node)
+            THEN replace(replace(replace(replace(replace(seg, '%', '%25'), '*', '%2A'), '|', '%7C'), '{{', '%7B'), '}}', '%7D') ELSE '*' END AS name
+  FROM k{k}
+), b{k} AS (
+  SELECT host, node, name, sum(good)::DOUBLE AS g, sum(bad)::DOUBLE AS b, (2 * sum(deeper) + sum(n)) // (2 * sum(n)) AS shape
+  FROM m{k} GROUP BY ALL
+), s{k} AS (
+  SELECT *, sum(g) OVER w AS ag, sum(b) OVER w AS ab FROM b{k} WINDOW w AS (PARTITION BY host, node, shape)
+), v{k} AS (
+  SELECT *, (g + b) * (ag + ab - g - b) * ag * ab AS scale,
+         (g * (ag + ab - g - b) - (ag - g) * (g + b)) ** 2 * (ag + ab) AS apart FROM s{k}
+), j{k} AS (
+  SELECT host, node, list(name ORDER BY name) AS names FROM v{k}
+  GROUP BY host, node, shape, CASE WHEN scale = 0 OR apart < 4 * scale THEN '' ELSE name END
+), x{k} AS (
+  SELECT host, node, unnest(names) AS name, node || '/' || CASE WHEN list_contains(names, '*') THEN '*' WHEN len(names) = 1 THEN names[1]
+         ELSE '{{' || array_to_string(names, '|') || '}}' END AS next FROM j{k}
+), t{k + 1} AS (
+  SELECT a.host, path, a.n, a.good, a.bad, segs, next AS node
+  FROM a{k} a JOIN m{k} m ON m.host = a.host AND m.node = a.node AND m.seg = segs[{k + 1}]
+  JOIN x{k} x ON x.host = m.host AND x.node = m.node AND x.name = m.name
+)"""
+
+
+def _op11() -> str:
+    depth = url_templates.DEPTH
+    rules = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
+    levels = ",\n".join(_url_level(k) for k in range(depth))
+    done = " UNION ALL ".join([f"SELECT * FROM t{k} WHERE len(segs) <= {k}" for k in range(depth)] + [f"SELECT * FROM t{depth}"])
+    return f"""
+WITH u AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM pages
+), lab AS (
+  SELECT doc_id, count(*) FILTER (quality = 1 AND toxic = 0) AS good, count(*) FILTER (NOT (quality = 1 AND toxic = 0)) AS bad
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), p AS (
+  SELECT host, path, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(bad), 0) AS bad,
+         list_filter(string_split(path, '/'), lambda x: x <> '') AS parts
+  FROM u LEFT JOIN lab ON lab.doc_id = u.page_id GROUP BY host, path
+), t0 AS (
+  SELECT host, path, n, good, bad, CASE WHEN len(parts) > {depth}
+         THEN list_append(parts[1:{depth - 1}], array_to_string(parts[{depth}:], '/')) ELSE parts END AS segs, '' AS node FROM p
+), {levels}, f AS ({done}),
+base AS (SELECT (coalesce(sum(good), 0) + 1.0::DOUBLE) / (coalesce(sum(good), 0) + coalesce(sum(bad), 0) + 2.0::DOUBLE) AS base FROM f),
+h AS (SELECT host, (sum(good) + 4.0::DOUBLE * any_value(base)) / (sum(good) + sum(bad) + 4.0::DOUBLE) AS prior FROM f, base GROUP BY host),
+q AS (
+  SELECT host, node, (sum(good) + 4.0::DOUBLE * any_value(prior)) / (sum(good) + sum(bad) + 4.0::DOUBLE) AS purity
+  FROM f JOIN h USING (host) GROUP BY host, node
+), r(verdict, rhost, rpath) AS (VALUES {rules}), best AS (
+  SELECT host, path, rhost || rpath AS rule, verdict FROM p JOIN r
+    ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+  QUALIFY row_number() OVER (PARTITION BY host, path ORDER BY length(rhost || rpath) DESC, length(rhost) DESC, verdict DESC) = 1
+)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN purity < 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
+       CASE WHEN node = '' THEN '/' ELSE node END AS template
+FROM u JOIN f USING (host, path) JOIN q USING (host, node) LEFT JOIN best USING (host, path)
+"""
+
+
+OP11 = _op11()
+
+
+ORACLES: dict[str, str] = {"op2_sharding": OP2, "op5_mixing": OP5, "op8_warc": OP8, "op9_exact_dedup": OP9, "op11_url_templates": OP11}
