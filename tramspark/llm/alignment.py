@@ -51,8 +51,8 @@ from tramspark.llm import common
 # Fixed value: how byte-level vocabularies of this kind split text before merging.
 BYTE_LEVEL_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SAFE_CUT = re.compile(r"(?<=[^\s▁]) (?=[^\s▁])")
-PASS_CHARS = 4 << 20        # texts aligned together (a longer one is a pass of its own)
-CACHED_CHARS = 16 << 20
+PASS_CHARS = 1 << 20        # texts aligned together (a longer one is a pass of its own)
+CACHED_CHARS = 4 << 20
 
 
 def byte_characters() -> dict[str, int]:
