@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from tramspark.functions.scalar import duck_round, seconds_between
 from tramspark.operators.windows import ordered_lag, ordered_running_sum
 
+VISIT_KEYS = ["line", "stop_id", "vehicle_number"]
+HEADWAY_KEYS = ["line", "stop_id"]
 
-def stop_visits(matches: DataFrame, gap_s: int = 600) -> DataFrame:
+
+def stop_visits(matches: DataFrame, gap_s: int = 600, only: DataFrame | None = None) -> DataFrame:
     """Collapse repeated pings of a vehicle at a stop into visits.
 
     A ping starts a new visit when it is the vehicle's first at that
@@ -19,11 +22,12 @@ def stop_visits(matches: DataFrame, gap_s: int = 600) -> DataFrame:
     previous one.  A visit's arrival is its earliest ping, which is exactly
     the ping that starts it, so visits are the starting pings.  (Visits are
     grouped by stop_name too; a stop id carries one name - the stops
-    dimension is unique on stop_id, a declared quality check.)
+    dimension is unique on stop_id, a declared quality check.)  ``only`` limits
+    the result to touched pieces of history (``windows.touched_buckets``).
     """
     pings = matches.select("line", "stop_id", "stop_name", "vehicle_number", "actual_time")
-    lagged = ordered_lag(pings, keys=["line", "stop_id", "vehicle_number"], order=["actual_time"],
-                         values={"prev_ping": "actual_time"}, limit_seconds=gap_s)
+    lagged = ordered_lag(pings, keys=VISIT_KEYS, order=["actual_time"],
+                         values={"prev_ping": "actual_time"}, limit_seconds=gap_s, only=only)
     new_visit = F.col("prev_ping").isNull() | (seconds_between("prev_ping", "actual_time") > F.lit(int(gap_s)))
     # No DISTINCT (and its shuffle) is needed first: of two identical pings
     # only one can start a visit, the other sees a 0 s gap to its twin.
@@ -49,16 +53,16 @@ def visit_numbers(matches: DataFrame, gap_s: int = 600) -> DataFrame:
 
 
 def headway_from_visits(visits: DataFrame, min_minutes: float = 0.1, max_minutes: float = 120.0,
-                        bunched_below: float = 2.0) -> DataFrame:
+                        bunched_below: float = 2.0, only: DataFrame | None = None) -> DataFrame:
     """Gap to the previous visit at the same (line, stop) by a different vehicle.
 
     The filter runs after the look-back, so a same-vehicle predecessor hides
     the pair.  Order within a stop: arrival time, then vehicle number.
-    ``is_bunched`` uses the unrounded minutes.
+    ``is_bunched`` uses the unrounded minutes.  ``only`` as in :func:`stop_visits`.
     """
-    lagged = ordered_lag(visits, keys=["line", "stop_id"], order=["arrival_time", "vehicle_number"],
+    lagged = ordered_lag(visits, keys=HEADWAY_KEYS, order=["arrival_time", "vehicle_number"],
                          values={"prev_vehicle": "vehicle_number", "prev_arrival": "arrival_time"},
-                         limit_seconds=math.ceil(max_minutes * 60))
+                         limit_seconds=math.ceil(max_minutes * 60), only=only)
     minutes = seconds_between("prev_arrival", "arrival_time").cast("double") / F.lit(60.0)
     g = lagged.select("line", "stop_id", "stop_name", "vehicle_number", "prev_vehicle", "prev_arrival",
                       "arrival_time", minutes.alias("_hm"))

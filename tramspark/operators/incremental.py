@@ -1,9 +1,8 @@
 """Incremental loading: high-water marks and keyed upserts.
 
-Without a transactional table format the target is a date-partitioned
-Parquet folder: an upsert rewrites only the date partitions the batch
-touches (dynamic partition overwrite), after staging the merged rows in the
-shared checkpoint folder - a path is never overwritten while it is read.
+The target of an upsert is a date-partitioned table in a store
+(``sources.store``): only the date partitions the batch touches are written,
+beside the old ones, and become visible by switching one pointer.
 """
 
 from __future__ import annotations
@@ -14,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tramspark.operators.staging import dedup_first
-from tramspark.session import path_exists, remove_path, shared_dir
+from tramspark.session import remove_path, shared_dir
+from tramspark.sources.store import Store
 
 EPOCH = "1970-01-01 00:00:00"
 
@@ -80,40 +80,41 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequ
     return merged if t_out is None else t_out.unionByName(merged)
 
 
+ROWS = "rows"       # the one table of an upserted store
+
+
+def read_upserted(spark, path: str) -> DataFrame:
+    """The table kept by :func:`write_upsert` at ``path``, as last committed."""
+    return Store(spark, path).read(ROWS)
+
+
 def write_upsert(spark, path: str, batch: DataFrame, keys: Sequence[str], order: Sequence[str],
                  partition_col: str, strategy: str = "first_wins") -> DataFrame:
-    """Apply ``upsert`` to the Parquet table at ``path`` (created if missing).
-
-    The batch is computed once, into the shared checkpoint folder.  Its range
-    of partition values (a 1-row aggregate) prunes the target's folders, a
-    semi-join picks the touched ones among them; the merged rows are staged
-    and then overwrite exactly those partitions.  Re-applying the same batch
-    (a replay after a failure) gives the same table.  Staged files are removed
-    after success.  A NULL partition value is an error.  Returns the table as
-    read after the write.
+    """Apply ``upsert`` to the store at ``path`` (created if missing).
+
+    The batch is computed once, into the shared checkpoint folder.  Only the
+    partitions it touches are read and written, beside the old ones; then one
+    pointer is switched, so a reader or a failed run never sees half a table.
+    Re-applying the same batch (a replay after a failure) gives the same table.
+    A NULL partition value is an error.  Returns the table as read after the
+    write; the version before stays readable until the next one.
     """
-    staged, merged_path = shared_dir(spark, "upsert-batch"), shared_dir(spark, "upsert-merged")
+    staged = shared_dir(spark, "upsert-batch")
     batch.write.parquet(staged)
     batch = spark.read.schema(batch.schema).parquet(staged)
-    col = F.col(partition_col)
-    seen = batch.agg(F.min(col).alias("lo"), F.max(col).alias("hi"), F.count_if(col.isNull()).alias("nulls")).first()
-    if seen["nulls"]:
-        raise ValueError(f"{seen['nulls']} rows of the batch have no {partition_col}")
-    if not path_exists(spark, path):
-        _write_partitions(batch, path, partition_col)
-    elif seen["lo"] is not None:
-        target = spark.read.parquet(path)
-        touched = batch.select(partition_col).distinct()
-        t_in = target.filter(col.between(seen["lo"], seen["hi"])).join(touched, partition_col, "left_semi")
-        merged = upsert(t_in, batch.select(*target.columns), keys, order, None, strategy)
-        _write_partitions(merged, merged_path, partition_col)
-        _write_partitions(spark.read.parquet(merged_path).select(*target.columns), path, partition_col)
-        remove_path(spark, merged_path)
+    # as many values as touched partitions (days)
+    touched = [r[0] for r in batch.select(partition_col).distinct().collect()]
+    if None in touched:
+        raise ValueError(f"rows of the batch have no {partition_col}")
+    store = Store(spark, path)
+    load = store.begin()
+    if not load.has(ROWS):
+        load.put(ROWS, dedup_first(batch, keys, order) if strategy == "first_wins" else batch, partition_col)
+    elif touched:
+        target = load.read(ROWS)
+        t_in = target.filter(F.col(partition_col).isin(touched))
+        load.put(ROWS, upsert(t_in, batch.select(*target.columns), keys, order, None, strategy), partition_col, touched)
+    load.commit()
+    store.vacuum(2)
     remove_path(spark, staged)
-    return spark.read.parquet(path)
-
-
-def _write_partitions(df: DataFrame, path: str, partition_col: str) -> None:
-    """Replace the partitions ``df`` holds (a date's rows land in few, sized files)."""
-    (df.hint("rebalance", partition_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(path))
+    return store.read(ROWS)

@@ -8,22 +8,23 @@ smallest distance, then trip id and stop id.
 
 Physical plan.  A naive equi-join on (line, brigade, date) multiplies every
 position by every stop of every trip of the day.  ``bucketed=True`` (the
-default) adds a time bucket of width ``window_s`` to the key: |a - b| <= w
-implies the buckets differ by at most one, so the schedule side is repeated
-into its bucket and both neighbours and the join becomes an equi-join on
-(line, brigade, date, bucket).  The exact filters still apply, so the result
-is identical; the candidate fan-out drops from a day of trips to about three
-buckets of trips.  A hot (line, brigade, date, bucket) is split by the adaptive
-skew join.  The winner is a ``min(struct)`` aggregate (sort-based) per
-(vehicle, time) with a map-side partial step instead of a ranking window.
+default) adds place and time to the key: time buckets ``BUCKET`` windows wide
+and grid cells ``CELL`` radii wide.  The rows of one side (by choice the
+smaller) are repeated into the at most two buckets and four cells in which a
+partner within both gates can lie (a stop's cells are found once, in the
+dimension), so the join becomes an equi-join on (line, brigade, date,
+bucket, cell) whose candidates are mostly near.  The exact filters still
+apply, so the result is identical.  A hot key is split by the adaptive skew
+join.  The winner is a ``min(struct)`` aggregate (sort-based) per (vehicle,
+time) with a map-side partial step instead of a ranking window.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tramspark.functions.scalar import duck_round, planar_distance_m, seconds_between
+from tramspark.functions.scalar import METERS_PER_DEGREE, duck_round, planar_distance_m, seconds_between
 
 
 def trips_with_line(trips: DataFrame, routes: DataFrame) -> DataFrame:
@@ -59,29 +60,101 @@ def retained_positions(positions: DataFrame, as_of: str, retention_days: int,
 
 def schedule_points(stop_times: DataFrame, trips: DataFrame, routes: DataFrame, stops: DataFrame) -> DataFrame:
     """Every scheduled stop with its trip's line/brigade/date and coordinates."""
-    s = stops.select("stop_id", "stop_name", "stop_lat", "stop_lon")
+    s = stops.select("stop_id", "stop_name", "stop_lat", "stop_lon", *[c for c in ("__cy", "__cx") if c in stops.columns])
     st = stop_times.select("trip_id", "stop_id", "scheduled_arrival")
     return (st.join(trips_with_line(trips, routes), "trip_id")
             .join(s, "stop_id"))
 
 
+# Width of a time bucket in windows: a scheduled stop reaches 1 + 2 / BUCKET buckets on average, two at most.
+BUCKET = 4
+# Width of a grid cell in radii: a stop reaches (1 + 2 / CELL)^2 cells on average, four at most.
+CELL = 8.0
+# Poleward of this latitude a band of cells is one cell (longitude degrees shrink to nothing).
+POLAR = 89.0
+
+
+def _bands(lat: Column, radius_m: float) -> Column:
+    return lat / F.lit(CELL * radius_m / METERS_PER_DEGREE)
+
+
+def _lon_reach(band: Column, radius_m: float) -> Column:
+    """Degrees of longitude that ``radius_m`` metres span at most anywhere in a band of cells; null in the polar ones.
+
+    Distances are measured with the cosine at the position's latitude, so the
+    band is the position's.  A thousandth more covers rounding.
+    """
+    height = F.lit(CELL * radius_m / METERS_PER_DEGREE)
+    widest = F.greatest(F.abs(band * height), F.abs((band + F.lit(1)) * height))
+    return F.when(widest < F.lit(POLAR), F.lit(1.001 * radius_m / METERS_PER_DEGREE) / F.cos(F.radians(widest)))
+
+
+def _cell(lat: Column, lon: Column, radius_m: float) -> tuple[Column, Column]:
+    """Band and cell of a place."""
+    band = F.floor(_bands(lat, radius_m))
+    return band, F.coalesce(F.floor(lon / (F.lit(CELL) * _lon_reach(band, radius_m))), F.lit(0))
+
+
+def _around(rows: DataFrame, lat: str, lon: str, radius_m: float, own_band: bool) -> DataFrame:
+    """``rows`` repeated for every (__cy, __cx) in which a partner within ``radius_m`` metres can lie.
+
+    The longitudes within reach follow from the position's band: the rows' own
+    (``own_band``, rows being positions) or that of each cell (rows being stops).
+    """
+    reach = F.lit(1.001 / CELL)
+    at = _bands(F.col(lat), radius_m)
+    rows = rows.withColumn("__cy", F.explode(F.sequence(F.floor(at - reach), F.floor(at + reach))))
+    width = F.lit(CELL) * _lon_reach(F.col("__cy"), radius_m)
+    span = _lon_reach(F.floor(at), radius_m) if own_band else _lon_reach(F.col("__cy"), radius_m)
+    # in a polar band all lies in cell 0; a position there reaches every cell of the next band: cells on the whole circle
+    span = F.coalesce(span, F.lit(720.0))
+    first, last = (F.coalesce(F.floor((F.col(lon) + s * span) / width), F.lit(0)) for s in (-1, 1))
+    return rows.withColumn("__cx", F.explode(F.sequence(first, last)))
+
+
+def stop_cells(stops: DataFrame, radius_m: float) -> DataFrame:
+    """Stops repeated for the cells of the positions that can match them (once per stop, before the timetable is joined)."""
+    return _around(stops, "stop_lat", "stop_lon", radius_m, own_band=False)
+
+
+def candidate_pairs(positions: DataFrame, sched: DataFrame, radius_m: float = 100.0, window_s: int = 900,
+                    bucketed: bool = True, repeat: str = "schedule") -> DataFrame:
+    """(position, scheduled stop) pairs that the equi-join lets meet, before the exact gates.
+
+    ``repeat`` names the side that goes to all buckets and cells within reach:
+    the smaller one of ``schedule`` and ``positions``.
+    """
+    keys = ["line", "brigade", "service_date"]
+    if not bucketed:
+        return positions.join(sched, on=keys, how="inner")
+    w = F.lit(int(window_s))
+
+    # one number stands for the whole key: it is shuffled and sorted faster than six columns, and those that
+    # the gates do not imply are compared after it
+    def key(seconds, cells):
+        return F.xxhash64(*keys, F.floor(seconds / F.lit(BUCKET * int(window_s))), *cells)
+
+    def everywhere(rows, seconds):      # rows with cells; BUCKET >= 2, so a window reaches two buckets at most
+        cells = (F.col("__cy"), F.col("__cx"))
+        return rows.withColumn("__key", F.explode(F.array_distinct(F.array(key(seconds - w, cells), key(seconds + w, cells))))).drop("__cy", "__cx")
+
+    seen, due = F.unix_timestamp("vehicle_time"), F.unix_timestamp("scheduled_arrival")
+    if repeat == "positions":
+        p = everywhere(_around(positions, "lat", "lon", radius_m, own_band=True), seen)
+        s = sched.withColumn("__key", key(due, _cell(F.col("stop_lat"), F.col("stop_lon"), radius_m)))
+    else:
+        p = positions.withColumn("__key", key(seen, _cell(F.col("lat"), F.col("lon"), radius_m)))
+        s = everywhere(sched if "__cy" in sched.columns else stop_cells(sched, radius_m), due)
+    s = s.select(*[F.col(k).alias(f"__{k}") for k in keys], *[c for c in s.columns if c not in keys])
+    same = [F.col(k) == F.col(f"__{k}") for k in keys]
+    return p.join(s, "__key").filter(same[0] & same[1] & same[2]).drop("__key", *[f"__{k}" for k in keys])
+
+
 def stop_match_candidates(positions: DataFrame, sched: DataFrame, radius_m: float = 100.0,
-                          window_s: int = 900, bucketed: bool = True) -> DataFrame:
+                          window_s: int = 900, bucketed: bool = True, repeat: str = "schedule") -> DataFrame:
     """All (position, scheduled stop) pairs that pass both gates."""
-    keys = ["line", "brigade", "service_date"]
-    p = positions
-    s = sched
-    if bucketed:
-        width = int(window_s)
-        p = p.withColumn("__tb", F.floor(F.unix_timestamp("vehicle_time") / F.lit(width)))
-        s = (s.withColumn("__tb0", F.floor(F.unix_timestamp("scheduled_arrival") / F.lit(width)))
-             .withColumn("__tb", F.explode(F.array(F.col("__tb0") - 1, F.col("__tb0"), F.col("__tb0") + 1)))
-             .drop("__tb0"))
-        keys = keys + ["__tb"]
-    j = p.join(s, on=keys, how="inner")
-    cand = j.select(
-        *[k for k in keys if k not in ("line", "brigade")],
-        "trip_id", "vehicle_number", "line", "brigade", "vehicle_time", "lat", "lon",
+    cand = candidate_pairs(positions, sched, radius_m, window_s, bucketed, repeat).select(
+        "service_date", "trip_id", "vehicle_number", "line", "brigade", "vehicle_time", "lat", "lon",
         "stop_id", "stop_name", "stop_lat", "stop_lon", "scheduled_arrival",
         planar_distance_m("lat", "lon", "stop_lat", "stop_lon").alias("meters_to_stop"),
         F.abs(seconds_between("scheduled_arrival", "vehicle_time")).alias("abs_time_gap"))
@@ -112,7 +185,7 @@ def best_match(cand: DataFrame) -> DataFrame:
 def stop_matches(positions: DataFrame, stop_times: DataFrame, trips: DataFrame, routes: DataFrame,
                  stops: DataFrame, as_of: str, retention_days: int = 2, radius_m: float = 100.0,
                  window_s: int = 900, bucketed: bool = True,
-                 previous_service_day_until: int | None = None) -> DataFrame:
+                 previous_service_day_until: int | None = None, repeat: str = "schedule") -> DataFrame:
     """Matched stop arrivals with signed delay (late positive).
 
     Output: trip_id, vehicle_number, line, brigade, stop_id, stop_name,
@@ -120,8 +193,9 @@ def stop_matches(positions: DataFrame, stop_times: DataFrame, trips: DataFrame,
     delay_seconds, delay_minutes (0.1 min).
     """
     pos = retained_positions(positions, as_of, retention_days, previous_service_day_until)
-    sched = schedule_points(stop_times, trips, routes, stops)
-    cand = stop_match_candidates(pos, sched, radius_m, window_s, bucketed)
+    # the cells of a stop are found in the dimension, before the timetable repeats it
+    sched = schedule_points(stop_times, trips, routes, stop_cells(stops, radius_m) if bucketed and repeat == "schedule" else stops)
+    cand = stop_match_candidates(pos, sched, radius_m, window_s, bucketed, repeat)
     b = best_match(cand)
     delay = seconds_between("scheduled_arrival", "actual_time")
     return b.select(

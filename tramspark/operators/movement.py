@@ -10,7 +10,7 @@ from tramspark.operators.windows import ordered_lag
 
 
 def vehicle_moves(positions: DataFrame, min_gap_s: int = 1, max_gap_s: int = 600,
-                  max_speed_kmh: float = 100.0, bucket_seconds: int = 3600) -> DataFrame:
+                  max_speed_kmh: float = 100.0, bucket_seconds: int = 3600, only: DataFrame | None = None) -> DataFrame:
     """Seconds, metres and km/h from each vehicle's previous position.
 
     Keeps gaps in ``[min_gap_s, max_gap_s]`` and speeds (rounded to 0.1 km/h
@@ -18,14 +18,15 @@ def vehicle_moves(positions: DataFrame, min_gap_s: int = 1, max_gap_s: int = 600
     with the hot-key-safe ``ordered_lag`` (vehicle history cut into
     ``bucket_seconds`` pieces, an hour by default; a predecessor beyond
     ``max_gap_s`` gives no move, so the look-back ends there).
-    Input: cleaned positions, unique per (vehicle_number, vehicle_time).
+    Input: cleaned positions, unique per (vehicle_number, vehicle_time).  ``only``
+    limits the result to touched pieces of history (``windows.touched_buckets``).
     """
     p = positions.select("vehicle_number", "line", "brigade", "vehicle_type", "vehicle_time", "lat", "lon")
     # A vehicle pings every few seconds and one id (say an empty one) can
     # carry a large share of a day's rows, so histories are cut by hour.
     lagged = ordered_lag(p, keys=["vehicle_number"], order=["vehicle_time"],
                          values={"prev_lat": "lat", "prev_lon": "lon", "prev_time": "vehicle_time"},
-                         limit_seconds=max_gap_s, bucket_seconds=bucket_seconds)
+                         limit_seconds=max_gap_s, bucket_seconds=bucket_seconds, only=only)
     moves = lagged.filter(F.col("prev_time").isNotNull()).select(
         "vehicle_number", "line", "brigade", "vehicle_type", "prev_time", "vehicle_time", "lat", "lon",
         seconds_between("prev_time", "vehicle_time").alias("seconds_diff"),

@@ -10,13 +10,14 @@ from tramspark.operators.windows import window_lag
 
 
 def route_segments(matches: DataFrame, min_minutes: float = 0.2, max_minutes: float = 30.0,
-                   max_abs_diff: float = 15.0) -> DataFrame:
+                   max_abs_diff: float = 15.0, keep_trip: bool = False) -> DataFrame:
     """Segments between consecutive matched stops of one trip run by one vehicle.
 
     An unmatched stop is skipped, so a segment may span several stops.  Drops
     repeats of the same stop id or stop name (platforms of one station), and
     keeps actual and scheduled minutes in ``[min, max]`` differing by at most
     ``max_abs_diff``.  Within (trip, vehicle) the matches are unique per time.
+    ``keep_trip`` adds the trip id, by which a load finds the segments to replace.
     """
     m = matches.select("trip_id", "line", "brigade", "vehicle_number", "stop_id", "stop_name",
                        "actual_time", "scheduled_arrival")
@@ -30,7 +31,7 @@ def route_segments(matches: DataFrame, min_minutes: float = 0.2, max_minutes: fl
     actual = seconds_between("prev_actual", "actual_time").cast("double") / F.lit(60.0)
     sched = seconds_between("prev_scheduled", "scheduled_arrival").cast("double") / F.lit(60.0)
     seg = seg.select(
-        "line",
+        *(["trip_id"] if keep_trip else []), "line",
         F.col("prev_stop_id").alias("from_stop_id"), F.col("prev_stop_name").alias("from_stop"),
         F.col("stop_id").alias("to_stop_id"), F.col("stop_name").alias("to_stop"),
         "vehicle_number",

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tramspark.session import shared_dir
@@ -36,14 +36,51 @@ def window_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], values:
     return df.select("*", *[F.lag(src).over(w).alias(out) for out, src in values.items()])
 
 
+def bucket_of(time: str, bucket_seconds: int = DAY) -> Column:
+    """Number of the piece of history a row lies in."""
+    return F.floor(F.unix_timestamp(F.col(time)) / F.lit(int(bucket_seconds)))
+
+
+def touched_buckets(changes: DataFrame, keys: Sequence[str], time: str, limit_seconds: int, bucket_seconds: int = DAY) -> DataFrame:
+    """(keys, bucket) of every piece of history in which a changed row is a row or a possible predecessor.
+
+    A row that came, went or changed can alter its own result and that of rows up
+    to ``limit_seconds`` later, so the pieces that this reaches are touched.
+    """
+    last = F.floor((F.unix_timestamp(F.col(time)) + F.lit(int(limit_seconds))) / F.lit(int(bucket_seconds)))
+    return changes.select(*keys, F.explode(F.sequence(bucket_of(time, bucket_seconds), last)).alias(_B)).distinct()
+
+
+def touched_days(touched: DataFrame, bucket_seconds: int = DAY) -> DataFrame:
+    """Calendar days of the touched pieces, one row a day (buckets are hours or days)."""
+    day = F.date_from_unix_date((F.floor(F.col(_B) * F.lit(int(bucket_seconds)) / F.lit(DAY))).cast("int"))
+    return touched.select(day.alias("day")).distinct()
+
+
+def _in_buckets(rows, touched, keys, time, bucket_seconds, how) -> DataFrame:
+    return (rows.withColumn(_B, bucket_of(time, bucket_seconds))
+            .join(touched.select(*keys, _B), [*keys, _B], how).select(*rows.columns))
+
+
+def outside_buckets(rows: DataFrame, touched: DataFrame, keys: Sequence[str], time: str, bucket_seconds: int = DAY) -> DataFrame:
+    """``rows`` that lie in none of the touched pieces."""
+    return _in_buckets(rows, touched, keys, time, bucket_seconds, "left_anti")
+
+
+def inside_buckets(rows: DataFrame, touched: DataFrame, keys: Sequence[str], time: str, bucket_seconds: int = DAY) -> DataFrame:
+    """``rows`` that lie in a touched piece."""
+    return _in_buckets(rows, touched, keys, time, bucket_seconds, "left_semi")
+
+
 def ordered_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, str],
-                limit_seconds: int, bucket_seconds: int = DAY) -> DataFrame:
+                limit_seconds: int, bucket_seconds: int = DAY, only: DataFrame | None = None) -> DataFrame:
     """Add ``values`` columns holding the previous row's values within ``keys``.
 
     ``values`` maps an output name to the source column.  ``order`` must be
     ascending and total within a key; its first column is the time that cuts
     the buckets.  Predecessors up to ``limit_seconds`` back (inclusive) are
-    always found.
+    always found.  With ``only`` (see :func:`touched_buckets`) just the rows of these
+    pieces of history come out, the repeated rows before each piece being read.
     """
     seconds = F.unix_timestamp(F.col(order[0]))
     width = F.lit(int(bucket_seconds))
@@ -51,6 +88,8 @@ def ordered_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], values
     reach = F.floor((seconds + F.lit(int(limit_seconds))) / width)
     dealt = (df.select("*", own.alias("__own"), F.explode(F.sequence(own, reach)).alias(_B))
              .withColumn(_HALO, F.col(_B) > F.col("__own")).drop("__own"))
+    if only is not None:
+        dealt = dealt.join(only.select(*keys, _B), [*keys, _B], "left_semi")
     w = Window.partitionBy(*keys, _B).orderBy(*order)
     lagged = dealt.select("*", *[F.lag(src).over(w).alias(out) for out, src in values.items()])
     keep = [c for c in df.columns if c not in values]

@@ -7,12 +7,14 @@ derives from them) and runs the library's operators over the whole input.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
 from tramspark.functions import scalar as S
-from tramspark.operators import history, incremental, matching, quality, reports, staging
+from tramspark.operators import history, incremental, ledger, matching, quality, reports, staging
+from tramspark.plans.incremental import build_incremental, run_load, tables
 from tramspark.plans.pipeline import FIXTURE_PARAMS, Models, Params, build_graph
 from tramspark.session import shared_dir
 from tramspark.sources import files, fixtures
@@ -615,18 +617,95 @@ def full_refresh_rebuild(spark, sf_dir):
 def incremental_run(spark, sf_dir):
     """Three incremental runs of the whole graph (feeds up to 10 Jan, up to 16 Jan, all): the last run's line
     punctuality, equal to a full build."""
-    from tramspark.plans.pipeline import build_incremental
     out = shared_dir(spark, "incremental-run")
     i = fixtures.transit_inputs(spark, sf_dir)
-    tables = None
-    for k, until in enumerate(["2024-01-10 00:00:00", SLICE_AT, None]):
+    built = None
+    for until in ("2024-01-10 00:00:00", SLICE_AT, None):
         feed = dict(i)
         if until:
             cut = F.lit(until).cast("timestamp_ntz")
             feed["positions_csv"] = i["positions_csv"].filter(S.try_timestamp("fetch_time") < cut)
             feed["positions_parquet"] = i["positions_parquet"].filter(F.col("fetch_time") < cut)
-        tables = build_incremental(feed, FIXTURE_PARAMS, out, load_id=f"load-{k}")
-    return tables["line_punctuality"]
+        built = build_incremental(feed, FIXTURE_PARAMS, out)
+    return built["line_punctuality"]
+
+
+def _landed(spark, sf_dir) -> tuple[dict, dict]:
+    """Two collectors' files in two drops: in the first, the typed feed is a day behind the text feed and a seventh of
+    all earlier pings of both is missing; the second brings the rest.  (Feeds by drop, timetable.)"""
+    i, path = fixtures.transit_inputs(spark, sf_dir), shared_dir(spark, "drops")
+    feeds = {}
+    for kind, name, until in (("csv", "positions_csv", "2024-01-16 00:00:00"), ("parquet", "positions_parquet", "2024-01-15 00:00:00")):
+        rows, fetched = i.pop(name), S.try_timestamp("fetch_time") if kind == "csv" else F.col("fetch_time")
+        first = (fetched < F.lit(until).cast("timestamp_ntz")) & (F.pmod(F.xxhash64("vehicle_number", "vehicle_time"), F.lit(7)) != 0)
+        for drop, part in (("a", rows.filter(first)), ("b", rows.filter(~first))):
+            writer = part.write.option("header", True)
+            getattr(writer, kind)(f"{path}/{name}/{drop}")
+        feeds[name] = [ledger.FileFeed(kind, f"{path}/{name}/{d}") for d in ("a", "[ab]")]
+    return feeds, i
+
+
+def _two_drops(spark, sf_dir):
+    """Both drops loaded one after the other, and the second once more (which loads nothing): the store and the timetable."""
+    feeds, timetable = _landed(spark, sf_dir)
+    out = shared_dir(spark, "two-drops")
+    for drop in (0, 1, 1):
+        store = run_load(spark, out, {n: f[drop] for n, f in feeds.items()}, timetable, FIXTURE_PARAMS)
+    return store, timetable
+
+
+@register("load_ledger")
+def load_ledger(spark, sf_dir):
+    """How far each feed has been loaded after two drops of files, the slower feed's late ones included."""
+    store, _ = _two_drops(spark, sf_dir)
+    return ledger.marks(store.read("load_ledger")).select("feed", "loads", "rows", "mark")
+
+
+@register("incremental_headway")
+def incremental_headway(spark, sf_dir):
+    """Headway after a second drop with late pings of every day, by the touched pieces alone: equals a full build."""
+    store, timetable = _two_drops(spark, sf_dir)
+    return tables(store, timetable)["headway"]
+
+
+@register("incremental_segments")
+def incremental_segments(spark, sf_dir):
+    """Segments after a second drop with late pings of every day, by the touched trips alone: equals a full build."""
+    store, timetable = _two_drops(spark, sf_dir)
+    return tables(store, timetable)["segments"]
+
+
+# Marts in one long form: their key columns as one text, and their measures.
+MART_FORMS = {
+    "line_speed": (["line"], ["num_measurements", "avg_speed_kmh", "min_speed_kmh", "max_speed_kmh"]),
+    "speed_by_hour": (["line", "hour_of_day"], ["measurements", "avg_speed_kmh", "median_speed_kmh", "pct_crawling"]),
+    "speed_grid": (["CAST(round(cell_lat * 1e6) AS BIGINT)", "CAST(round(cell_lon * 1e6) AS BIGINT)"],
+                   ["observations", "avg_speed_kmh", "median_speed_kmh", "pct_crawling", "modes"]),
+    "line_punctuality": (["line"], ["measurements", "avg_delay_min", "median_delay_min", "pct_on_time", "pct_late", "pct_early"]),
+    "punctuality_by_hour": (["hour_of_day"], ["measurements", "avg_delay_min", "median_delay_min", "pct_late", "avg_abs_deviation_min"]),
+    "worst_stops": (["stop_id", "stop_name"], ["measurements", "lines_served", "avg_delay_min", "max_delay_min", "pct_late"]),
+    "line_regularity": (["line"], ["observations", "avg_headway_min", "median_headway_min", "headway_stddev", "pct_bunched", "irregularity_index"]),
+    "slowest_segments": (["line", "from_stop", "to_stop"], ["observations", "avg_actual_min", "avg_scheduled_min", "avg_lost_min",
+                                                            "worst_lost_min", "pct_runs_over_schedule"]),
+}
+
+
+@register("incremental_marts")
+def incremental_marts(spark, sf_dir):
+    """Everything up to the last day loaded, then that day alone: every measure of every mart, from merged
+    states of days, equal to a full build."""
+    out, i = shared_dir(spark, "incremental-marts"), fixtures.transit_inputs(spark, sf_dir)
+    cut = F.lit("2024-01-30 00:00:00").cast("timestamp_ntz")
+    early = {**i, "positions_csv": i["positions_csv"].filter(S.try_timestamp("fetch_time") < cut),
+             "positions_parquet": i["positions_parquet"].filter(F.col("fetch_time") < cut)}
+    build_incremental(early, FIXTURE_PARAMS, out)
+    found = build_incremental(i, FIXTURE_PARAMS, out)
+    parts = []
+    for mart, (keys, measures) in MART_FORMS.items():
+        text = F.concat_ws("|", *[F.expr(k).cast("string") for k in keys])
+        each = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in measures]))
+        parts.append(found[mart].select(F.lit(mart).alias("mart"), text.alias("key"), each.alias("x")).select("mart", "key", "x.measure", "x.value"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @register("high_water_mark")
@@ -726,7 +805,7 @@ def stream_upsert(spark, sf_dir):
     q = (s.writeStream.foreachBatch(streams.upsert_sink(target)).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(target).filter(F.col("vehicle_number") != streams.CLOSING).select(*[c for c in ["fetch_time", "vehicle_time", "vehicle_number", "line",
+    return incremental.read_upserted(spark, target).filter(F.col("vehicle_number") != streams.CLOSING).select(*[c for c in ["fetch_time", "vehicle_time", "vehicle_number", "line",
                                                             "brigade", "vehicle_type", "lat", "lon"]])
 
 

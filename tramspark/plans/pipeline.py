@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tramspark.operators import headway as hw
 from tramspark.operators import marts, matching, movement, segments, staging
 from tramspark.session import shared_dir
+from tramspark.sources.store import Load, Store
 
 
 @dataclass(frozen=True)
@@ -69,19 +70,17 @@ FIXTURE_PARAMS = Params(as_of="2024-01-31", retention_days=31, regularity_max_av
 class Models:
     """Lazily built, memoised model DataFrames keyed by name."""
 
-    def __init__(self, inputs: dict, params: Params = FIXTURE_PARAMS, materialize_shared: bool = False,
-                 out_dir: str | None = None):
+    def __init__(self, inputs: dict, params: Params = FIXTURE_PARAMS, materialize_shared: bool = False):
         self.inputs = inputs
         self.p = params
         self.materialize_shared = materialize_shared
-        self.out_dir = out_dir
         self._cache: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
             df = getattr(self, f"_m_{name}")()
             if self.materialize_shared and name in SHARED_MODELS:
-                df = materialize(df, name, self.out_dir)
+                df = materialize(df, name)
             self._cache[name] = df
         return self._cache[name]
 
@@ -186,28 +185,33 @@ def register_views(models: "Models | dict", names: list[str] | None = None) -> N
 PARTITION_COLUMNS = {"positions": ("vehicle_date", "vehicle_time"), "matches": ("match_date", "actual_time")}
 
 
-def materialize(df: DataFrame, name: str, base: str | None = None) -> DataFrame:
-    """Write ``df`` as Parquet under the shared checkpoint folder, read it back.
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet into a fresh folder of the shared checkpoint folder, read it back.
 
     Models listed in ``PARTITION_COLUMNS`` are written partitioned by the date
     of their time column; the partition column is kept on the read-back frame
-    so downstream date filters prune folders.  A rebuild into the same folder
-    replaces the whole table, partitions that no longer occur included.
+    so downstream date filters prune folders.
     """
     spark = df.sparkSession
-    path = f"{base.rstrip('/')}/{name}" if base else shared_dir(spark, name)
+    path = shared_dir(spark, name)
     if name in PARTITION_COLUMNS:
         pcol, tcol = PARTITION_COLUMNS[name]
         # rebalance on the partition column: each date lands in few tasks
         # (AQE splits a very large date and merges small ones), so files per
         # date stay few and sized, instead of one file per task per date
-        (df.withColumn(pcol, F.to_date(tcol)).hint("rebalance", pcol)
-         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(pcol).parquet(path))
+        df.withColumn(pcol, F.to_date(tcol)).hint("rebalance", pcol).write.partitionBy(pcol).parquet(path)
     else:
-        df.write.mode("overwrite").parquet(path)
+        df.write.parquet(path)
     return spark.read.parquet(path)
 
 
+def put_model(load: Load, name: str, df: DataFrame) -> DataFrame:
+    """A model's table within a load (partitioned as in :func:`materialize`), read back."""
+    pcol, tcol = PARTITION_COLUMNS.get(name, (None, None))
+    load.put(name, df.withColumn(pcol, F.to_date(tcol)) if pcol else df, pcol)
+    return load.read(name)
+
+
 # Upstream models of each model (the graph's edges).
 DEPS = {
     "positions": [], "stops": [], "routes": [], "trips": [],
@@ -246,7 +250,10 @@ def _session_of(inputs: dict):
 def build_graph(inputs: dict, params: Params = FIXTURE_PARAMS, out_dir: str | None = None,
                 threads: int = 4, names: list[str] | None = None,
                 existing: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
-    """Write every table model once, ``threads`` models at a time.
+    """Write every table model once, ``threads`` models at a time, into the store at ``out_dir``.
+
+    The tables become visible together at the end; until then (and if the build
+    fails) readers of the store see the previous build.
 
     A model starts when all its upstream models are written; each reads its
     upstream tables (not their lineage).  Models in ``existing`` (already
@@ -259,7 +266,7 @@ def build_graph(inputs: dict, params: Params = FIXTURE_PARAMS, out_dir: str | No
     from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 
     spark = _session_of(inputs)
-    base = out_dir or shared_dir(spark, "models")
+    load = Store(spark, out_dir or shared_dir(spark, "models")).begin()
     m = Models(inputs, params)
     existing = dict(existing or {})
     for n, df in existing.items():
@@ -289,7 +296,7 @@ def build_graph(inputs: dict, params: Params = FIXTURE_PARAMS, out_dir: str | No
         df = m[n]
         if n in VIEWS:
             return n, df
-        out = materialize(df, n, base)
+        out = put_model(load, n, df)
         timings[n] = (round(t0 - start, 2), round(time.time() - start, 2))
         return n, out
 
@@ -308,52 +315,6 @@ def build_graph(inputs: dict, params: Params = FIXTURE_PARAMS, out_dir: str | No
                 m.put(n, df)
                 tables[n] = df
                 done.add(n)
+    load.commit()
     build_graph.last_timings = timings
     return tables
-
-
-LOAD_LOG = "_load_log"
-
-
-def build_incremental(inputs: dict, params: Params = FIXTURE_PARAMS, out_dir: str = "", threads: int = 4,
-                      load_id: str = "load", strategy: str = "first_wins") -> dict[str, DataFrame]:
-    """One incremental run into ``out_dir`` (a full build if there is none yet).
-
-    Positions: only raw rows fetched after the load log's high-water mark are
-    cleaned and merged by (vehicle, time).  Matches: only positions newer than
-    the newest matched ping are matched and replace rows of their (vehicle,
-    time).  Both rewrite the touched dates alone.  Models downstream of them
-    are rebuilt from the two tables.
-    """
-    from tramspark.functions.scalar import try_timestamp
-    from tramspark.operators import incremental
-    from tramspark.session import path_exists
-
-    spark, base = _session_of(inputs), out_dir.rstrip("/")
-    log, pos_path, match_path = f"{base}/{LOAD_LOG}", f"{base}/positions", f"{base}/matches"
-    if not path_exists(spark, log):
-        tables = build_graph(inputs, params, base, threads)
-        incremental.append_load_log(tables["positions"], log, "fetch_time", load_id)
-        return tables
-    mark = spark.read.parquet(log)
-    fresh = dict(inputs)
-    if inputs.get("positions_csv") is not None:
-        text = inputs["positions_csv"]
-        fresh["positions_csv"] = incremental.newer_than_target(
-            text.withColumn("__fetched", try_timestamp("fetch_time")), mark, "__fetched", "fetch_time").drop("__fetched")
-    if inputs.get("positions_parquet") is not None:
-        fresh["positions_parquet"] = incremental.newer_than_target(inputs["positions_parquet"], mark, "fetch_time")
-    batch = Models(fresh, params)["positions"].withColumn("vehicle_date", F.to_date("vehicle_time"))
-    positions = incremental.write_upsert(spark, pos_path, batch, ["vehicle_number", "vehicle_time"],
-                                         ["fetch_time", "lat", "lon"], "vehicle_date", strategy)
-    dims = build_graph(inputs, params, base, threads, ["stop_times", "trips", "routes", "stops"], {"positions": positions})
-    m = Models(inputs, params)
-    for n, df in dims.items():
-        m.put(n, df)
-    m.put("positions", incremental.newer_than_target(positions, spark.read.parquet(match_path), "vehicle_time", "actual_time"))
-    found = m["matches"].withColumn("match_date", F.to_date("actual_time"))
-    matches = incremental.write_upsert(spark, match_path, found, ["vehicle_number", "actual_time"], [], "match_date",
-                                       "delete_insert")
-    incremental.append_load_log(positions, log, "fetch_time", load_id)
-    rest = [n for n in MODEL_ORDER if n not in dims and n != "matches"]
-    return build_graph(inputs, params, base, threads, rest, {**dims, "matches": matches})

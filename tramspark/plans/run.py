@@ -7,7 +7,7 @@
 Reads the legacy CSV drops and the typed Parquet batches (either may be
 omitted), the four timetable text files from one folder, and writes every
 table model under ``--out`` (views stay views).  With ``--incremental`` only
-what is newer than the last load is merged (the first such run builds all).
+files that were not loaded before are merged (the first such run builds all).
 """
 
 from __future__ import annotations
@@ -16,7 +16,9 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tramspark.plans.pipeline import Params, build_graph, build_incremental
+from tramspark.operators.ledger import FileFeed
+from tramspark.plans.incremental import build_incremental
+from tramspark.plans.pipeline import Params, build_graph
 from tramspark.sources import files
 
 
@@ -43,15 +45,19 @@ def main(argv=None) -> None:
     ap.add_argument("--as-of", required=True, help="reference date for retention windows (YYYY-MM-DD)")
     ap.add_argument("--retention-days", type=int, default=2)
     ap.add_argument("--threads", type=int, default=4)
-    ap.add_argument("--incremental", action="store_true", help="merge what is newer than the last load into --out")
-    ap.add_argument("--load-id", default="load", help="name of this load in the load log")
+    ap.add_argument("--incremental", action="store_true", help="load the files that --out does not hold yet")
+    ap.add_argument("--strategy", choices=["first_wins", "delete_insert"], default="first_wins",
+                    help="a later poll of a ping is dropped, or replaces the earlier one")
+    ap.add_argument("--full-refresh", action="store_true", help="with --incremental: load all files and rebuild every table")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("tramspark-run").getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     params = Params(as_of=a.as_of, retention_days=a.retention_days)
     inputs = inputs_from_files(spark, a.positions_csv, a.positions_parquet, a.gtfs)
     if a.incremental:
-        build_incremental(inputs, params, a.out, a.threads, a.load_id)
+        for name, path, kind in (("positions_csv", a.positions_csv, "csv"), ("positions_parquet", a.positions_parquet, "parquet")):
+            inputs[name] = FileFeed(kind, path) if path else None
+        build_incremental(inputs, params, a.out, a.threads, a.strategy, a.full_refresh)
     else:
         build_graph(inputs, params, a.out, threads=a.threads)
 
