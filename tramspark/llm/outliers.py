@@ -3,21 +3,27 @@
 Base counts of every whole text give five transformed statistics, held in
 whole thousandths so that all sums are exact and independent of the order.
 For each group (language, source) the minimum-covariance-determinant estimate
-is found by concentration steps: from medians and quartile ranges, take the
-``COVERAGE`` of the rows with the smallest Mahalanobis distances, take their
-mean and covariance, and repeat.  A last step re-weights: all rows within the
-``WEIGHT_QUANTILE`` of the raw estimate count.  Rows beyond the
-``REJECT_QUANTILE`` of the final one are rejected.
+is found by concentration steps: take the ``COVERAGE`` of the rows with the
+smallest Mahalanobis distances, take their mean and covariance, and repeat.
+There are two starts, medians with quartile ranges and the moments of all rows;
+after ``TRIALS`` steps each, a group goes on from the one with the smaller
+determinant.  A last step re-weights: all rows within the ``WEIGHT_QUANTILE`` of
+the raw estimate count.  Rows beyond the ``REJECT_QUANTILE`` of the final one
+are rejected.
+
+Small groups lean on larger ones without a border: to every estimate ``PRIOR``
+rows with the moments of the group's language are added, and to the language's
+as many with those of the whole table; where the coverage is reached is decided
+alike.  A group of three rows is judged nearly by its language, one of thousands
+by its own.
 
 One step is one aggregation: rows are counted and summed per (group, class of
-distance), running sums over the classes give the moments of every nested
-subset, and the class at which the coverage is reached picks one.  A hot group
-is thus pre-aggregated before the shuffle like any other.
+distance), and the classes up to the one at which the coverage is reached are
+added up.  A hot group is thus pre-aggregated before the shuffle like any other.
 
 Rules: a null text has no words; null language or source form a group
-``(none)``; rows that fail the base rules take no part in the estimates;
-sources with fewer than ``MIN_ROWS`` other rows are estimated together per
-language, and where even these are fewer nothing is rejected; repeated rows
+``(none)``; rows that fail the base rules take no part in the estimates and have
+no distance; all others have one, however small their group; repeated rows
 count as often as they occur; an empty table gives an empty result.
 """
 
@@ -35,10 +41,11 @@ WORD = r"[^\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
 MIN_WORDS, MAX_REPEAT = 50, 50      # base rules: fewest words, largest percentage of words in repeated windows
 COVERAGE = 0.75                     # share of a group's rows in the concentrated subset
-STEPS = 5                           # concentration steps
+STEPS = 5                           # concentration steps, those of the trials included
+TRIALS = 2
 WEIGHT_QUANTILE = 0.975
 REJECT_QUANTILE = 1 - 1e-7
-MIN_ROWS = 50
+PRIOR = 50.0                        # rows that a group's language, and its language's table, count for
 # Least standard deviations (thousandths): log words, log word length, log symbols, log repeated lines, log repeated words.
 # Each is below what its statistic can deviate by over the root of the rejection limit (6.4), so each alone can reject: log
 # repeated words of a row that passes the base rules is at most log 51, 3930 thousandths.
@@ -143,7 +150,8 @@ def _whitened(facts: DataFrame) -> DataFrame:
                 continue
             inner = sum((F.col(f"l{i}{k}") * F.col(f"w{k}{j}") for k in range(j, i)), F.lit(0.0))
             out = out.withColumn(f"w{i}{j}", -inner / F.col(f"l{i}{i}"))
-    return out.select("group", "n", *[f"c{i}" for i in range(1, P + 1)], *[f"w{i}{j}" for i, j in _pairs()])
+    det = sum((F.log(f"l{i}{i}") for i in range(1, P + 1)), F.lit(0.0))
+    return out.select("group", "lang", "n", det.alias("det"), *[f"c{i}" for i in range(1, P + 1)], *[f"w{i}{j}" for i, j in _pairs()])
 
 
 def _distance() -> Column:
@@ -158,70 +166,111 @@ def _class(distance: Column) -> Column:
     return F.floor(F.log(F.greatest(distance, F.lit(1e-4))) * CLASSES).cast("int")
 
 
+def _lean(groups: DataFrame, weight: str, values: list[str]) -> DataFrame:
+    """``values`` (sums over ``weight`` rows) of every group with ``PRIOR`` rows of its language added, of which in turn the
+    table's share is mixed in; ``weight`` grows alike."""
+    whole = groups.agg(*[F.sum(c).cast("double").alias(c) for c in (weight, *values)]).first()
+    total = whole[weight] or 1.0
+    langs = groups.groupBy("lang").agg(F.count("*").alias("k"), *[F.sum(c).cast("double").alias(f"up_{c}") for c in (weight, *values)])
+    langs = common.stored(langs.select("lang", "k", *[
+        ((F.col(f"up_{c}") + F.lit(PRIOR * (whole[c] or 0.0) / total)) / (F.col(f"up_{weight}") + F.lit(PRIOR))).alias(f"up_{c}")
+        for c in values]), "languages")
+    joined = common.with_facts(groups, langs, ["lang"], "k", F.col("group"))
+    return joined.select(*[c for c in groups.columns if c not in (weight, *values)], (F.col(weight) + F.lit(PRIOR)).alias(weight),
+                         *[(F.col(c) + F.lit(PRIOR) * F.col(f"up_{c}")).alias(c) for c in values])
+
+
 def _start(rows: DataFrame) -> DataFrame:
     """Medians and quartile ranges per group from counts of each statistic's values."""
-    values = rows.select("group", F.explode(F.array(*[
+    values = rows.select("group", "lang", F.explode(F.array(*[
         F.struct(F.lit(i).alias("k"), F.floor(F.col(f"z{i}") / 10).alias("v")) for i in range(1, P + 1)])).alias("e"))
-    counts = values.groupBy("group", "e.k", "e.v").agg(F.count("*").alias("m"))
+    counts = values.groupBy("group", "lang", "e.k", "e.v").agg(F.count("*").alias("m"))
     w = Window.partitionBy("group", "k")
     upto = counts.withColumn("upto", F.sum("m").over(w.orderBy("v"))).withColumn("n", F.sum("m").over(w))
-    q = upto.groupBy("group", "k").agg(*[F.min(F.when(F.col("upto") >= F.col("n") * share, F.col("v") * 10)).alias(name)
-                                         for share, name in ((0.25, "a"), (0.5, "b"), (0.75, "d"))], F.first("n").alias("n"))
-    wide = q.groupBy("group").agg(F.max("n").alias("n"), *[
-        F.max(F.when(F.col("k") == i, x)).cast("double").alias(f"{name}{i}")
-        for i in range(1, P + 1) for name, x in (("c", F.col("b")), ("s", (F.col("d") - F.col("a")) / 1.349))])
-    return wide.select("group", "n", *[f"c{i}" for i in range(1, P + 1)], *[
-        (F.pow(f"s{i}", F.lit(2.0)) + FLOORS[i - 1] ** 2 if i == j else F.lit(0.0)).alias(f"v{i}{j}") for i, j in _pairs()])
-
-
-def _moments(rows: DataFrame, facts: DataFrame, limit: Column, factor: float) -> DataFrame:
-    """Centre and covariance of each group's rows up to the class of distance that ``limit`` picks."""
+    q = upto.groupBy("group", "lang", "k").agg(*[F.min(F.when(F.col("upto") >= F.col("n") * share, F.col("v") * 10)).alias(name)
+                                                 for share, name in ((0.25, "a"), (0.5, "b"), (0.75, "d"))], F.first("n").alias("n"))
+    names = [f"{x}{i}" for i in range(1, P + 1) for x in ("c", "s")]
+    # centres and squared ranges as sums over the group's rows, so that they lean like moments
+    wide = common.stored(q.groupBy("group", "lang").agg(F.max("n").alias("n"), F.max("n").cast("double").alias("m"), *[
+        F.max(F.when(F.col("k") == i, x * F.col("n"))).cast("double").alias(f"{name}{i}")
+        for i in range(1, P + 1) for name, x in (("c", F.col("b")), ("s", F.pow((F.col("d") - F.col("a")) / 1.349, F.lit(2.0))))]), "starts")
+    leaned = _lean(wide, "m", names)
+    return leaned.select("group", "lang", "n", *[(F.col(f"c{i}") / F.col("m")).alias(f"c{i}") for i in range(1, P + 1)], *[
+        (F.col(f"s{i}") / F.col("m") + FLOORS[i - 1] ** 2 if i == j else F.lit(0.0)).alias(f"v{i}{j}") for i, j in _pairs()])
+
+
+def _shares_before(classes: DataFrame) -> DataFrame:
+    """(lang, class, before, k): the share of a language's rows in lower classes, ``PRIOR`` rows of the table's shares added."""
+    langs = classes.groupBy("lang", "class").agg(F.sum("m").alias("m"), F.count("*").alias("k"))
+    up = Window.orderBy("class").rowsBetween(Window.unboundedPreceding, -1)     # a few hundred classes
+    table = langs.groupBy("class").agg(F.sum("m").alias("m"))
+    total = table.agg(F.sum("m").alias("n")).first()["n"] or 1
+    table = table.select("class", (F.coalesce(F.sum("m").over(up), F.lit(0)) / F.lit(float(total))).alias("table_before"))
+    w = Window.partitionBy("lang")
+    lower = F.coalesce(F.sum("m").over(w.orderBy("class").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shares = langs.withColumns({"lower": lower, "of": F.sum("m").over(w)}).join(F.broadcast(table), "class")
+    return shares.select("lang", "class", "k", ((F.col("lower") + F.lit(PRIOR) * F.col("table_before")) / (F.col("of") + F.lit(PRIOR))).alias("before"))
+
+
+def _moments(rows: DataFrame, facts: DataFrame, which: str, factor: float) -> DataFrame:
+    """Centre and covariance of each group's rows in the classes of distance that ``which`` picks.
+
+    ``all``; ``covered``: classes before which less than ``COVERAGE`` of the group's rows lie, ``PRIOR`` rows spread like
+    its language's counted in (so many outliers in a small group do not pass for its core); ``near``: classes within the
+    ``WEIGHT_QUANTILE``.
+    """
     sums = [F.count("*").alias("m"), *[F.sum(f"z{i}").alias(f"s{i}") for i in range(1, P + 1)],
             *[F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"q{i}{j}") for i, j in _pairs()]]
     near = common.with_facts(rows, facts, ["group"], "n", F.col("uid")).withColumn("class", _class(_distance()))
-    by_class = near.groupBy("group", "class").agg(F.first("n").alias("n"), *sums)
+    classes = common.stored(near.groupBy("group", "lang", "class").agg(F.first("n").alias("n"), *sums), "classes")
+    if which == "covered":
+        shares = common.stored(_shares_before(classes), "shares")
+        lower = F.coalesce(F.sum("m").over(Window.partitionBy("group").orderBy("class").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        classes = common.with_facts(classes.withColumn("lower", lower), shares, ["lang", "class"], "k", F.col("group"))
+        inside = F.col("lower") + F.lit(PRIOR) * F.col("before") < F.lit(COVERAGE) * (F.col("n") + F.lit(PRIOR))
+    else:
+        edge = math.floor(math.log(chi2_quantile(WEIGHT_QUANTILE, P)) * CLASSES)
+        inside = F.col("class") <= edge if which == "near" else F.lit(True)
     names = ["m", *[f"s{i}" for i in range(1, P + 1)], *[f"q{i}{j}" for i, j in _pairs()]]
-    w = Window.partitionBy("group").orderBy("class")
-    nested = by_class.select("group", "class", "n", *[F.sum(c).over(w).alias(c) for c in names])
-    chosen = (nested.withColumn("fits", limit).groupBy("group")
-              .agg(F.min(F.when(F.col("fits"), F.struct("class", "n", *names))).alias("in"), F.max(F.struct("class", "n", *names)).alias("all"))
-              .select("group", F.coalesce("in", "all").alias("x")).select("group", "x.*"))
-    m = F.col("m").cast("double")
+    chosen = classes.groupBy("group", "lang").agg(F.first("n").alias("n"), *[
+        F.sum(F.when(inside, F.col(c)).otherwise(F.lit(0))).cast("double").alias(c) for c in names])
+    leaned = _lean(common.stored(chosen, "moments"), "m", names[1:])
+    m = F.col("m")
     mean = {i: F.col(f"s{i}") / m for i in range(1, P + 1)}
-    out = chosen.select("group", "n", *[mean[i].alias(f"c{i}") for i in range(1, P + 1)], *[
+    out = leaned.select("group", "lang", "n", *[mean[i].alias(f"c{i}") for i in range(1, P + 1)], *[
         ((F.col(f"q{i}{j}") / m - mean[i] * mean[j]) * factor + (FLOORS[i - 1] ** 2 if i == j else 0.0)).alias(f"v{i}{j}")
         for i, j in _pairs()])
     return common.stored(_whitened(out), "estimates")
 
 
 def estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
-    """Robust centre and whitening matrix of each group of ``rows`` (written table: group, uid, z1..z5)."""
-    facts = common.stored(_whitened(_start(rows)), "estimates")
-    covered = F.col("m") >= F.ceil(F.col("n") * F.lit(COVERAGE))
-    for _ in range(steps):
-        facts = _moments(rows, facts, covered, consistency(COVERAGE))
-    edge = math.floor(math.log(chi2_quantile(WEIGHT_QUANTILE, P)) * CLASSES)
-    # the last class within the quantile: the first whose next one would lie beyond
-    last = F.coalesce(F.lead("class").over(Window.partitionBy("group").orderBy("class")), F.lit(1 << 30)) > edge
-    return _moments(rows, facts, last, consistency(WEIGHT_QUANTILE))
+    """Robust centre and whitening matrix of each group of ``rows`` (written table: group, lang, uid, z1..z5)."""
+    first = common.stored(_whitened(_start(rows)), "estimates")
+    rows = rows.drop("lang")
+    trials = [first, _moments(rows, first, "all", 1.0)]
+    for k, facts in enumerate(trials):
+        for _ in range(TRIALS):
+            facts = _moments(rows, facts, "covered", consistency(COVERAGE))
+        trials[k] = facts
+    # the smaller determinant of each group; of equal ones the first start's
+    both = trials[0].withColumn("start", F.lit(0)).unionByName(trials[1].withColumn("start", F.lit(1)))
+    rest = [c for c in trials[0].columns if c not in ("group", "det")]
+    facts = common.stored(both.groupBy("group").agg(F.min(F.struct("det", "start", *rest)).alias("x")).select(
+        "group", "x.det", *[f"x.{c}" for c in rest]), "estimates")
+    for _ in range(steps - TRIALS):
+        facts = _moments(rows, facts, "covered", consistency(COVERAGE))
+    return _moments(rows, facts, "near", consistency(WEIGHT_QUANTILE))
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          source_col: str = "source", min_rows: int = MIN_ROWS) -> DataFrame:
+          source_col: str = "source") -> DataFrame:
     """(id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, distance, kept) of every row."""
     base = base_counts(docs, id_col, text_col, lang_col, source_col)
-    base = common.stored(base.select("*", *_statistics(), F.monotonically_increasing_id().alias("uid")), "base-counts")
-    sizes = base.groupBy("lang", "source").agg(F.count("*").alias("docs"), F.sum((~F.col("base_failed")).cast("long")).alias("good"))
-    pooled = F.sum(F.when(F.col("good") < min_rows, F.col("good")).otherwise(0)).over(Window.partitionBy("lang"))
-    named = F.to_json(F.array("lang", F.when(F.col("good") >= min_rows, F.col("source"))), {"ignoreNullFields": "false"})
-    groups = common.stored(sizes.withColumn("pooled", pooled).select(
-        "lang", "source", "docs", F.when((F.col("good") >= min_rows) | (F.col("pooled") >= min_rows), named)
-        .otherwise("").alias("group")), "quality-groups")
-    rows = common.stored(common.with_facts(base, groups, ["lang", "source"], "docs", F.col("uid"))
-                         .withColumn("group", F.when(F.col("base_failed"), "").otherwise(F.col("group"))), "quality-rows")
-    judged = rows.filter("group <> ''").select("group", "uid", *[f"z{i}" for i in range(1, P + 1)])
+    rows = common.stored(base.select("*", *_statistics(), F.monotonically_increasing_id().alias("uid"),
+                                     F.to_json(F.array("lang", "source")).alias("group")), "base-counts")
+    judged = rows.filter("NOT base_failed").select("group", "lang", "uid", *[f"z{i}" for i in range(1, P + 1)])
     facts = estimates(judged)
-    far = common.with_facts(judged, facts, ["group"], "n", F.col("uid")).select("uid", _distance().alias("distance"))
+    far = common.with_facts(judged.drop("lang"), facts, ["group"], "n", F.col("uid")).select("uid", _distance().alias("distance"))
     limit = chi2_quantile(REJECT_QUANTILE, P)
     return (rows.join(far, "uid", "left")
             .select("id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance",
