@@ -76,6 +76,45 @@ def test_page_in_one_form(body):
     assert got == "\n".join(["Title", PARA.strip(), PARA.strip()])
 
 
+LINE = "thirty characters of real text"
+CHINESE = "市议会周二开会讨论新的有轨电车线路经过长时间辩论后投票决定采用北部路线并于明年春天"
+
+
+@pytest.mark.parametrize("lines", [[f"{LINE} {i}" for i in range(20)], [CHINESE + str(i) for i in range(6)]])
+def test_short_lines_in_one_form_are_the_text(lines):
+    body = "".join(f"<p>{x}</p>" for x in lines)
+    assert html_text.main_text(f"<body><div class=top-bar>Site</div><form runat=server><input type=hidden><div>{body}</div>"
+                               "<button>Send</button></form></body>").split("\n")[-len(lines):] == lines
+    # a form of labels and controls goes, whatever the length of its lines
+    signup = f"<form><p>{PARA}</p><label>Name</label><input><label>Mail</label><input><button>Send</button></form>"
+    assert html_text.main_text(f"<body><div>{body}</div>{signup}</body>").split("\n") == lines
+
+
+@pytest.mark.parametrize("wrap", [
+    '<div class="layout has-sidebar"><article>{}</article></div>', '<article class="post comments-open">{}</article>',
+    '<article class="post category-advertising">{}</article>', '<div class="menu-open">{}</div>', '<main><div id="no-footer">{}</div></main>',
+    '<div class="page-with-ads"><div class="menu-open">{}</div></div>'])
+def test_names_that_only_mention_chrome_hide_nothing(wrap):
+    body = f"<h1>Title</h1><p>{PARA}</p><div class=sidebar>{PARA * 2}</div><p>{PARA}</p><div class='comment-list'><p>{PARA * 9}</p></div>"
+    got = html_text.main_text("<body>" + wrap.format(body) + '<div class="copyright">All rights</div></body>')
+    assert got == "\n".join(["Title", PARA.strip(), PARA.strip()])
+
+
+def test_mentions_hide_small_boxes_beside_an_article():
+    page = (f'<body><article><h1>T</h1><p>{PARA * 2}</p></article><div class="sidebar-latest"><p>{PARA * 4}</p></div>'
+            f'<article class="comment"><p>{PARA}</p></article><div class="cookie-info"><p>{PARA}</p></div></body>')
+    assert html_text.main_text(page) == "T\n" + (PARA * 2).strip()
+
+
+def test_the_threshold_decides_on_link_lines_inside_the_article(monkeypatch):
+    steps = "<div>" + " ".join(f'<a href="/{i}">Part {i}</a>' for i in range(9)) + "</div>"
+    page = f"<body><article><h1>T</h1><p>{PARA * 3}</p><p>{PARA * 3}</p>{steps * 3}<p>{PARA * 2}</p><p>{PARA}</p></article></body>"
+    want = "\n".join(["T", *[(PARA * k).strip() for k in (3, 3, 2, 1)]])
+    assert html_text.main_text(page) == want
+    monkeypatch.setattr(html_text, "threshold", lambda values: -1.0)
+    assert html_text.main_text(page) != want
+
+
 def test_header_of_an_article_in_deep_markup():
     deep = "<div>" * 60
     got = html_text.main_text(f"<body><header>Site</header><article>{deep}<header><h1>Title</h1></header><p>{PARA}</p></article></body>")

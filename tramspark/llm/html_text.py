@@ -6,8 +6,13 @@ tags inside and how much of it is link text.  The text-to-tag ratios of the
 lines are smoothed by a Gaussian over neighbouring lines, and two-means
 clustering of the smoothed values gives the threshold of content.  Lines of
 elements that hold no article by their markup (menus, page headers, footers,
-sidebars, notices, adverts, forms without long text, comments, scripts) count as ratio 0 and are
-never content.  If ``article`` and ``main`` elements hold most of the content
+sidebars, notices, adverts, forms, comments, scripts) count as ratio 0 and are
+never content.  A form is hidden if it has more controls than lines of text of
+its own.  A class name hides an element if it names it (``sidebar``,
+``comment-list``); a name that only mentions such a word (``has-sidebar``,
+``comments-open``) does not hide an article, nor an element that holds more text
+than the rest of the page.  Lines of links alone go if they lie below the
+threshold, inside an article too.  If ``article`` and ``main`` elements hold most of the content
 lines, all lines shown in those that hold any are the text, so a short
 paragraph between long ones stays.  Else the text lies in the innermost
 container that holds all content lines: everything from the first to the last
@@ -16,7 +21,9 @@ first and last paragraphs stay too.
 
 Rules: null html is an empty page; a page without content gives the empty
 text; broken or cut markup is read as far as it goes; references are decoded;
-white space inside a block becomes one blank, blocks are joined by ``\\n``.
+white space inside a block becomes one blank, blocks are joined by ``\\n``; a
+repeated row is extracted again; an empty table gives an empty result; other
+columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -33,7 +40,6 @@ from pyspark.sql import functions as F
 FEED = 1 << 16          # characters given to the parser at once
 SIGMA = 1.0             # of the Gaussian, in lines
 LINK_SHARE = 0.75       # a list line with at least this share of link text is a menu line
-FORM_TEXT = 80          # a form with a line of so many characters outside links is part of the page's text
 HOLDS = 0.6             # share of the content that article and main elements must hold to decide
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -46,17 +52,36 @@ HIDDEN = frozenset("""head title script style noscript template nav footer aside
 # start of one of these ends an open paragraph
 SCOPE = frozenset("article aside body div footer form header html li main nav section table td th ul ol blockquote".split())
 SAME = frozenset("li dt dd td th tr option p".split())
-CHROME = re.compile(r"""(?:^|[\s_-])(?:ads?|advert\w*|advertisement|sponsor\w*|promo\w*|banner|sidebar|side|menu|nav|navbar|
-    navigation|breadcrumbs?|footer|foot|masthead|topbar|comments?|commentlist|respond|replies|disqus|share|sharing|social|
+CHROME = re.compile(r"""ads?|advert\w*|sponsor\w*|promo\w*|banner|sidebar|side|menu|nav|navbar|navigation|
+    breadcrumbs?|footer|foot|masthead|topbar|comments?|commentlist|respond|replies|disqus|share|sharing|social|
     cookies?|consent|gdpr|notice|notification|alert|newsletter|subscribe|signup|popup|modal|overlay|related|recommended|
-    recommendations|widget|pagination|pager|login|search|toolbar|copyright|legal|disclaimer|skip|hidden|teaser)(?:$|[\s_-]|\d)""",
-                    re.X | re.I)
-HEADER = re.compile(r"(?:^|[\s_-])header(?:$|[\s_-])", re.I)
+    recommendations|widget|pagination|pager|login|search|toolbar|copyright|legal|disclaimer|skip|hidden|teaser""", re.X | re.I)
+# words that say what kind of box it is, not what it holds
+BOX = frozenset("""list section box area block wrapper wrap container bar panel content body item items text inner outer
+    thread form top bottom left right main primary secondary left1 small large""".split())
+# of an article's own class names only these hide it
+APART = re.compile(r"comments?|teaser|related|promo\w*|sponsor\w*|advert\w*", re.I)
+HEADER = re.compile("header", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar status".split())
 # elements that divide a page; others (quotations, lists, sections) are parts of a text
 CONTAINER = frozenset("article main body div td".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+CONTROLS = frozenset("button select textarea".split())
+LABELS = frozenset("label legend option summary".split())
 SKIPPED, CHROMY, SHOWN = 2, 1, 0
+NAMED, MENTIONED = 2, 1     # how a class name speaks of an element that is no text
+
+
+def _names(value: str, words: re.Pattern) -> int:
+    """Whether some name in a class or id is made of such words (NAMED) or has one among others (MENTIONED)."""
+    most = 0
+    for token in value.split():
+        parts = [p.rstrip("0123456789") for p in re.split(r"[_-]+", token) if p.rstrip("0123456789")]
+        hits = [bool(words.fullmatch(p)) for p in parts]
+        if any(hits):
+            known = all(h or p.lower() in BOX for h, p in zip(hits, parts, strict=True))
+            most = max(most, NAMED if known else MENTIONED)
+    return most
 
 
 class Lines(HTMLParser):
@@ -64,8 +89,10 @@ class Lines(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.tags, self.parents, self.state = ["#root"], [0], [SHOWN]
+        self.tags, self.parents, self.state, self.own = ["#root"], [0], [SHOWN], [SHOWN]    # state: the worst of own and all around
         self.open = [0]
+        self.mentioned: set[int] = set()    # elements hidden by a name that only mentions a word
+        self.controls: list[int] = []       # the elements that hold a visible control
         self.links = self.articles = 0      # open elements
         self.lines: list[tuple[str, int, int, int]] = []     # text, tags, link characters, element
         self.text, self.n_tags, self.link_chars, self.at = [], 0, 0, 0
@@ -97,36 +124,44 @@ class Lines(HTMLParser):
         elif tag == "br":
             self.text.append(" ")
         self.n_tags += 1
+        if tag in CONTROLS or (tag == "input" and ("type", "hidden") not in attrs):
+            self.controls.append(self.open[-1])
         if tag in VOID:
             return
-        state = max(self.state[self.open[-1]], self._kind(tag, attrs))
+        kind, only_mentioned = self._kind(tag, attrs)
+        if only_mentioned:
+            self.mentioned.add(len(self.tags))
+        state = max(self.state[self.open[-1]], kind)
         self.tags.append(tag)
         self.parents.append(self.open[-1])
         self.state.append(state)
+        self.own.append(kind)
         self.open.append(len(self.tags) - 1)
         self.links += tag == "a"
         self.articles += tag in ("article", "main")
 
-    def _kind(self, tag, attrs) -> int:
+    def _kind(self, tag, attrs) -> tuple[int, bool]:
+        """State of an element, and whether it is hidden by a name that only mentions a word."""
         if tag in HIDDEN:
-            return SKIPPED
+            return SKIPPED, False
         inside = self.articles > 0
         if tag == "header" and not inside:
-            return SKIPPED
+            return SKIPPED, False
+        named = 0
         for key, value in attrs:
             value = value or ""
             if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
-                return SKIPPED
+                return SKIPPED, False
             if key == "role" and value.lower() in ROLES:
-                return SKIPPED
+                return SKIPPED, False
             if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                return SKIPPED
-            if key in ("class", "id") and tag not in ("html", "body", "article", "main", *HEADINGS):
-                if CHROME.search(value) or (HEADER.search(value) and not inside):
-                    return CHROMY
-            if key in ("class", "id") and tag == "article" and re.search(r"comment|teaser|related|promo|sponsor|advert", value, re.I):
-                return CHROMY
-        return SHOWN
+                return SKIPPED, False
+            if key in ("class", "id"):
+                if tag == "article":
+                    named = max(named, NAMED if _names(value, APART) == NAMED else 0)
+                elif tag not in ("html", "body", "main", *HEADINGS):
+                    named = max(named, _names(value, CHROME), 0 if inside else _names(value, HEADER))
+        return (CHROMY if named else SHOWN), named == MENTIONED
 
     def handle_endtag(self, tag):
         if tag in BLOCK:
@@ -183,6 +218,7 @@ def main_text(html: str | None) -> str:
     page.finish()
     lines = page.lines
     _hide_forms(page)
+    _release(page)
     shown = [i for i, x in enumerate(lines) if page.state[x[3]] == SHOWN]
     if not shown:       # a page that is chrome by its class names alone: its text is all there is
         shown = [i for i, x in enumerate(lines) if page.state[x[3]] == CHROMY and _semantic(page, x[3])]
@@ -220,27 +256,54 @@ def main_text(html: str | None) -> str:
                and (content[0] <= i <= content[-1] or container[lines[i][3]] in on_path)]
         lead = [i for i in shown if i < content[0] and inside[lines[i][3]] and page.tags[lines[i][3]] in HEADINGS]
         out = sorted({*lead[-1:], *out})
-    return "\n".join(lines[i][0] for i in out if not _menu(page, lines[i]))
+    return "\n".join(lines[i][0] for i in out if not _menu(page, lines[i], smoothed[i] < cut))
 
 
 def _hide_forms(page: Lines) -> None:
-    """Hides forms that hold no article, title or long text of no links; one around a whole page is shown."""
+    """Hides forms that hold no article or title and no more lines of text (labels and links apart) than controls."""
     if "form" not in page.tags:
         return
-    form, kept = [0] * len(page.tags), set()
+    form, label, kept = [0] * len(page.tags), [False] * len(page.tags), set()
     for e in range(1, len(page.tags)):
         form[e] = e if page.tags[e] == "form" else form[page.parents[e]]
+        label[e] = page.tags[e] in LABELS or label[page.parents[e]]
         if page.tags[e] in ("article", "main", "h1"):
             kept.add(form[e])
+    balance = dict.fromkeys(form, 0)
+    for e in page.controls:
+        balance[form[e]] -= 1
     for text, _, links, e in page.lines:
-        if page.state[e] == SHOWN and len(text) - links >= FORM_TEXT:
-            kept.add(form[e])
+        if page.state[e] == SHOWN and not label[e] and links < LINK_SHARE * len(text):
+            balance[form[e]] += 1
+    kept |= {f for f, n in balance.items() if n > 0}
     for e in range(len(form) - 1, 0, -1):       # and the forms around them
         if page.tags[e] == "form" and e in kept:
             kept.add(form[page.parents[e]])
     for e in range(1, len(page.tags)):
-        if (page.tags[e] == "form" and e not in kept) or page.state[page.parents[e]] == SKIPPED:
-            page.state[e] = SKIPPED
+        if page.tags[e] == "form" and e not in kept:
+            page.own[e] = SKIPPED
+        page.state[e] = max(page.state[page.parents[e]], page.own[e])
+
+
+def _release(page: Lines) -> None:
+    """Shows elements whose names only mention a hiding word if they hold more text than all that is shown, and no
+    article outside holds a fair part of it (a fifth)."""
+    if not page.mentioned:
+        return
+    n = len(page.tags)
+    chars = [0] * n
+    for text, _, links, e in page.lines:
+        chars[e] += len(text) - links
+    marked = _marked(page)
+    shown = sum(c for e, c in enumerate(chars) if page.state[e] == SHOWN)
+    article = sum(c for e, c in enumerate(chars) if page.state[e] == SHOWN and marked[e])
+    for e in range(n - 1, 0, -1):       # inner elements first; what they show counts for those around them
+        if e in page.mentioned and page.own[e] == CHROMY and chars[e] > shown and 5 * article < chars[e]:
+            page.own[e] = SHOWN
+        if page.own[e] == SHOWN:
+            chars[page.parents[e]] += chars[e]
+    for e in range(1, n):
+        page.state[e] = max(page.state[page.parents[e]], page.own[e])
 
 
 def _semantic(page: Lines, e: int) -> bool:
@@ -251,10 +314,15 @@ def _semantic(page: Lines, e: int) -> bool:
     return False
 
 
-def _menu(page: Lines, line: tuple[str, int, int, int]) -> bool:
+def _menu(page: Lines, line: tuple[str, int, int, int], low: bool) -> bool:
+    """A line of links: in a list or table, or anywhere but in a paragraph or heading if it is ``low``."""
     text, _, links, e = line
     if links < LINK_SHARE * len(text):
         return False
+    if low and page.tags[e] == "a":
+        e = page.parents[e]
+    if low and page.tags[e] not in ("p", "#root", "body", *HEADINGS) and not any(page.tags[x] == "p" for x in _ancestors(page, e)):
+        return True
     while e:
         if page.tags[e] in ("li", "ul", "ol", "td"):
             return True
@@ -264,6 +332,12 @@ def _menu(page: Lines, line: tuple[str, int, int, int]) -> bool:
     return False
 
 
+def _ancestors(page: Lines, e: int) -> Iterator[int]:
+    while e:
+        e = page.parents[e]
+        yield e
+
+
 def _marked(page: Lines) -> list[int]:
     """The outermost article or main around each element, 0 if there is none."""
     out = [0] * len(page.tags)
