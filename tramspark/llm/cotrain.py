@@ -6,18 +6,23 @@ sees what is known about the page without reading it: source, language,
 declared length and lines.  Each view is a logistic regression.
 
 In every round both views score all documents without a label; what one view
-is confident about becomes a pseudo-label for the other one.  Pseudo-labels
-are a bounded, balanced choice (by a hash of the id) among all confident
-documents.  Labelled rows kept aside calibrate each view by Platt scaling, and
+is confident about becomes a pseudo-label for the other one, and stays one in
+later rounds.  All of them teach: each Newton step sums gradient and Hessian
+over every pseudo-labelled document in the tasks and adds the sums up in Spark;
+only these sums (a number per pair of features) reach the driver.  The
+pseudo-labels of a class weigh together at most half of its true labels, each
+the same.  Labelled rows kept aside calibrate each view by Platt scaling, and
 the final score of every document adds the calibrated log odds of the views.
 
-Bounds (parameters): ``max_labelled`` labelled rows train, as many calibrate;
-``max_pseudo`` rows per view, class and round.  Scoring covers every document.
+Bound (parameter): ``max_labelled`` labelled rows train and as many calibrate, a
+uniform choice per class by a hash of the row.  Everything else covers all rows.
 
 Rules: null texts and fields have features of their own; several labels of one
-id count by their mean; labels other than 0 and 1 are ignored; without labels
-of both classes every document gets score 0.5 and stays; an empty table gives
-an empty result.
+id count by their mean, for each row of the id; labels other than 0 and 1 are
+ignored; rows that share an id, or have none, are rows like any other; ties in
+confidence need no order, as all confident rows count; without labels of both
+classes every document gets score 0.5 and stays; an empty table gives an empty
+result; other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -32,14 +37,19 @@ from pyspark.sql import functions as F
 
 from tramspark.llm import common
 
-BYTES, PAIRS, FIELDS = 64, 64, 64       # columns for bytes, byte pairs and hashed fields
+# columns for bytes (each ASCII byte its own, those above by their high nibble), hashed byte pairs, hashed fields
+BYTES, PAIRS, FIELDS = 136, 64, 64
 COUNTS = 8
 CONTENT = BYTES + PAIRS + COUNTS
 META = FIELDS + 2
 ROUNDS = 3
 CONFIDENT = 0.95
+SHRINK = 10.0           # ridge penalty on standardised features
 MAX_LABELLED = 8000
-MAX_PSEUDO = 1000
+PSEUDO_SHARE = 0.5      # most that a class's pseudo-labels weigh together, in its true labels
+STEPS = 12              # Newton steps of a round at most
+# Features, errors and curvatures are whole numbers of these fractions, so sums over rows are exact in any order.
+Z_UNIT, Z_MOST, ERROR_UNIT, CURVE_UNIT, X_UNIT = 64, 32, 1 << 12, 1 << 16, 1 << 24
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 _UPPER = np.zeros(256, bool)
@@ -58,7 +68,7 @@ def content_features(text: str | None) -> np.ndarray:
     b = np.frombuffer(raw, np.uint8)
     for s in range(0, len(b), 1 << 20):     # pieces bound the memory of a long text
         part = b[s:s + (1 << 20)]
-        out[:BYTES] += np.bincount(part % BYTES, minlength=BYTES)
+        out[:BYTES] += np.bincount(np.where(part < 128, part, 120 + (part >> 4)), minlength=BYTES)
         pair = part[:-1].astype(np.uint32) * 31 + part[1:]
         out[BYTES:BYTES + PAIRS] += np.bincount((pair * 2654435761 >> 20) % PAIRS, minlength=PAIRS)
     out[:BYTES + PAIRS] *= 10 / len(b)
@@ -112,24 +122,22 @@ class View:
         self.w = self.b = self.mean = self.scale = None
         self.platt = (1.0, 0.0)
 
-    def fit(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray, shrink: float = 1.0) -> View:
-        self.mean = np.average(x, axis=0, weights=weight)
-        self.scale = np.sqrt(np.average((x - self.mean) ** 2, axis=0, weights=weight)) + 1e-3
-        z = np.c_[(x - self.mean) / self.scale, np.ones(len(x))]
-        w = np.zeros(z.shape[1])
-        penalty = np.r_[np.full(x.shape[1], shrink), 1e-6]
+    def fit(self, x: np.ndarray, y: np.ndarray) -> View:
+        """Newton steps on labelled rows alone."""
+        self.mean = x.mean(axis=0)
+        self.scale = x.std(axis=0) + 1e-3
+        self.w, self.b = np.zeros(x.shape[1]), 0.0
         for _ in range(12):
-            p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-            h = (z * (weight * np.maximum(p * (1 - p), 1e-5))[:, None]).T @ z + np.diag(penalty)
-            step = np.linalg.solve(h, z.T @ (weight * (y - p)) - penalty * w)
-            w += step
-            if np.abs(step).max() < 1e-6:
+            if _newton(self, _scaled(_sums(self, x, y), x.shape[1])) < 1e-6:
                 break
-        self.w, self.b = w[:-1], w[-1]
         return self
 
+    def standard(self, x: np.ndarray) -> np.ndarray:
+        """Standardised features in whole units."""
+        return np.rint(np.clip((x - self.mean) / self.scale, -Z_MOST, Z_MOST) * Z_UNIT)
+
     def raw(self, x: np.ndarray) -> np.ndarray:
-        return np.clip(((x - self.mean) / self.scale) @ self.w + self.b, -30, 30)
+        return np.clip(self.standard(x) @ (self.w / Z_UNIT) + self.b, -30, 30)
 
     def calibrate(self, x: np.ndarray, y: np.ndarray) -> View:
         """Platt scaling with smoothed targets."""
@@ -152,30 +160,106 @@ class View:
         return np.clip(self.platt[0] * self.raw(x) + self.platt[1], -15, 15)
 
 
-def _confident(views: tuple[View, View], max_pseudo: int, confident: float):
-    """A task's confident rows of either view: the first by place of each view and class, for the other view to learn."""
+def pseudo_labels(rounds: list[tuple[View, View]], x: tuple[np.ndarray, np.ndarray], confident: float) -> list[np.ndarray]:
+    """What each view learns from the other: 1, 0, or -1 where the other was in no round confident.  The first round counts."""
+    out = []
+    for v in (0, 1):
+        told = np.full(len(x[0]), -1.0)
+        for views in rounds:
+            odds, edge = views[1 - v].odds(x[1 - v]), np.log(confident / (1 - confident))
+            told = np.where(told >= 0, told, np.where(odds >= edge, 1.0, np.where(odds <= -edge, 0.0, -1.0)))
+        out.append(told)
+    return out
+
+
+def _summed(rows: DataFrame, sums, sizes: tuple[int, ...]) -> list[np.ndarray]:
+    """``sums`` (whole numbers, arrays of ``sizes`` per batch) over all rows of ``x``: added up in tasks, then by Spark."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[tuple[int, int], list] = {(v, c): [] for v in (0, 1) for c in (0, 1)}
-        seen = dict.fromkeys(best, 0)
+        total = np.zeros(sum(sizes), np.int64)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            raw = [x.as_py() for x in batch.column("x")]
-            place = batch.column("place").to_numpy()
-            for v, (view, x) in enumerate(zip(views, matrix(raw), strict=True)):
-                p = 1 / (1 + np.exp(-view.odds(x)))
-                for c, sure in ((1, p >= confident), (0, p <= 1 - confident)):
-                    at = np.flatnonzero(sure)
-                    seen[v, c] += len(at)
-                    held = best[v, c] + [(int(place[i]), raw[i]) for i in at]
-                    best[v, c] = sorted(held)[:max_pseudo]
-        # a row without features says how many confident rows the task has seen
-        rows = [(v, c, place, x, 0) for (v, c), held in best.items() for place, x in held]
-        rows += [(v, c, None, None, n) for (v, c), n in seen.items()]
-        kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
-                                         names=["view", "label", "place", "x", "n"])
-    return run
+            for s in range(0, batch.num_rows, 8192):        # few enough that a product's sum is exact
+                total += np.concatenate(sums(matrix([x.as_py() for x in batch.column("x").slice(s, 8192)]))).astype(np.int64)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(total[some])], names=["k", "v"])
+
+    # a number per pair of features at most
+    found = (rows.select("x").mapInArrow(run, "k int, v long").groupBy("k")
+             .agg(F.sum(F.col("v").cast("decimal(20,0)")).cast("double").alias("v")).toArrow())
+    flat = np.zeros(sum(sizes))
+    flat[found.column("k").to_numpy()] = found.column("v").to_numpy()
+    return np.split(flat, np.cumsum(sizes)[:-1])
+
+
+def _extra_moments(rounds, confident):
+    """Per view and class: how many pseudo-labels, the sums of their features and of the squares (in units)."""
+    def sums(x):
+        out = []
+        for v, told in enumerate(pseudo_labels(rounds, x, confident)):
+            for c in (0, 1):
+                z = x[v][told == c]
+                out.append(np.concatenate([[len(z)], *(np.rint(k * X_UNIT).astype(np.int64).sum(axis=0) for k in (z, z * z))]))
+        return out
+    return sums
+
+
+def _extra_steps(rounds, confident, views):
+    """Per view and class: gradient and Hessian of the pseudo-labelled rows at the views' present weights (in units)."""
+    def sums(x):
+        return [_sums(views[v], x[v][told == c], np.full((told == c).sum(), float(c)))
+                for v, told in enumerate(pseudo_labels(rounds, x, confident)) for c in (0, 1)]
+    return sums
+
+
+def _sums(view: View, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Gradient and upper half of the Hessian of the log likelihood, as whole numbers of their units."""
+    z = np.c_[view.standard(x), np.full(len(x), Z_UNIT)]
+    p = 1 / (1 + np.exp(-np.clip(z @ (np.r_[view.w, view.b] / Z_UNIT), -30, 30)))
+    h = (z * np.rint(p * (1 - p) * CURVE_UNIT)[:, None]).T @ z
+    return np.concatenate([z.T @ np.rint((y - p) * ERROR_UNIT), h[np.triu_indices(len(h))]])
+
+
+def _scaled(sums: np.ndarray, n: int) -> np.ndarray:
+    return np.concatenate([sums[:n + 1] / (Z_UNIT * ERROR_UNIT), sums[n + 1:] / (Z_UNIT ** 2 * CURVE_UNIT)])
+
+
+def _newton(view: View, sums: np.ndarray) -> float:
+    """One step of ``view`` by summed gradient and Hessian (penalty added here); its largest change."""
+    n = len(view.w) + 1
+    h = np.zeros((n, n))
+    h[np.triu_indices(n)] = sums[n:]
+    h = h + np.triu(h, 1).T
+    w, penalty = np.r_[view.w, view.b], np.r_[np.full(n - 1, SHRINK), 1e-3]
+    step = np.linalg.solve(h + np.diag(penalty), sums[:n] - penalty * w)
+    view.w, view.b = view.w + step[:-1], view.b + step[-1]
+    return float(np.abs(step).max())
+
+
+def teach(rows: DataFrame, rounds: list[tuple[View, View]], xs, y: np.ndarray, confident: float, steps: int = STEPS) -> tuple[View, View]:
+    """Both views fitted to the labelled rows and to all that the other has been sure of in some round."""
+    widths = (CONTENT, META)
+    moments = _summed(rows, _extra_moments(rounds, confident), tuple(1 + 2 * n for n in widths for _ in (0, 1)))
+    views, weights = [], []
+    for v, (x, n) in enumerate(zip(xs, widths, strict=True)):
+        count = np.array([moments[2 * v + c][0] for c in (0, 1)])
+        weight = np.minimum(PSEUDO_SHARE, PSEUDO_SHARE * np.array([(y == c).sum() for c in (0, 1)]) / np.maximum(count, 1))
+        extra = sum(weight[c] * moments[2 * v + c] for c in (0, 1)) / X_UNIT
+        total = len(y) + weight @ count
+        mean = (x.sum(axis=0) + extra[1:n + 1]) / total
+        square = ((x * x).sum(axis=0) + extra[n + 1:]) / total
+        # from nothing, as plain Newton steps from the last round's weights may run away
+        view = View()
+        view.mean, view.scale, view.w, view.b = mean, np.sqrt(np.maximum(square - mean * mean, 0)) + 1e-3, np.zeros(n), 0.0
+        views.append(view)
+        weights.append(weight)
+    for _ in range(steps):
+        extra = _summed(rows, _extra_steps(rounds, confident, tuple(views)), tuple((n + 1) * (n + 4) // 2 for n in widths for _ in (0, 1)))
+        change = []
+        for v, (view, x, n) in enumerate(zip(views, xs, widths, strict=True)):
+            told = sum(weights[v][c] * extra[2 * v + c] for c in (0, 1))
+            change.append(_newton(view, _scaled(told + _sums(view, x, y), n)))
+        if max(change) < 1e-3:
+            break
+    return tuple(views)
 
 
 def _scored(views):
@@ -224,33 +308,18 @@ def _labelled(rows: DataFrame, max_rows: int, aside: bool) -> tuple | None:
     return matrix(xs), np.array(ys)
 
 
-def train(rows: DataFrame, rounds: int = ROUNDS, max_labelled: int = MAX_LABELLED, max_pseudo: int = MAX_PSEUDO,
-          confident: float = CONFIDENT) -> tuple | None:
+def train(rows: DataFrame, rounds: int = ROUNDS, max_labelled: int = MAX_LABELLED, confident: float = CONFIDENT) -> tuple | None:
     """Both calibrated views and the prior log odds, from ``rows`` (written table: id, x, place, y or null)."""
     seen, aside = (_labelled(rows, max_labelled, a) for a in (False, True))
     if seen is None or aside is None:
         return None
     (xs, y), (ax, ay) = seen, aside
     unlabelled = rows.filter("y IS NULL")
-    views = tuple(View().fit(x, y, np.ones(len(y))).calibrate(a, ay) for x, a in zip(xs, ax, strict=True))
+    known = [tuple(View().fit(x, y).calibrate(a, ay) for x, a in zip(xs, ax, strict=True))]
     for _ in range(rounds):
-        found = common.stored(unlabelled.select("x", "place").mapInArrow(
-            _confident(views, max_pseudo, confident), "view int, label int, place long, x binary, n long"), "pseudo-labels")
-        told = {(r["view"], r["label"]): r["n"] for r in found.groupBy("view", "label").agg(F.sum("n").alias("n")).collect()}
-        taught = []
-        for v in (0, 1):
-            extra = [(r["x"], float(c)) for c in (0, 1) for r in _first(
-                found.filter((F.col("view") == 1 - v) & (F.col("label") == c) & F.col("x").isNotNull()).select("x", "place"),
-                told.get((1 - v, c), 0), max_pseudo)]
-            if not extra:
-                taught.append(views[v])
-                continue
-            more = matrix([x for x, _ in extra])[v]
-            x, t = np.r_[xs[v], more], np.r_[y, [c for _, c in extra]]
-            weight = np.r_[np.ones(len(y)), np.full(len(extra), 0.5)]     # a pseudo-label counts half a label
-            taught.append(View().fit(x, t, weight).calibrate(ax[v], ay))
-        views = tuple(taught)
-    return (*views, float(np.log((ay.sum() + 1) / (len(ay) - ay.sum() + 1))))
+        taught = teach(unlabelled, known, xs, y, confident)
+        known.append(tuple(v.calibrate(a, ay) for v, a in zip(taught, ax, strict=True)))
+    return (*known[-1], float(np.log((ay.sum() + 1) / (len(ay) - ay.sum() + 1))))
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -260,7 +329,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     rows = featured(docs, id_col, text_col, lang_col, source_col, chars_col).withColumn(
         "key", F.coalesce(F.col("id").cast("string"), F.concat(F.lit("row "), F.col("uid").cast("string"))))
     rows = common.stored(rows.join(_labels(labels, id_col, label_col), "key", "left")
-                         .select("uid", "id", "x", "y", F.xxhash64("id").alias("place")), "features")
+                         .select("uid", "id", "x", "y", F.xxhash64("uid").alias("place")), "features")
     views = train(rows, **bounds)
     if views is None:
         half = F.lit(0.5)
