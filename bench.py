@@ -17,8 +17,8 @@ Prints ONE JSON line:
 
 A warm-up pass on the smallest scale runs first (JVM and codegen warm-up is
 not part of any timing).  The full rebuild runs three times; ``value`` is the
-median and all runs are listed under ``queries``, with one incremental run
-that merges the last day into tables that hold the days before.
+median and all runs are listed under ``queries``, with a first load of all days
+but the last, the incremental run that adds that day, and a run without new files.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ WARMUP_DIR = "/root/testdata/sf0.001"
 RUNS = 3
 LAST_DAY = "2024-01-30 00:00:00"
 
-STEPS = ["vehicle_moves", "stop_matches", "stop_matches_naive", "stop_visits", "headway", "route_segments",
+STEPS = ["vehicle_moves", "stop_matches", "stop_matches_few_pings", "stop_matches_naive", "stop_visits", "headway", "route_segments",
          "line_speed", "speed_by_hour", "speed_grid", "line_punctuality", "worst_stops", "line_regularity",
          "slowest_segments", "animation_frames"]
 
@@ -56,7 +56,9 @@ def main() -> None:
     from tramspark.operators import headway as hw
     from tramspark.operators import marts, matching, movement, segments
     from tramspark.functions.scalar import try_timestamp
-    from tramspark.plans.pipeline import FIXTURE_PARAMS, MODEL_ORDER, build_graph, build_incremental
+    from tramspark.operators import ledger
+    from tramspark.plans.incremental import run_load
+    from tramspark.plans.pipeline import FIXTURE_PARAMS, MODEL_ORDER, build_graph
     from tramspark.session import get_session
     from tramspark.sources import files, fixtures
 
@@ -81,8 +83,29 @@ def main() -> None:
         """Write every table model (views stay views); returns all models."""
         return build_graph(inputs, p, out, threads=THREADS)
 
+    def loads(inputs: dict, out: str) -> list[float]:
+        """Loads from files: all days but the last one, then the files of that day, then nothing new."""
+        cut = F.lit(LAST_DAY).cast("timestamp_ntz")
+        feed_dirs = {}
+        for name, kind in (("positions_csv", "csv"), ("positions_parquet", "parquet")):
+            rows = inputs[name]
+            fetched = try_timestamp("fetch_time") if kind == "csv" else F.col("fetch_time")
+            for drop, part in (("a", rows.filter(fetched < cut)), ("b", rows.filter(fetched >= cut))):
+                getattr(part.repartition(CPUS).write.option("header", True), kind)(f"{out}/{name}/{drop}")
+            feed_dirs[name] = (kind, f"{out}/{name}")
+        timetable = {n: inputs[n] for n in ("stops", "routes", "trips", "stop_times")}
+        took = []
+        for drops in ("a", "[ab]", "[ab]"):
+            feeds = {n: ledger.FileFeed(kind, f"{path}/{drops}") for n, (kind, path) in feed_dirs.items()}
+            t0 = time.time()
+            run_load(spark, f"{out}/models", feeds, timetable, p, THREADS)
+            took.append(round(time.time() - t0, 3))
+        return took
+
     # warm-up (not timed)
-    rebuild(feeds(WARMUP_DIR, f"{scratch}/warmup-feeds"), f"{scratch}/warmup")
+    small = feeds(WARMUP_DIR, f"{scratch}/warmup-feeds")
+    rebuild(small, f"{scratch}/warmup")
+    loads(small, f"{scratch}/warmup-drops")
     inputs = feeds(SF_DIR, f"{scratch}/feeds")
 
     # timed rebuilds into fresh folders; the reported value is their median
@@ -93,19 +116,14 @@ def main() -> None:
         runs.append(round(time.time() - t0, 3))
     full = statistics.median(runs)
 
-    # an incremental run: everything but the last day is loaded, then one run merges that day
-    cut = F.lit(LAST_DAY).cast("timestamp_ntz")
-    early = {**inputs, "positions_csv": inputs["positions_csv"].filter(try_timestamp("fetch_time") < cut),
-             "positions_parquet": inputs["positions_parquet"].filter(F.col("fetch_time") < cut)}
-    build_incremental(early, p, f"{scratch}/incremental", threads=THREADS, load_id="first")
-    t0 = time.time()
-    build_incremental(inputs, p, f"{scratch}/incremental", threads=THREADS, load_id="second")
-    incremental_s = round(time.time() - t0, 3)
+    first_load_s, incremental_s, nothing_new_s = loads(inputs, f"{scratch}/drops")
 
     steps = {
         "vehicle_moves": lambda: movement.vehicle_moves(t["positions"]),
         "stop_matches": lambda: matching.stop_matches(t["positions"], t["stop_times"], t["trips"], t["routes"],
                                                       t["stops"], p.as_of, p.retention_days, bucketed=True),
+        "stop_matches_few_pings": lambda: matching.stop_matches(t["positions"], t["stop_times"], t["trips"], t["routes"],
+                                                                t["stops"], p.as_of, p.retention_days, repeat="positions"),
         "stop_matches_naive": lambda: matching.stop_matches(t["positions"], t["stop_times"], t["trips"],
                                                             t["routes"], t["stops"], p.as_of, p.retention_days,
                                                             bucketed=False),
@@ -121,7 +139,8 @@ def main() -> None:
         "slowest_segments": lambda: marts.slowest_segments(t["segments"]),
         "animation_frames": lambda: marts.animation_frames(t["positions"]),
     }
-    queries = {f"full_rebuild_run{i + 1}": s for i, s in enumerate(runs)} | {"incremental_run": incremental_s}
+    queries = {f"full_rebuild_run{i + 1}": s for i, s in enumerate(runs)} | {
+        "first_load": first_load_s, "incremental_run": incremental_s, "nothing_new": nothing_new_s}
     for name in STEPS:
         s = time.time()
         steps[name]().write.mode("overwrite").parquet(f"{scratch}/step/{name}")

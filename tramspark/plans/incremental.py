@@ -7,8 +7,8 @@
   load.
 * **Changes move down the graph** as sets of touched keys: a changed ping touches
   its vehicle's pieces of history up to the longest gap later; its match touches
-  the visits of its (line, stop, vehicle), these the headway of (line, stop), and
-  the segments of its (trip, vehicle).  Each model recomputes just the touched
+  the headway of its (line, stop) as far as a visit reaches, and the segments of
+  its (trip, vehicle).  Each model recomputes just the touched
   pieces (their halos included) and keeps its other rows; days that nothing
   touches are not read or written.
 * **Marts** are merged from partial states per day (``operators.states``).
@@ -43,11 +43,11 @@ BY = "load_id"                  # the load that brought a row
 PING = ["vehicle_number", "vehicle_time"]
 # Partition column of each table and the time it is the date of.
 DATES = {"positions": ("vehicle_date", "vehicle_time"), "moves": ("move_date", "vehicle_time"), "matches": ("match_date", "actual_time"),
-         "visits": ("visit_date", "arrival_time"), "headway": ("headway_date", "arrival_time"), "segments": ("segment_date", "arrived_at")}
+         "headway": ("headway_date", "arrival_time"), "segments": ("segment_date", "arrived_at")}
 # State tables: the model they are counted from.
 STATES = {"state_speed": "moves", "state_grid": "moves", "state_delay": "matches", "state_stops": "matches",
           "state_headway": "headway", "state_segments": "segments"}
-INNER = {"positions": [BY], "matches": [BY], "visits": [BY], "segments": ["trip_id"]}   # columns only a load needs
+INNER = {"positions": [BY], "matches": [BY], "segments": ["trip_id"]}   # columns only a load needs
 
 
 def together(threads: int, *steps: Callable) -> list:
@@ -178,37 +178,24 @@ class Run:
         gone = self._on("matches", days, before=True).join(keys, keys.columns, "left_semi")
         return self._on("matches", days).filter(F.col(BY) == load.id).unionByName(gone)
 
-    def visits(self, delta: DataFrame | None, days: list[dt.date] | None) -> tuple[DataFrame, list[dt.date]] | tuple[None, None]:
-        """Visits of the touched (line, stop, vehicle); the visits that came or went, and their days."""
-        load, gap = self.load, self.p.visit_gap_s
-
-        def compute(matches, only=None):
-            return hw.stop_visits(matches, gap, only).withColumn(BY, F.lit(load.id))
-
-        if delta is None:
-            load.put("visits", _dated(compute(load.read("matches")), "visits"), "visit_date")
-            return None, None
-        touched = win.touched_buckets(delta, hw.VISIT_KEYS, "actual_time", gap)
-        out = self._reached(touched, days, "matches", gap)
-        kept = win.outside_buckets(self._on("visits", out), touched, hw.VISIT_KEYS, "arrival_time")
-        self._replace("visits", kept, compute(self._on("matches", _around(out, -(-gap // win.DAY))), touched), out)
-        gone = win.inside_buckets(self._on("visits", out, before=True), touched, hw.VISIT_KEYS, "arrival_time")
-        return self._on("visits", out).filter(F.col(BY) == load.id).unionByName(gone), out
-
     def headway(self, delta: DataFrame | None, days: list[dt.date] | None) -> list[dt.date] | None:
+        """Headway of the touched (line, stop), by way of the visits there; visits are no table of their own."""
         load, p = self.load, self.p
 
-        def compute(visits, only=None):
-            return hw.headway_from_visits(visits, p.headway_min, p.headway_max, p.bunched_below, only)
+        def compute(matches, only=None):
+            return hw.headway_from_visits(hw.stop_visits(matches, p.visit_gap_s), p.headway_min, p.headway_max, p.bunched_below, only)
 
         if delta is None:
-            load.put("headway", _dated(compute(load.read("visits")), "headway"), "headway_date")
+            load.put("headway", _dated(compute(load.read("matches")), "headway"), "headway_date")
             return None
+        # a ping starts or ends a visit up to the gap later, which is the predecessor of visits up to the longest headway later
         reach = int(-(-p.headway_max * 60 // 1))
-        touched = win.touched_buckets(delta, hw.HEADWAY_KEYS, "arrival_time", reach)
-        out = self._reached(touched, days, "visits", reach)
+        touched = win.touched_buckets(delta, hw.HEADWAY_KEYS, "actual_time", p.visit_gap_s + reach)
+        out = self._reached(touched, days, "matches", p.visit_gap_s + reach)
+        near = self._on("matches", _around(out, -(-(p.visit_gap_s + reach) // win.DAY)))
+        near = near.join(touched.select(*hw.HEADWAY_KEYS).distinct(), hw.HEADWAY_KEYS, "left_semi")
         kept = win.outside_buckets(self._on("headway", out), touched, hw.HEADWAY_KEYS, "arrival_time")
-        self._replace("headway", kept, compute(self._on("visits", _around(out, -(-reach // win.DAY))), touched), out)
+        self._replace("headway", kept, compute(near, touched), out)
         return out
 
     def segments(self, delta: DataFrame | None, days: list[dt.date] | None) -> list[dt.date] | None:
@@ -313,7 +300,7 @@ def run_load(spark: SparkSession, base: str, feeds: dict, timetable: dict[str, D
         together(threads, *(lambda m=m: run.mart(m) for s in names for m in MARTS_OF[s]))
 
     def headways():
-        states_and_marts("headway", run.headway(*run.visits(delta, days)))
+        states_and_marts("headway", run.headway(delta, days))
 
     together(threads, headways, lambda: states_and_marts("segments", run.segments(delta, days)),
              lambda: states_and_marts("matches", days), lambda: states_and_marts("moves", move_days))
@@ -329,12 +316,14 @@ def _union(parts: list[DataFrame]) -> DataFrame | None:
     return out
 
 
-def tables(store: Store, timetable: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def tables(store: Store, timetable: dict[str, DataFrame], params: Params = FIXTURE_PARAMS) -> dict[str, DataFrame]:
     """The models of the newest snapshot, as the graph returns them."""
     snapshot = store.snapshot()
     out = {"stops": staging.gtfs_stops(timetable["stops"]), "routes": staging.gtfs_routes(timetable["routes"])}
     for name in MODEL_ORDER:
-        if name not in out:
+        if name == "visits":
+            out[name] = hw.stop_visits(out["matches"], params.visit_gap_s)
+        elif name not in out:
             helpers = [*INNER.get(name, []), *([DATES[name][0]] if name in DATES and name not in ("positions", "matches") else [])]
             out[name] = store.read(name, snapshot).drop(*helpers)
     return out
@@ -346,4 +335,4 @@ def build_incremental(inputs: dict, params: Params = FIXTURE_PARAMS, out_dir: st
     feeds = {n: inputs.get(n) for n in POSITION_FEEDS}
     timetable = {n: df for n, df in inputs.items() if n not in POSITION_FEEDS}
     spark = timetable["stops"].sparkSession
-    return tables(run_load(spark, out_dir, feeds, timetable, params, threads, strategy, full_refresh), timetable)
+    return tables(run_load(spark, out_dir, feeds, timetable, params, threads, strategy, full_refresh), timetable, params)
