@@ -11,9 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tramspark.operators.windows import _B, DAY, bucket_of
+from tramspark.session import shared_dir
+
 VALID_FROM = "valid_from"
 VALID_TO = "valid_to"
 
@@ -50,14 +53,34 @@ def snapshot(current: DataFrame, previous: DataFrame | None, key: str, check_col
 
 
 def asof_lookup(facts: DataFrame, history: DataFrame, key: str, fact_ts: str,
-                attrs: Sequence[str], prefix: str = "") -> DataFrame:
-    """Attach the dimension version valid at each fact's time.
+                attrs: Sequence[str], prefix: str = "", bucket_seconds: int = DAY) -> DataFrame:
+    """Attach the dimension version valid at each fact's time (the versions of a key do not overlap).
 
-    Equi-join on the key plus the validity range (versions per key are few,
-    so the join fans out by the number of versions of that key only).
+    Facts and versions are sorted together once: within each (key, bucket of
+    time) the last version before a fact is carried to it, and the version that
+    a bucket begins with comes from a table with one row per key and bucket,
+    over which the last version of the buckets before is carried.  So a fact is
+    one row however many versions its key has, and a key's history is spread
+    over its buckets.  Facts without key or time have no version.
     """
-    h = history.select(F.col(key).alias("__k"), *[F.col(a).alias(f"{prefix}{a}") for a in attrs],
-                       F.col(VALID_FROM).alias("__vf"), F.col(VALID_TO).alias("__vt"))
-    cond = ((facts[key] == h["__k"]) & (facts[fact_ts] >= h["__vf"])
-            & (h["__vt"].isNull() | (facts[fact_ts] < h["__vt"])))
-    return facts.join(h, cond, "left").drop("__k", "__vf", "__vt")
+    spark, path = facts.sparkSession, shared_dir(facts.sparkSession, "as-of")
+    version = F.struct(F.col(VALID_TO).alias("until"), *[F.col(a).alias(f"a{i}") for i, a in enumerate(attrs)])
+    fact = F.struct(*[F.col(f"`{c}`") for c in facts.columns])
+    placed = F.col(key).isNotNull() & F.col(fact_ts).isNotNull()
+    v = history.filter(F.col(key).isNotNull() & F.col(VALID_FROM).isNotNull()).select(
+        F.col(key).alias("k"), F.col(VALID_FROM).alias("t"), F.lit(0).alias("kind"), version.alias("version"))
+    f = facts.select(F.col(key).alias("k"), F.col(fact_ts).alias("t"), F.lit(1).alias("kind"), fact.alias("fact"), placed.alias("placed"))
+    events = v.unionByName(f.filter("placed").drop("placed"), allowMissingColumns=True).withColumn(_B, bucket_of("t", bucket_seconds))
+    events.write.parquet(path)      # read by both branches
+    events = spark.read.schema(events.schema).parquet(path)
+    before = Window.partitionBy("k", _B).orderBy("t", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = events.withColumn("found", F.last("version", ignorenulls=True).over(before)).filter("kind = 1").select("k", _B, "t", "fact", "found")
+    latest = events.groupBy("k", _B).agg(F.max_by("version", F.when(F.col("kind") == 0, F.col("t"))).alias("last"))
+    earlier = Window.partitionBy("k").orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    carry = latest.select("k", _B, F.last("last", ignorenulls=True).over(earlier).alias("carried"))
+    joined = inside.join(carry, ["k", _B]).withColumn("found", F.coalesce("found", "carried"))
+    valid = F.col("found.until").isNull() | (F.col("t") < F.col("found.until"))
+    names = [f"{prefix}{a}" for a in attrs]
+    out = joined.select("fact.*", *[F.when(valid, F.col(f"found.a{i}")).alias(n) for i, n in enumerate(names)])
+    loose = facts.filter(~placed).select("*", *[F.lit(None).cast(history.schema[a].dataType).alias(n) for a, n in zip(attrs, names, strict=True)])
+    return out.unionByName(loose)

@@ -16,9 +16,11 @@ from tramspark.functions import scalar as S
 from tramspark.operators import history, incremental, ledger, matching, quality, reports, staging
 from tramspark.plans.incremental import build_incremental, run_load, tables
 from tramspark.plans.pipeline import FIXTURE_PARAMS, Models, Params, build_graph
+from tramspark.plans.statements import Statements
 from tramspark.session import shared_dir
 from tramspark.sources import files, fixtures
 from tramspark.sources.schemas import POSITION_COLUMNS
+from tramspark.sources.store import Store
 from tramspark.streaming import positions as streams
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -831,6 +833,15 @@ def adhoc_sql(spark, sf_dir):
     return spark.sql(ADHOC_SQL, speeds=models(spark, sf_dir)["speed_by_hour"])
 
 
+@register("dashboard_statement")
+def dashboard_statement(spark, sf_dir):
+    """The same statement through the read-only, cached path over a loaded store."""
+    out, inputs = shared_dir(spark, "dashboard"), fixtures.transit_inputs(spark, sf_dir)
+    build_incremental(inputs, FIXTURE_PARAMS, out)
+    statements = Statements(Store(spark, out), {n: inputs[n] for n in ("stops", "routes")})
+    return spark.createDataFrame(statements.run(ADHOC_SQL.format(speeds="speed_by_hour")))
+
+
 @register("stop_matches_prev_day")
 def stop_matches_prev_day(spark, sf_dir):
     """Stop matching where pings before 04:00 may also match the previous
