@@ -172,7 +172,7 @@ def test_each_statistic_alone_can_reject(spark):
     assert got[2000]["kept"] and all(got[i]["kept"] for i in range(150))
 
 
-@pytest.mark.parametrize("n", [3, 40, 49, 50, 60])
+@pytest.mark.parametrize("n", [3, 43, 53])
 def test_outliers_of_small_groups_are_found_without_a_border(spark, n):
     rng = np.random.default_rng(n)
     vocabulary = ["".join(chr(97 + k) for k in rng.integers(0, 26, int(rng.integers(2, 9)))) for _ in range(3000)]
