@@ -92,3 +92,13 @@ def test_op5_sql(spark):
     got = queries.op5_mixing(spark, SF)
     want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({oracles.OP5})").fetchall()
     assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_rows_without_ids_keep_to_the_budget(spark):
+    from pyspark.sql import functions as F
+
+    from tramspark.llm import mixing
+    rows = [(None, "ten words are in each of these texts you see", "en", "a")] * 1000 + [(5, "ten words are in each of these texts you see", "en", "a")] * 500
+    got = mixing.mix(documents(spark, rows), F.lit("d"), budget_share=0.1, max_epochs=2).collect()
+    taken, budget = sum(r["n_tokens"] * r["epochs"] for r in got), got[0]["budget"]
+    assert len(got) == 1500 and budget <= taken < budget + 10

@@ -79,3 +79,26 @@ def test_op1_whole_table(spark):
     assert len(got) == len(texts)
     for r in got:
         assert r["round_trip"] and r["ids"] == library.encode(texts[r["doc_id"]]) and r["n_tokens"] == len(r["ids"])
+
+
+def test_merging_by_steps_is_near_linear_in_a_run_of_blanks():
+    import time
+    rng = random.Random(2)
+    m = pieces.load(queries.PIECES)
+    node_of = {"".join(map(chr, c)): int(k) for n in m.keys for c, k in zip(m.chars[n].tolist(), m.nodes[n].tolist(), strict=True)}
+
+    def plainly(word):
+        parts = list(word)
+        while True:
+            found = [(-float(m.score[k]), i) for i in range(len(parts) - 1) if (k := node_of.get(parts[i] + parts[i + 1])) is not None]
+            if not found:
+                return [node_of.get(p, 0) for p in parts]
+            i = min(found)[1]
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+
+    for _ in range(300):
+        word = "".join(rng.choice("▁▁▁▁abthe\n é") for _ in range(rng.randint(1, 60)))
+        assert pieces._merge_by_steps(m, word, node_of) == plainly(word)
+    start = time.time()
+    assert sum(1 for _ in pieces._merge_by_steps(m, "▁" * 100_000, node_of)) > 1000
+    assert time.time() - start < 10

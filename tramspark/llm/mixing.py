@@ -14,8 +14,9 @@ ordered row by row.
 
 Rules: null keys form a node ``(none)``; a null text has no tokens; the prefix
 goes on until the budget is reached, so its last row may exceed it; rows with
-the same place in the order (one id) are taken or left together; a leaf
-without tokens or budget gives no rows; an empty table gives an empty result.
+the same place in the order (one id) follow each other by their row's number,
+and rows without an id have places by that number; a leaf without tokens or
+budget gives no rows; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -108,7 +109,8 @@ def mix(docs: DataFrame, domain: Column, id_col: str = "doc_id", text_col: str =
     planned = common.stored(planned.withColumn("full", full).withColumn(
         "rest", (F.col("budget") - F.col("full") * F.col("tokens")).cast("long")), "mix-budgets")
     facts = planned.select(*leaf, "docs", "budget", "full", "rest")
-    placed = common.with_facts(rows, facts, leaf, "docs", F.col("uid")).withColumn("place", place(seed, F.col("full"), F.col("id")))
+    placed = common.with_facts(rows, facts, leaf, "docs", F.col("uid")).withColumn(
+        "place", place(seed, F.col("full"), F.coalesce(F.col("id").cast("string"), F.concat(F.lit("row "), F.col("uid").cast("string")))))
     placed = common.stored(placed.withColumn("range", F.floor(F.col("place") * F.lit(float(ranges)) / F.lit(float(2 ** 52))).cast("int")),
                            "mix-placed")
     # tokens of whole ranges first; the range in which the rest runs out is ordered row by row
@@ -119,12 +121,12 @@ def mix(docs: DataFrame, domain: Column, id_col: str = "doc_id", text_col: str =
            .select(*leaf, F.col("c.range").alias("cut"), F.col("c.before").alias("before")))
     cut = common.stored(planned.select(*leaf, "docs").join(cut, leaf, "left").withColumn("cut", F.coalesce("cut", F.lit(ranges))), "mix-cuts")
     at = common.with_facts(placed, cut, leaf, "docs", F.col("uid"))
-    inside = Window.partitionBy(*leaf).orderBy("place").rangeBetween(Window.unboundedPreceding, -1)     # equal places are peers
+    inside = Window.partitionBy(*leaf).orderBy("place", "uid").rowsBetween(Window.unboundedPreceding, -1)
     edge = (at.filter("range = cut").withColumn("earlier", F.col("before") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
-            .filter("earlier < rest").groupBy(*leaf).agg(F.max("place").alias("edge")))
+            .filter("earlier < rest").groupBy(*leaf).agg(F.max(F.struct("place", "uid")).alias("edge")))
     limits = common.stored(cut.join(edge, leaf, "left").select(*leaf, "docs", "cut", "edge"), "mix-limits")
     done = common.with_facts(placed.drop("docs"), limits, leaf, "docs", F.col("uid"))
-    taken = (F.col("range") < F.col("cut")) | ((F.col("range") == F.col("cut")) & (F.col("place") <= F.col("edge")))
+    taken = (F.col("range") < F.col("cut")) | ((F.col("range") == F.col("cut")) & (F.struct("place", "uid") <= F.col("edge")))
     return done.select("uid", "id", *leaf, "n_tokens", "budget",
                        (F.col("full") + F.coalesce(taken, F.lit(False)).cast("long")).cast("int").alias("epochs"))
 

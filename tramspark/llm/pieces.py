@@ -25,6 +25,7 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+import heapq
 import re
 import uuid
 from collections.abc import Iterator
@@ -259,14 +260,35 @@ def segment(m: Model, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _merge_by_steps(m: Model, word: str, node_of: dict[str, int]) -> list[int]:
-    """Nodes of one word by merging the best-scored pair, the leftmost first among equals."""
-    parts = list(word)
-    while True:
-        found = [(-float(m.score[k]), i) for i in range(len(parts) - 1) if (k := node_of.get(parts[i] + parts[i + 1])) is not None]
-        if not found:
-            return [node_of.get(p, 0) for p in parts]
-        i = min(found)[1]
-        parts[i:i + 2] = [parts[i] + parts[i + 1]]
+    """Nodes of one word by merging the best-scored pair, the leftmost first among equals.
+
+    Parts are a linked list by the place of their first character, pairs a heap; a pair whose parts have changed since is
+    passed over.  So a run of n blanks takes n log n steps.
+    """
+    n = len(word)
+    end, before = list(range(1, n + 1)), list(range(-1, n - 1))     # of the part that begins at a place; end 0: no part begins there
+    heap: list[tuple[float, int, int, int]] = []
+
+    def offer(i: int) -> None:
+        if i >= 0 and end[i] < n and (k := node_of.get(word[i:end[end[i]]])) is not None:
+            heapq.heappush(heap, (-float(m.score[k]), i, end[i], end[end[i]]))
+
+    for i in range(n - 1):
+        offer(i)
+    while heap:
+        _, i, middle, last = heapq.heappop(heap)
+        if end[i] != middle or end[middle] != last:
+            continue
+        end[i], end[middle] = last, 0
+        if last < n:
+            before[last] = i
+        offer(before[i])
+        offer(i)
+    out, i = [], 0
+    while i < n:
+        out.append(node_of.get(word[i:end[i]], 0))
+        i = end[i]
+    return out
 
 
 class Numbers(dict):
