@@ -216,6 +216,37 @@ def test_trie_links_in_chunks(spark, group_rows):
     assert len(set(zip(got, want, strict=True))) == len(set(got)) == len(set(want))
 
 
+def test_trie_walk_over_thousands(spark):
+    """One group of thousands under a common prefix goes through the walk whole and keeps every link of all pairs."""
+    rng = np.random.default_rng(5)
+    values = rng.integers(0, 1 << 48, 3000, dtype=np.uint64)
+    flips = rng.integers(0, 48, (3000, 5)).astype(np.uint64)
+    near = values.copy()
+    for k in range(5):              # up to five flipped bits: links and near misses
+        near ^= np.where(rng.random(3000) < 0.6, np.uint64(1) << flips[:, k], np.uint64(0))
+    values = np.unique(np.r_[values, near])
+    n, found = len(values), []
+    at = (np.array([0]), np.array([n]), np.array([0]), np.array([n]))
+    simhash.trie_links(values, at, 16, 3, lambda i, j: found.append(np.c_[i, j]))
+    got = np.concatenate(found)
+    want = [np.c_[np.full(len(js), i), js] for i in range(n)
+            for js in [i + 1 + np.flatnonzero(np.bitwise_count(values[i + 1:] ^ values[i]) <= 3)]]
+    assert sorted(map(tuple, got.tolist())) == sorted(map(tuple, np.concatenate(want).tolist()))
+    classes = common.stored(spark.createDataFrame([(int(v),) for v in values], "fp long"), "walk")
+    edges = simhash.links(classes).collect()
+    assert all(int(r["a"] ^ r["b"]).bit_count() > 0 for r in edges)
+    forest, where = simhash.Forest(n), {int(v): k for k, v in enumerate(values)}
+    ends = np.array([(where[r["a"]], where[r["b"]]) for r in edges])
+    forest.links(ends[:, 0], ends[:, 1])
+    whole = simhash.Forest(n)
+    whole.links(got[:, 0], got[:, 1])
+    assert (forest.root == whole.root).all()
+
+
+def test_components_without_edges(spark):
+    assert common.components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
 @pytest.mark.parametrize("name", ["op2_sharding", "op9_exact_dedup"])
 def test_contract_sql(spark, name):
     con = duckdb.connect()

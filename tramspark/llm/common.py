@@ -111,6 +111,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """
     current = stored(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                      .distinct(), "edges")
+    if current.isEmpty():
+        return current.select(F.col("u").alias("node"), F.col("v").alias("root"))
     mark = None
     for _ in range(max_rounds):
         # large star: every larger neighbour of a node is hung on the least of its neighbourhood

@@ -9,8 +9,9 @@ most k bits agree on at least one of k + 1 disjoint blocks, so each value goes
 to one group per block (a shuffle of k + 1 short rows a class).  In a group a
 binary trie over the sorted values is joined with itself: node pairs advance
 together bit by bit, the differing bits so far add up, and a pair is dropped
-as soon as they exceed the budget.  The frontier is worked off in pieces of
-bounded size, and a group above ``GROUP_ROWS`` values is first dealt into
+as soon as they exceed the budget; only pairs of leaves are compared.  The
+frontier is worked off in pieces of bounded size.  Only a group above
+``GROUP_ROWS`` values, too much for one pass of a task, is first dealt into
 chunks, whose tries are joined pair by pair in tasks of their own.  A group
 gives a spanning forest of its links, not all pairs; connected components over
 all groups give the result.
@@ -34,10 +35,9 @@ from tramspark.llm import common
 from tramspark.llm.exact_dedup import _bytes_of
 
 SEED = 42
-GROUP_ROWS = 1024       # a larger group is dealt into chunks of about this many values, joined pairwise
+GROUP_ROWS = 1 << 16    # a larger group is dealt into chunks of about this many values, joined pairwise
 PIECE = 1 << 16         # rows of whole groups that a task joins in one pass
 FRONTIER = 1 << 18      # node pairs advanced at once
-DIRECT = 32             # node pairs with at most this many value pairs are compared value by value
 
 
 def fingerprint(words: list[bytes], shingle: int = 3) -> int:
@@ -88,10 +88,13 @@ def trie_links(values: np.ndarray, pairs: tuple[np.ndarray, ...], depth: int, ma
     stack = [(*pairs, np.zeros(len(pairs[0]), np.int64), depth)]
     while stack:
         lo1, hi1, lo2, hi2, err, depth = stack.pop()
-        small = (hi1 - lo1) * (hi2 - lo2) <= DIRECT
-        if small.any():
-            _direct(values, lo1[small], hi1[small], lo2[small], hi2[small], max_bits, keep)
-            lo1, hi1, lo2, hi2, err = (x[~small] for x in (lo1, hi1, lo2, hi2, err))
+        # two leaves: what is left of their paths is compared at once (a leaf paired with itself holds no pair)
+        leaves = (hi1 - lo1 == 1) & (hi2 - lo2 == 1)
+        if leaves.any():
+            i, j = lo1[leaves], lo2[leaves]
+            near = (i < j) & (np.bitwise_count(values[i] ^ values[j]) <= max_bits)
+            keep(i[near], j[near])
+            lo1, hi1, lo2, hi2, err = (x[~leaves] for x in (lo1, hi1, lo2, hi2, err))
         if not len(lo1):
             continue
         m1, m2 = _middle(values, lo1, hi1, depth), _middle(values, lo2, hi2, depth)
@@ -117,19 +120,6 @@ def _middle(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, depth: int) -> n
     return lo
 
 
-def _direct(values, lo1, hi1, lo2, hi2, max_bits, keep) -> None:
-    w = hi2 - lo2
-    counts = (hi1 - lo1) * w
-    for s in range(0, len(lo1), FRONTIER // DIRECT):
-        c = counts[s:s + FRONTIER // DIRECT]
-        at = np.repeat(np.arange(s, s + len(c)), c)
-        k = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
-        i, j = lo1[at] + k // w[at], lo2[at] + k % w[at]
-        near = (i < j) & (np.bitwise_count(values[i] ^ values[j]) <= max_bits)
-        if near.any():
-            keep(i[near], j[near])
-
-
 class Forest:
     """Union-find over 0..n-1 that keeps the smaller index as root; ``links`` merges whole index arrays."""
 
