@@ -3,6 +3,7 @@ counted; the stateful previous-ping function flags stale pings and expires."""
 
 import datetime as dt
 
+from tramspark.operators import incremental, staging
 from tramspark.session import shared_dir
 from tramspark.streaming import positions as streams
 
@@ -16,20 +17,25 @@ def _rows(start, n, step_s, vehicle="a"):
              t0 + dt.timedelta(seconds=i * step_s)) for i in range(n)]
 
 
-def test_late_rows_are_dropped_and_counted(spark):
-    """Rows older than the watermark a batch starts with are dropped and
-    counted (Spark filters late rows with the previous batch's watermark)."""
+def _land(spark, parts, order):
+    """Each part as one file, arriving in this order."""
     src = shared_dir(spark, "late-src")
-    parts = {"a": _rows(10, 30, 60), "c": _rows(11, 30, 60), "b": _rows(8, 5, 60, vehicle="b")}
     jvm = spark._jvm
     P = jvm.org.apache.hadoop.fs.Path
     fs = P(src).getFileSystem(spark._jsc.hadoopConfiguration())
-    for i, name in enumerate(["a", "c", "b"]):          # arrival order: b last
+    for i, name in enumerate(order):
         spark.createDataFrame(parts[name], SCHEMA).coalesce(1).write.parquet(f"{src}/tmp-{name}")
         for st in fs.listStatus(P(f"{src}/tmp-{name}")):
             if st.getPath().getName().endswith(".parquet"):
                 fs.rename(st.getPath(), P(f"{src}/in/{name}.parquet"))
         fs.setTimes(P(f"{src}/in/{name}.parquet"), 2_000_000_000_000 + i * 1000, -1)
+    return src
+
+
+def test_late_rows_are_dropped_and_counted(spark):
+    """Rows older than the watermark a batch starts with are dropped and
+    counted (Spark filters late rows with the previous batch's watermark)."""
+    src = _land(spark, {"a": _rows(10, 30, 60), "c": _rows(11, 30, 60), "b": _rows(8, 5, 60, vehicle="b")}, ["a", "c", "b"])
     s = streams.position_stream(spark, f"{src}/in", max_files_per_trigger=1)
     sink, ckpt = shared_dir(spark, "late-sink"), shared_dir(spark, "late-ckpt")
     totals = streams.run_to_completion(streams.dedup_stream(s, "10 minutes"), sink, ckpt)
@@ -39,6 +45,44 @@ def test_late_rows_are_dropped_and_counted(spark):
     assert totals["input_rows"] == 65
 
 
+def test_late_rows_are_kept_beside_and_loaded(spark):
+    """Late rows miss the main table, are kept whole (replays included) and give the batch result once loaded."""
+    repoll = [(r[0] - dt.timedelta(seconds=10), *r[1:5], 52.25, *r[6:]) for r in _rows(10, 3, 60)]   # earlier fetches, late
+    invalid = [(r[0], "x", *r[2:5], None, *r[6:]) for r in _rows(8, 2, 60)]
+    parts = {"a": _rows(10, 30, 60), "c": _rows(12, 30, 60), "b": _rows(8, 5, 60, vehicle="b") + repoll + invalid,
+             "d": _rows(13, 2, 60) + _rows(12, 1, 60, vehicle="d")}
+    src = _land(spark, parts, ["a", "c", "b", "d"])
+    target, side, ckpt = (shared_dir(spark, f"side-{n}") for n in ("target", "rows", "ckpt"))
+    sink = streams.late_aware_sink(target, side, "10 minutes")
+    s = streams.position_stream(spark, f"{src}/in", max_files_per_trigger=1)
+    q = s.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+    q.awaitTermination()
+    late = streams.late_rows(spark, side)
+    # row d at 12:00 is late only against 12:29 less ten minutes
+    assert sorted((r["vehicle_number"], r["epoch"]) for r in late.collect()) == [("a", 2)] * 3 + [("b", 2)] * 5 + [("d", 3)]
+    kept = incremental.read_upserted(spark, target)
+    assert kept.filter("vehicle_number IN ('b', 'd')").count() == 0 and kept.count() == 62
+    # a replay of the last micro-batch changes nothing
+    sink(spark.createDataFrame(parts["d"], SCHEMA), 3)
+    assert streams.late_rows(spark, side).count() == 9 and incremental.read_upserted(spark, target).count() == 62
+    raw = spark.createDataFrame([r for p in parts.values() for r in p], SCHEMA)
+    want = sorted(map(str, staging.clean_positions(None, raw).collect()))
+    for _ in range(2):                                  # loading twice changes nothing
+        got = streams.load_late(spark, target, side).drop("vehicle_date").select(*staging.clean_positions(None, raw).columns)
+        assert sorted(map(str, got.collect())) == want
+
+
+def test_no_late_rows(spark):
+    src = _land(spark, {"a": _rows(10, 5, 60), "c": _rows(11, 5, 60)}, ["a", "c"])
+    target, side, ckpt = (shared_dir(spark, f"side-{n}") for n in ("target", "rows", "ckpt"))
+    s = streams.position_stream(spark, f"{src}/in")
+    q = (s.writeStream.foreachBatch(streams.late_aware_sink(target, side)).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert streams.late_rows(spark, side) is None
+    assert streams.load_late(spark, target, side).count() == 10
+
+
 def test_previous_ping_state_flags_stale_rows_and_expires():
     import pandas as pd
 

@@ -196,9 +196,13 @@ def stop_matches(positions: DataFrame, stop_times: DataFrame, trips: DataFrame,
     # the cells of a stop are found in the dimension, before the timetable repeats it
     sched = schedule_points(stop_times, trips, routes, stop_cells(stops, radius_m) if bucketed and repeat == "schedule" else stops)
     cand = stop_match_candidates(pos, sched, radius_m, window_s, bucketed, repeat)
-    b = best_match(cand)
+    return with_delay(best_match(cand))
+
+
+def with_delay(best: DataFrame) -> DataFrame:
+    """The columns of :func:`stop_matches` from its winners."""
     delay = seconds_between("scheduled_arrival", "actual_time")
-    return b.select(
+    return best.select(
         "trip_id", "vehicle_number", "line", "brigade", "stop_id", "stop_name", "actual_time",
         "scheduled_arrival",
         duck_round(F.col("_m"), 0).alias("meters_to_stop"),

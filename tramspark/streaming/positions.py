@@ -9,8 +9,15 @@
   returns the count) instead of the batch model's single global high-water
   mark, which also drops a slower feed's rows.
 * K4 ``frames_stream``: tumbling frames, earliest ping per vehicle and frame.
-* K5 ``visits_stream``: visits as session windows over a stream of matched
-  pings (a gap of exactly ``gap`` merges, like the batch rule's strict '>').
+  ``late_aware_sink`` keeps them: rows older than the mark go to a side table,
+  which ``load_late`` merges into the main one, so nothing is lost and the hot
+  path rewrites recent days only.
+* I9 on the stream, ``matches_stream``: pings join the written timetable within
+  each micro-batch, and the best match per (vehicle, time) is a stateful minimum
+  that the watermark closes.  A ping's state is one struct, dropped when emitted.
+* K5 ``visits_stream``: visits as session windows over the matched pings (a gap
+  of exactly ``gap`` merges, like the batch rule's strict '>'); fed by a table of
+  matches or, in one query, by ``best_match_stream``.
 * K6 ``moves_stream``: previous ping kept in state (``applyInPandasWithState``)
   per vehicle and time bucket, with the batch look-back's halo: a ping within
   the gap limit of its bucket's end is repeated into the next bucket, where it
@@ -34,9 +41,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import TimestampType
 
 from tramspark.functions.scalar import code_label, planar_distance_m
-from tramspark.operators import incremental, staging
+from tramspark.operators import incremental, matching, staging
+from tramspark.session import path_exists, remove_path
 from tramspark.sources.schemas import POSITION_SCHEMA
 
 LTZ = "timestamp"
@@ -78,9 +87,33 @@ def frames_stream(positions: DataFrame, frame_minutes: int = 15, delay: str = "1
                     F.col("f.lat").alias("lat"), F.col("f.lon").alias("lon"))
 
 
+def best_match_stream(positions: DataFrame, sched: DataFrame, as_of: str, retention_days: int = 2, radius_m: float = 100.0,
+                      window_s: int = 900, previous_service_day_until: int | None = None,
+                      delay: str = "10 minutes") -> DataFrame:
+    """The best match of each ping of the stream, ``actual_time`` being the watermarked TIMESTAMP.
+
+    ``sched`` is a written table of ``matching.schedule_points``, with the cells
+    of its stops (``matching.stop_cells``): every micro-batch scans it.
+    """
+    # of the date column a filter would be moved before the watermark, which must see every row
+    s = (positions.drop("vehicle_date").withColumn("vehicle_time", F.col("vehicle_time").cast(LTZ))
+         .withWatermark("vehicle_time", delay))
+    kept = matching.retained_positions(s, as_of, retention_days, previous_service_day_until)
+    return matching.best_match(matching.stop_match_candidates(kept, sched, radius_m, window_s))
+
+
+def matches_stream(positions: DataFrame, sched: DataFrame, *args, **kwargs) -> DataFrame:
+    """Stop matches with their delay (the columns of the batch model); parameters as ``best_match_stream``."""
+    m = matching.with_delay(best_match_stream(positions, sched, *args, **kwargs))
+    return m.withColumn("actual_time", F.col("actual_time").cast(NTZ))
+
+
 def visits_stream(matched: DataFrame, gap_s: int = 600, delay: str = "30 minutes") -> DataFrame:
     """K5: visits (arrival = first ping) as session windows of matched pings."""
-    s = matched.withColumn("__t", F.col("actual_time").cast(LTZ)).withWatermark("__t", delay)
+    if matched.schema["actual_time"].dataType == TimestampType():
+        s = matched.withColumnRenamed("actual_time", "__t")     # keeps the watermark that the matching set
+    else:
+        s = matched.withColumn("__t", F.col("actual_time").cast(LTZ)).withWatermark("__t", delay)
     g = s.groupBy("line", "stop_id", "stop_name", "vehicle_number",
                   F.session_window("__t", f"{gap_s} seconds").alias("sw")).agg(F.count(F.lit(1)).alias("pings"))
     return g.select("line", "stop_id", "stop_name", "vehicle_number",
@@ -149,12 +182,67 @@ def upsert_sink(target_path: str, bbox: staging.BBox = staging.BBox()):
     """K7: ``foreachBatch`` function merging each cleaned micro-batch into the
     date-partitioned table at ``target_path`` (first fetch wins)."""
     def run(batch: DataFrame, epoch_id: int) -> None:
-        clean = staging.clean_positions(None, batch, bbox).withColumn("vehicle_date", F.to_date("vehicle_time"))
-        incremental.write_upsert(batch.sparkSession, target_path, clean, ["vehicle_number", "vehicle_time"],
-                                 ["fetch_time", "lat", "lon"], "vehicle_date")
+        _merge(batch.sparkSession, target_path, staging.clean_positions(None, batch, bbox))
     return run
 
 
+def _merge(spark: SparkSession, target_path: str, clean: DataFrame) -> DataFrame:
+    """Merge valid typed positions into the date-partitioned table (first fetch wins, within them as well)."""
+    return incremental.write_upsert(spark, target_path, clean.withColumn("vehicle_date", F.to_date("vehicle_time")),
+                                    ["vehicle_number", "vehicle_time"], ["fetch_time", "lat", "lon"], "vehicle_date")
+
+
+def late_aware_sink(target_path: str, side_path: str, delay: str = "10 minutes", bbox: staging.BBox = staging.BBox()):
+    """K3 + K7: like ``upsert_sink``, but rows that come too late go to a side table.
+
+    A row is late if its time is at or before the mark: the newest time of all
+    earlier micro-batches less ``delay``.  Rows without a time are never kept
+    (as in the batch model).  Late rows of a micro-batch are written to a folder
+    of their own under ``side_path``, as is the newest time so far, both replaced
+    when the micro-batch is replayed: the mark only looks at earlier ones, so a
+    replay splits the rows alike.
+    """
+    rows, marks = f"{side_path}/rows", f"{side_path}/marks"
+
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        newest = None
+        if path_exists(spark, marks):
+            before = spark.read.schema(f"newest {NTZ}, epoch long").parquet(marks).filter(F.col("epoch") < epoch_id)
+            newest = before.agg(F.max("newest")).first()[0]
+        typed = staging.filter_valid(staging.type_parquet_positions(batch), bbox)
+        if newest is not None:
+            mark = F.lit(newest).cast(NTZ) - F.expr(f"INTERVAL {delay}")
+            late = F.col("vehicle_time") <= mark
+            typed.filter(late).write.mode("overwrite").parquet(f"{rows}/epoch={epoch_id}")
+            batch_rows = typed.filter(~late)
+        else:
+            batch_rows = typed
+        _merge(spark, target_path, batch_rows)
+        seen = typed.agg(F.greatest(F.max("vehicle_time"), F.lit(newest).cast(NTZ)).alias("newest"))
+        seen.write.mode("overwrite").parquet(f"{marks}/epoch={epoch_id}")
+        # the next micro-batch needs this mark, a replay of this one the mark before
+        remove_path(spark, f"{marks}/epoch={epoch_id - 2}")
+    return run
+
+
+def late_rows(spark: SparkSession, side_path: str) -> DataFrame | None:
+    """The side table of late rows, with the micro-batch (``epoch``) that brought each; None if there is none yet."""
+    rows = f"{side_path}/rows"
+    if not path_exists(spark, rows):
+        return None
+    schema = f"fetch_time {NTZ}, vehicle_time {NTZ}, vehicle_number string, line string, brigade string, vehicle_type int, lat double, lon double, epoch long"
+    return spark.read.schema(schema).parquet(rows)
+
+
+def load_late(spark: SparkSession, target_path: str, side_path: str) -> DataFrame:
+    """Merge the side table into the main one and return that.  Loading twice, or rows already there, changes nothing."""
+    late = late_rows(spark, side_path)
+    if late is None:
+        return incremental.read_upserted(spark, target_path)
+    return _merge(spark, target_path, late.drop("epoch"))
+
+
 def run_to_completion(df: DataFrame, out_path: str, checkpoint: str, mode: str = "append") -> dict:
     """Run a streaming query over everything available now into Parquet files.
 
