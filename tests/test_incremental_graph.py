@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tramspark.operators import incremental, ledger, marts, staging, states
+from tramspark.operators import fingerprint, incremental, ledger, marts, staging, states
 from tramspark.operators import windows as win
 from tramspark.plans import incremental as plan
 from tramspark.plans.catalog import _landed, models
@@ -237,3 +237,40 @@ def test_random_loads_over_midnight_equal_one_load(spark, tmp_path, strategy):
     got = plan.tables(store, timetable)
     same(got, full)
     assert all(got[n].count() for n in ("moves", "matches", "headway", "segments", "line_regularity"))
+
+
+# --- changed dimensions ---------------------------------------------------
+
+def test_fingerprints(spark):
+    one = fingerprint.fingerprint
+    rows = [("a", None), (None, "a"), ("a", "b"), ("a", "b")]
+
+    def of(rows, columns=None):
+        return one(spark.createDataFrame(rows, "x string, y string"), "t", columns).collect()[0]
+    assert of(rows) == of(rows[::-1])
+    assert len({of(r) for r in (rows, rows[:3], rows[1:], [*rows[:2], ("b", "a"), ("b", "a")], [], [(None, None)])}) == 6
+    assert of(rows, ["x"]) == of([(x, "other") for x, _ in rows], ["x"])
+
+
+def test_a_changed_stop_rebuilds_its_readers(spark, tmp_path):
+    """An unchanged timetable rebuilds nothing; another stop place rebuilds what reads it, with and without new pings."""
+    out, inputs = str(tmp_path / "s"), fixtures.transit_inputs(spark, SF)
+    cut = F.lit("2024-01-28 00:00:00").cast("timestamp_ntz")
+    typed = inputs["positions_parquet"]
+    early = {**inputs, "positions_csv": None, "positions_parquet": typed.filter(F.col("fetch_time") < cut)}
+    plan.build_incremental(early, FIXTURE_PARAMS, out)
+    store = Store(spark, out)
+    before = {t: folders(store, t) for t in store.snapshot().tables}
+    shuffled = {**early, "stops": early["stops"].orderBy(F.rand(3))}
+    plan.build_incremental(shuffled, FIXTURE_PARAMS, out)
+    assert all(folders(store, t) == f for t, f in before.items() if t != "load_ledger")
+    moved = inputs["stops"].withColumn("stop_lat", F.when(F.col("stop_id") == "3", F.lit("52.9")).otherwise(F.col("stop_lat")))
+    found = plan.build_incremental({**early, "stops": moved}, FIXTURE_PARAMS, out)
+    for t in ("positions", "moves", "state_speed", "state_grid", "line_speed", "speed_grid", "calendar", "animation_frames"):
+        assert folders(store, t) == before[t], t
+    assert folders(store, "matches") != before["matches"]
+    same(found, plan.build_incremental({**early, "stops": moved}, FIXTURE_PARAMS, str(tmp_path / "whole")))
+    # new pings and another timetable in one load
+    late = {**inputs, "positions_csv": None}
+    found = plan.build_incremental(late, FIXTURE_PARAMS, out)
+    same(found, plan.build_incremental(late, FIXTURE_PARAMS, str(tmp_path / "all")))

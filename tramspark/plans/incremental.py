@@ -16,7 +16,9 @@
   this one, and a run that fails is simply run again.
 
 The first load of a folder builds everything by the same functions.  A changed
-timetable needs ``full_refresh``: old pings are not matched anew.  Keys
+timetable is found by its tables' fingerprints, kept with each build
+(``operators.fingerprint``): all pings are then matched anew and what reads the
+matches is rebuilt; positions, moves and their marts only follow new pings.  Keys
 (vehicle, line, stop, trip) must not be null.
 """
 
@@ -29,16 +31,18 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tramspark.operators import fingerprint, ledger, marts, matching, movement, segments, staging, states
 from tramspark.operators import headway as hw
-from tramspark.operators import ledger, marts, matching, movement, segments, staging, states
 from tramspark.operators import windows as win
 from tramspark.plans.pipeline import FIXTURE_PARAMS, MODEL_ORDER, Params
 from tramspark.session import remove_path, shared_dir
+from tramspark.sources.schemas import GTFS_COLUMNS
 from tramspark.sources.store import Load, Store
 
 HOUR = 3600
 POSITION_FEEDS = ("positions_csv", "positions_parquet")
 LEDGER = "load_ledger"
+PRINTS = "timetable_prints"
 BY = "load_id"                  # the load that brought a row
 PING = ["vehicle_number", "vehicle_time"]
 # Partition column of each table and the time it is the date of.
@@ -272,25 +276,41 @@ def run_load(spark: SparkSession, base: str, feeds: dict, timetable: dict[str, D
         load.tables.clear()
     known = load.read(LEDGER) if load.has(LEDGER) else None
     given = [(n, s) for n, s in feeds.items() if s is not None]
-    parts = [u for u in together(threads, *(lambda n=n, s=s: ledger.unread(spark, n, s, known) for n, s in given)) if u is not None]
-    if not parts and load.has("positions"):
+    prints = fingerprint.fingerprints(timetable, GTFS_COLUMNS)
+    other, *parts = together(threads, lambda: fingerprint.changed(prints, load.read(PRINTS) if load.has(PRINTS) else None),
+                             *(lambda n=n, s=s: ledger.unread(spark, n, s, known) for n, s in given))
+    parts = [u for u in parts if u is not None]
+    if not parts and not other and load.has("positions"):
         return store
-    text = [u.rows for u in parts if dict(u.rows.dtypes)["fetch_time"] == "string"]
-    typed = [u.rows for u in parts if dict(u.rows.dtypes)["fetch_time"] != "string"]
-    batch = staging.clean_positions(_union(text), _union(typed), params.bbox)
-    run = Run(load, timetable, params)
-    days = together(threads, lambda: run.positions(batch, strategy),
-                    lambda: load.put("trips", staging.gtfs_trips(timetable["trips"])),
-                    lambda: load.put(LEDGER, _union([*([known] if known is not None else []), *(ledger.entries(u, load.id) for u in parts)]).coalesce(1)))[0]
-    if days == []:              # nothing but rows out of the area or without a time
+    run, days, steps = Run(load, timetable, params), [], []
+    if other:                       # a first load too
+        steps += [lambda: load.put("trips", staging.gtfs_trips(timetable["trips"])), lambda: load.put(PRINTS, prints.coalesce(1))]
+    if parts or not load.has("positions"):
+        text = [u.rows for u in parts if dict(u.rows.dtypes)["fetch_time"] == "string"]
+        typed = [u.rows for u in parts if dict(u.rows.dtypes)["fetch_time"] != "string"]
+        batch = staging.clean_positions(_union(text), _union(typed), params.bbox)
+        steps.append(lambda: load.put(LEDGER, _union([*([known] if known is not None else []), *(ledger.entries(u, load.id) for u in parts)]).coalesce(1)))
+        days = together(threads, lambda: run.positions(batch, strategy), *steps)[0]
+    else:
+        together(threads, *steps)
+    if days == [] and not other:    # nothing but rows out of the area or without a time
         load.commit()
         return store
+    # under another timetable every ping is matched anew
+    matched = None if other else days
 
     def later_days():
-        if days is not None:        # a first load needs them for its matches
+        if matched is not None:     # else the matches wrote them
             run.stop_times(days)
 
-    delta, move_days, _, _ = together(threads, lambda: run.matches(days), lambda: run.moves(days), later_days, lambda: run.calendar_and_frames(days))
+    def moves():
+        return run.moves(days) if days != [] else []
+
+    def calendar_and_frames():
+        if days != []:
+            run.calendar_and_frames(days)
+
+    delta, move_days, _, _ = together(threads, lambda: run.matches(matched), moves, later_days, calendar_and_frames)
 
     def states_and_marts(model, changed):
         names = [s for s, m in STATES.items() if m == model]
@@ -300,10 +320,10 @@ def run_load(spark: SparkSession, base: str, feeds: dict, timetable: dict[str, D
         together(threads, *(lambda m=m: run.mart(m) for s in names for m in MARTS_OF[s]))
 
     def headways():
-        states_and_marts("headway", run.headway(delta, days))
+        states_and_marts("headway", run.headway(delta, matched))
 
-    together(threads, headways, lambda: states_and_marts("segments", run.segments(delta, days)),
-             lambda: states_and_marts("matches", days), lambda: states_and_marts("moves", move_days))
+    together(threads, headways, lambda: states_and_marts("segments", run.segments(delta, matched)),
+             lambda: states_and_marts("matches", matched), lambda: states_and_marts("moves", move_days))
     load.commit()
     store.vacuum(keep)
     return store
