@@ -124,3 +124,39 @@ def test_previous_ping_state_flags_stale_rows_and_expires():
     assert st.timeout == (key[1] + 1) * 3600 * 1000
     st.hasTimedOut = True
     assert not list(previous(key, iter([]), st)) and not st.exists
+
+
+def test_previous_ping_of_many_vehicles_in_one_group():
+    import pandas as pd
+
+    class State:
+        exists, hasTimedOut, value = False, False, None
+
+        @property
+        def get(self):
+            return self.value
+
+        def update(self, v):
+            self.exists, self.value = True, v
+
+        def setTimeoutTimestamp(self, ms):
+            pass
+
+        def getCurrentWatermarkMs(self):
+            return 0
+
+    t = pd.Timestamp("2024-01-10 10:00:00")
+    previous, st = streams._previous_ping(3600), State()
+
+    def run(rows):
+        frame = pd.DataFrame([{"vehicle_number": v, "line": "1", "brigade": "1", "vehicle_type": 2, "vehicle_time": t + pd.Timedelta(seconds=s),
+                               "lat": 52.0 + s / 1000, "lon": 21.0, "halo": False} for v, s in rows])
+        out = pd.concat(list(previous((3, int(t.timestamp()) // 3600), iter([frame]), st)))
+        back = lambda x: None if pd.isna(x) else int((x - t).total_seconds())
+        return sorted(((r.vehicle_number or "", back(r.vehicle_time), back(r.prev_time), bool(r.stale)) for r in out.itertuples()), key=str)
+
+    assert run([("b", 20), ("a", 10), ("a", 0), ("b", 5), (None, 7)]) == [
+        ("", 7, None, False), ("a", 0, None, False), ("a", 10, 0, False), ("b", 20, 5, False), ("b", 5, None, False)]
+    # each vehicle goes on from its own last ping, what lies before that is stale, a new vehicle begins
+    assert run([("a", 15), ("b", 15), ("b", 30), ("c", 1), (None, 9)]) == [
+        ("", 9, 7, False), ("a", 15, 10, False), ("b", 15, None, True), ("b", 30, 20, False), ("c", 1, None, False)]
