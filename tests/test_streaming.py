@@ -160,3 +160,36 @@ def test_previous_ping_of_many_vehicles_in_one_group():
     # each vehicle goes on from its own last ping, what lies before that is stale, a new vehicle begins
     assert run([("a", 15), ("b", 15), ("b", 30), ("c", 1), (None, 9)]) == [
         ("", 9, 7, False), ("a", 15, 10, False), ("b", 15, None, True), ("b", 30, 20, False), ("c", 1, None, False)]
+
+
+def test_number_of_micro_batches_does_not_follow_the_rows(spark):
+    rows = spark.createDataFrame(_rows(0, 800, 60), SCHEMA)
+    src, sink, ckpt = (shared_dir(spark, f"many-{n}") for n in ("src", "sink", "ckpt"))
+    landed = streams.land_in_order(rows, src, "vehicle_time", rows_per_file=20)
+    assert landed > 2 * streams.MAX_BATCHES
+    s = streams.position_stream(spark, src, streams.files_per_trigger(landed, 3))
+    totals = streams.run_to_completion(s, sink, ckpt)
+    assert totals["input_rows"] == 800 and totals["batches"] <= streams.MAX_BATCHES + 1
+    assert streams.files_per_trigger(12, 3) == 3
+
+
+def test_timetable_of_the_matching_stream_is_not_shuffled(spark):
+    from pyspark.sql import functions as F
+    from tramspark.operators import matching
+    from tramspark.plans.pipeline import bucketed
+    at = F.lit("2024-01-10 10:00:00").cast("timestamp_ntz")
+    base = spark.range(50).select(F.col("id").cast("string").alias("id"), F.lit("1").alias("line"), F.lit("1").alias("brigade"),
+                                  F.to_date(at).alias("service_date"), (F.lit(52.2) + F.col("id") * 0.0001).alias("lat"), F.lit(21.0).alias("lon"))
+    sched = base.select(F.col("id").alias("trip_id"), F.col("id").alias("stop_id"), F.col("id").alias("stop_name"), "line", "brigade", "service_date",
+                        F.col("lat").alias("stop_lat"), F.col("lon").alias("stop_lon"), at.alias("scheduled_arrival"))
+    pings = base.select(F.col("id").alias("vehicle_number"), "line", "brigade", "service_date", "lat", "lon", at.alias("vehicle_time"))
+    table = bucketed(matching.schedule_keys(sched, 100.0, 900), "test-timetable", "__key")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = matching.stop_match_candidates(pings, table, repeat="positions")
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(__key") == 1
+        want = matching.stop_match_candidates(pings, sched, repeat="positions")
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32MB")
