@@ -65,7 +65,9 @@ def asof_lookup(facts: DataFrame, history: DataFrame, key: str, fact_ts: str,
     """
     spark, path = facts.sparkSession, shared_dir(facts.sparkSession, "as-of")
     version = F.struct(F.col(VALID_TO).alias("until"), *[F.col(a).alias(f"a{i}") for i, a in enumerate(attrs)])
-    fact = F.struct(*[F.col(f"`{c}`") for c in facts.columns])
+    # key and time travel once, unless the union would change their types
+    own = {c: k for c, k in ((key, "k"), (fact_ts, "t")) if facts.schema[c].dataType == history.schema[key if k == "k" else VALID_FROM].dataType}
+    fact = F.struct(F.lit(True).alias("__is"), *[F.col(f"`{c}`") for c in facts.columns if c not in own])
     placed = F.col(key).isNotNull() & F.col(fact_ts).isNotNull()
     v = history.filter(F.col(key).isNotNull() & F.col(VALID_FROM).isNotNull()).select(
         F.col(key).alias("k"), F.col(VALID_FROM).alias("t"), F.lit(0).alias("kind"), version.alias("version"))
@@ -81,6 +83,6 @@ def asof_lookup(facts: DataFrame, history: DataFrame, key: str, fact_ts: str,
     joined = inside.join(carry, ["k", _B]).withColumn("found", F.coalesce("found", "carried"))
     valid = F.col("found.until").isNull() | (F.col("t") < F.col("found.until"))
     names = [f"{prefix}{a}" for a in attrs]
-    out = joined.select("fact.*", *[F.when(valid, F.col(f"found.a{i}")).alias(n) for i, n in enumerate(names)])
+    out = joined.select(*[F.col(own[c]).alias(c) if c in own else F.col(f"fact.`{c}`") for c in facts.columns], *[F.when(valid, F.col(f"found.a{i}")).alias(n) for i, n in enumerate(names)])
     loose = facts.filter(~placed).select("*", *[F.lit(None).cast(history.schema[a].dataType).alias(n) for a, n in zip(attrs, names, strict=True)])
     return out.unionByName(loose)
