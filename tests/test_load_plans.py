@@ -9,7 +9,9 @@ import pyspark.sql.functions as F
 from tramspark.functions import scalar as S
 from tramspark.operators import headway, matching, movement, segments, staging
 from tramspark.operators import windows as win
-from tramspark.session import shared_dir
+from tramspark.plans import catalog, pipeline
+from tramspark.session import path_exists, shared_dir
+from tramspark.streaming import positions
 
 
 def plan(df) -> str:
@@ -109,3 +111,67 @@ def test_stop_times_bring_their_trip(spark):
     plain, own = (matching.schedule_points(staging.gtfs_stop_times(texts, trips, positions, x), trips, routes, stops) for x in (False, True))
     alike(own, plain.select(*own.columns))
     assert set(own.columns) == set(plain.columns) and own.count() == 5
+
+
+def matching_tables(spark):
+    t = dt.datetime(2024, 1, 1, 10)
+    pings = [("v", "1", "2", dt.date(2024, 1, 1), t + dt.timedelta(seconds=60 * k), 52.2 + 0.0004 * k, 21.0) for k in range(9)] + [("w", "1", "3", dt.date(2024, 1, 1), t, 52.2, 21.0)]
+    p = spark.createDataFrame(pings, "vehicle_number string, line string, brigade string, service_date date, vehicle_time timestamp_ntz, lat double, lon double")
+    # a stop that comes twice, with two names and places, and one without an id
+    stops = spark.createDataFrame([("s", "S", 52.2, 21.0), ("s", "S2", 52.2008, 21.0), ("z", "Z", 52.2024, 21.0), (None, "N", 52.2, 21.0)],
+                                  "stop_id string, stop_name string, stop_lat double, stop_lon double")
+    times = [("1", "2", dt.date(2024, 1, 1), f"t{k}", "sz"[k % 2], t + dt.timedelta(seconds=200 * k)) for k in range(6)]
+    times = spark.createDataFrame(times, "line string, brigade string, service_date date, trip_id string, stop_id string, scheduled_arrival timestamp_ntz")
+    return p, stops, times
+
+
+def test_stops_are_joined_after_pings_and_timetable_have_met(spark):
+    p, stops, times = matching_tables(spark)
+    for repeat in ("schedule", "positions"):
+        cells = matching.stop_cells(stops, 100.0) if repeat == "schedule" else stops
+        sched = times.join(cells, "stop_id")
+        found = [matching.stop_match_candidates(p, sched, repeat=repeat, stops=x).distinct() for x in (None, stops)]
+        alike(found[1], found[0])
+        assert found[0].count() > 9
+        alike(matching.best_match(found[1]), matching.best_match(found[0]))
+        # the names come from the stops alone, not with the timetable
+        met = matching.candidate_pairs(p, sched, repeat=repeat, stops=stops.withColumnRenamed("stop_name", "x").withColumn("stop_name", F.lit("y")))
+        assert {r["stop_name"] for r in met.select("stop_name").distinct().collect()} == {"y"}
+
+
+def test_streamed_matching_reads_a_narrow_timetable_and_leaves_no_copies(spark, monkeypatch):
+    written = []
+
+    def folder(session, name):
+        written.append(shared_dir(session, name))
+        return written[-1]
+    for module in (catalog, pipeline, positions):
+        monkeypatch.setattr(module, "shared_dir", folder)
+    given = catalog._matching_inputs(spark, "/root/testdata/sf0.001")
+    assert not set(matching.STOP_COLUMNS) & set(given["sched"].columns)
+    left = {p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in written if path_exists(spark, p)}
+    assert left == {"stream-positions", "stream-timetable"}     # not the models they were made of, nor a second copy to land
+    seen = []
+    run = streams_start(spark, monkeypatch, seen)
+    run(given)
+    assert seen == [positions.STATE_CONF] and all(spark.conf.get(k, None) != v for k, v in positions.STATE_CONF.items())
+
+
+def streams_start(spark, monkeypatch, seen):
+    """Run a stream, noting the state's settings that it starts with."""
+    class Written:
+        def __init__(self, *_):
+            pass
+
+        def __getattr__(self, name):
+            return lambda *a, **k: self
+
+        def start(self):
+            seen.append({k: spark.conf.get(k) for k in positions.STATE_CONF})
+            return type("Q", (), {"awaitTermination": lambda _: None, "recentProgress": []})()
+
+    def run(given):
+        df = positions.matches_stream(**given)
+        monkeypatch.setattr(type(df), "writeStream", property(Written))
+        positions.run_to_completion(df, "out", "checkpoint")
+    return run
