@@ -154,7 +154,7 @@ def test_streamed_matching_reads_a_narrow_timetable_and_leaves_no_copies(spark,
     seen = []
     run = streams_start(spark, monkeypatch, seen)
     run(given)
-    assert seen == [positions.STATE_CONF] and all(spark.conf.get(k, None) != v for k, v in positions.STATE_CONF.items())
+    assert seen == [positions.STREAM_CONF] and all(spark.conf.get(k, None) != v for k, v in positions.STREAM_CONF.items())
 
 
 def streams_start(spark, monkeypatch, seen):
@@ -167,7 +167,7 @@ def streams_start(spark, monkeypatch, seen):
             return lambda *a, **k: self
 
         def start(self):
-            seen.append({k: spark.conf.get(k) for k in positions.STATE_CONF})
+            seen.append({k: spark.conf.get(k) for k in positions.STREAM_CONF})
             return type("Q", (), {"awaitTermination": lambda _: None, "recentProgress": []})()
 
     def run(given):
